@@ -1,0 +1,109 @@
+"""Ordered work over groups of any size.
+
+A window per team puts all rows of a team into one task. Where one team may hold
+a third of the table, its timeline is cut into chunks first: each chunk becomes a
+window group of its own, and what a chunk needs from the chunks before it travels
+separately as a few carried rows.
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+# A team is cut only above this many rows.
+CHUNK_ROWS = 2_000_000
+# Upper bound on the number of cut teams, whatever the size of the table.
+MAX_HOT_KEYS = 20_000
+
+
+def entries_below(edges: Column, x: Column, max_edges: int) -> Column:
+    """How many entries of the ascending array ``edges`` are <= ``x`` (binary search)."""
+    steps = max(1, math.ceil(math.log2(max_edges + 1)))
+    jumps = F.array(*[F.lit(1 << s) for s in reversed(range(steps))])
+
+    def probe(low: Column, jump: Column) -> Column:
+        fits = (low + jump <= F.size(edges)) & (F.get(edges, low + jump - 1) <= x)
+        return F.when(fits, low + jump).otherwise(low)
+
+    return F.aggregate(jumps, F.lit(0), probe)
+
+
+def timeline_cuts(
+    rows: DataFrame,
+    key: str,
+    slot: str,
+    chunk_rows: int = CHUNK_ROWS,
+    max_hot_keys: int = MAX_HOT_KEYS,
+) -> DataFrame:
+    """Where to cut the timelines of hot keys: one row (key, starts) per hot key.
+
+    A key is hot above ``max(chunk_rows, total / max_hot_keys)`` rows, so there are
+    at most ``max_hot_keys`` rows here and at most twice as many chunk starts in
+    all: small enough to broadcast at any table size. ``slot`` is the coarse
+    position in time (rows of one slot stay together); its distinct values per
+    key bound the one window used here.
+    """
+    per_key = rows.groupBy(key).agg(F.count(F.lit(1)).alias("key_rows"))
+    limit = per_key.agg(
+        F.greatest(F.lit(chunk_rows), F.ceil(F.sum("key_rows") / max_hot_keys)).cast("bigint").alias("limit")
+    )
+    hot = per_key.select(key, "key_rows", limit.scalar().alias("limit")).where(F.col("key_rows") > F.col("limit"))
+    slots = (
+        rows.select(key, slot)
+        .join(F.broadcast(hot.select(key, "limit")), key)
+        .groupBy(key, "limit", slot)
+        .agg(F.count(F.lit(1)).alias("slot_rows"))
+    )
+    running = F.sum("slot_rows").over(Window.partitionBy(key).orderBy(slot)) - F.col("slot_rows")
+    return (
+        slots.withColumn("chunk", F.floor(running / F.col("limit")))
+        .groupBy(key, "chunk")
+        .agg(F.min(slot).alias("start"))
+        .groupBy(key)
+        .agg(F.array_sort(F.collect_list("start")).alias("starts"))
+    )
+
+
+def assign_chunks(rows: DataFrame, cuts: DataFrame, key: str, slot: str, max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
+    """Add ``chunk`` (0 for ordinary keys) and ``hot`` to every row."""
+    placed = rows.join(F.broadcast(cuts), key, "left")
+    chunk = F.when(
+        F.col("starts").isNotNull(), entries_below(F.col("starts"), F.col(slot), 2 * max_hot_keys)
+    ).otherwise(F.lit(0))
+    return placed.select(*rows.columns, chunk.alias("chunk"), F.col("starts").isNotNull().alias("hot"))
+
+
+def with_lookback(rows: DataFrame, key: str, order: list[str], depth: int) -> DataFrame:
+    """Give each chunk of a hot key the last ``depth`` rows before it, marked ``carried``.
+
+    Afterwards a window per (key, chunk) with a frame of at most ``depth`` rows
+    back sees the same rows as a window per key. Drop ``carried`` rows after use.
+    ``order`` must be free of NULLs.
+    """
+    payload = [c for c in rows.columns if c not in (key, "chunk", "hot")]
+    latest_first = Window.partitionBy(key, "chunk").orderBy(*[F.desc(c) for c in order])
+    entry = F.struct(*order, *[c for c in payload if c not in order])
+    tails = (
+        rows.where("hot")
+        .withColumn("back", F.row_number().over(latest_first))
+        .where(F.col("back") <= depth)
+        .groupBy(key, "chunk")
+        .agg(F.collect_list(entry).alias("tail"))
+    )
+    # Every chunk has a row, so `depth` earlier chunks hold at least `depth` rows.
+    earlier = Window.partitionBy(key).orderBy("chunk").rowsBetween(-depth, -1)
+    carried = (
+        tails.withColumn("before", F.flatten(F.collect_list("tail").over(earlier)))
+        .select(key, "chunk", F.explode(F.slice(F.sort_array("before", asc=False), 1, depth)).alias("row"))
+        .select(key, "chunk", *[F.col(f"row.{c}").alias(c) for c in payload], F.lit(True).alias("carried"))
+    )
+    own = rows.select(key, "chunk", *payload, F.lit(False).alias("carried"))
+    return own.unionByName(carried)
+
+
+def chunk_totals(rows: DataFrame, key: str, measures: dict[str, Column]) -> DataFrame:
+    """One row per chunk of the hot keys with the given aggregates (broadcast size, see ``timeline_cuts``)."""
+    return rows.where("hot").groupBy(key, "chunk").agg(*[c.alias(n) for n, c in measures.items()])
