@@ -5,23 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-INT_MIN, INT_MAX = -(2**31), 2**31 - 1
-
-
 def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _text_of(c: str | Column) -> Column:
+    return F.trim(col(c).cast("string"))
+
+
 def to_double(c: str | Column) -> Column:
     """Text or number to double. Java's number suffixes (``1d``, ``1f``) do not count as numbers."""
-    text = F.trim(col(c).cast("string"))
-    return F.when(~text.rlike("[dDfF]$"), text.try_cast("double"))
+    if isinstance(c, str):
+        return F.expr(_double_sql(f"trim(cast(`{c}` as string))"))
+    text = _text_of(c)
+    return F.when(~F.substring(text, -1, 1).isin("d", "D", "f", "F"), text.try_cast("double"))
 
 
 def to_int(c: str | Column) -> Column:
-    """Text to int by way of double, so that '3.0' is 3, '3.5' is 4 and '1e2' is 100."""
-    number = F.round(to_double(c))
-    return F.when(number.between(INT_MIN, INT_MAX), number.cast("int"))
+    """Text or number to int, also by way of double, so that '3.0' is 3, '3.5' is 4 and '1e2' is 100."""
+    if isinstance(c, str):
+        text = f"trim(cast(`{c}` as string))"
+        return F.expr(f"coalesce(try_cast({text} as int), try_cast(round({_double_sql(text)}) as int))")
+    return F.coalesce(_text_of(c).try_cast("int"), F.round(to_double(c)).try_cast("int"))
+
+
+def _double_sql(text: str) -> str:
+    # One expression text instead of a dozen calls: wide tables have many such columns.
+    return f"case when substring({text}, -1, 1) not in ('d', 'D', 'f', 'F') then try_cast({text} as double) end"
 
 
 def to_date(c: str | Column) -> Column:

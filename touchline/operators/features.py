@@ -37,24 +37,39 @@ def require(df: DataFrame, columns: list[str] | tuple[str, ...] = REQUIRED) -> D
     return df
 
 
+# Columns read as whole numbers; every other number is a double.
+WHOLE = ("FTHome", "FTAway", "HTHome", "HTAway")
+# Columns that stay text.
+TEXT = ("Division", "MatchDate", "MatchTime", "HomeTeam", "AwayTeam", "FTResult", "HTResult")
+
+
+def typed_inputs(matches: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
+    """The known columns of a raw match table, each number cast once from text."""
+    numbers = [c for c in KEEP if c in matches.columns and c not in TEXT]
+    return matches.select(
+        *carry,
+        *[c for c in TEXT if c in matches.columns],
+        *[(to_int(c) if c in WHOLE else to_double(c)).alias(c) for c in numbers],
+    )
+
+
 def _difference(home: str, away: str, name: str) -> Callable[[], list[Column]]:
-    """Both sides as doubles and home minus away."""
+    """Both sides, and home minus away."""
 
     def build() -> list[Column]:
-        h, a = to_double(home), to_double(away)
-        return [h.alias(home), a.alias(away), (h - a).alias(name)]
+        return [F.col(home), F.col(away), (F.col(home) - F.col(away)).alias(name)]
 
     return build
 
 
 def _outcome(unplayed: str) -> list[Column]:
-    home, away = to_int("FTHome"), to_int("FTAway")
+    home, away = F.col("FTHome"), F.col("FTAway")
     label = F.when(home > away, "H").when(home < away, "A").otherwise("D")
     won = F.when(home > away, 1).otherwise(0)
     if unplayed == "null":
         played = home.isNotNull() & away.isNotNull()
         label, won = F.when(played, label), F.when(played, won)
-    return [home.alias("FTHome"), away.alias("FTAway"), label.alias("y_outcome"), won.alias("y_home_win")]
+    return [home, away, label.alias("y_outcome"), won.alias("y_home_win")]
 
 
 def _outcome_from_result() -> list[Column]:
@@ -73,25 +88,21 @@ def _no_outcome() -> list[Column]:
 
 
 def _half_time() -> list[Column]:
-    return [
-        to_int("HTHome").alias("HTHome"),
-        to_int("HTAway").alias("HTAway"),
-        F.coalesce("HTResult", F.lit("")).alias("HTResult"),
-    ]
+    return [F.col("HTHome"), F.col("HTAway"), F.coalesce("HTResult", F.lit("")).alias("HTResult")]
 
 
 def _elo() -> list[Column]:
-    h, a = to_double("HomeElo"), to_double("AwayElo")
+    h, a = F.col("HomeElo"), F.col("AwayElo")
     return [*_difference("HomeElo", "AwayElo", "elo_diff")(), ratio(h, h + a).alias("elo_ratio")]
 
 
 def odds_implied() -> list[Column]:
     """Prices, what they imply, the bookmaker's margin, and the shares without it."""
     prices = {"h": "OddHome", "d": "OddDraw", "a": "OddAway"}
-    implied = {k: inverse_odds(to_double(c)) for k, c in prices.items()}
+    implied = {k: inverse_odds(c) for k, c in prices.items()}
     total = add_up(list(implied.values()))
     return [
-        *[to_double(c).alias(c) for c in prices.values()],
+        *[F.col(c) for c in prices.values()],
         *[q.alias(f"q{k}") for k, q in implied.items()],
         total.alias("qsum"),
         *[ratio(implied[k], total).alias(f"p_{n}") for k, n in (("h", "home"), ("d", "draw"), ("a", "away"))],
@@ -103,30 +114,26 @@ def _best_odds() -> list[Column]:
     names = ("MaxHome", "MaxDraw", "MaxAway")
 
     def log_price(c: str) -> Column:
-        price = to_double(c)
-        return F.ln(F.when(price > 0, price))
+        return F.ln(F.when(F.col(c) > 0, F.col(c)))
 
-    return [
-        *[to_double(c).alias(c) for c in names],
-        (log_price("MaxAway") - log_price("MaxHome")).alias("log_odds_away_vs_home"),
-    ]
+    return [*names, (log_price("MaxAway") - log_price("MaxHome")).alias("log_odds_away_vs_home")]
 
 
 def _accuracy() -> list[Column]:
-    home = ratio(to_double("HomeTarget"), to_double("HomeShots"))
-    away = ratio(to_double("AwayTarget"), to_double("AwayShots"))
+    home = ratio(F.col("HomeTarget"), F.col("HomeShots"))
+    away = ratio(F.col("AwayTarget"), F.col("AwayShots"))
     return [home.alias("shot_acc_home"), away.alias("shot_acc_away"), (home - away).alias("shot_acc_diff")]
 
 
 def _dominance() -> list[Column]:
-    corners = to_double("HomeCorners") - to_double("AwayCorners")
-    shots = to_double("HomeShots") - to_double("AwayShots")
+    corners = F.col("HomeCorners") - F.col("AwayCorners")
+    shots = F.col("HomeShots") - F.col("AwayShots")
     return [((corners + shots) / F.lit(2.0)).alias("dominance_index")]
 
 
 def _momentum(side: str) -> Callable[[], list[Column]]:
     def build() -> list[Column]:
-        gain = to_double(f"Form5{side}") - to_double(f"Form3{side}")
+        gain = F.col(f"Form5{side}") - F.col(f"Form3{side}")
         return [gain.alias(f"form_momentum_{side.lower()}")]
 
     return build
@@ -154,7 +161,7 @@ FAMILIES: tuple[tuple[tuple[str, ...], Callable[[], list[Column]]], ...] = (
 
 
 def build_features(matches: DataFrame, unplayed: str = "draw", carry: tuple[str, ...] = ()) -> DataFrame:
-    """Base features of each match in one projection.
+    """Base features of each match: one projection that casts, one that derives.
 
     ``unplayed``  a match without a score is labelled a draw ("draw") or not at all ("null");
     ``carry``     further columns to pass through, such as a row id.
@@ -184,7 +191,7 @@ def build_features(matches: DataFrame, unplayed: str = "draw", carry: tuple[str,
     for inputs, build in FAMILIES:
         if has.issuperset(inputs):
             columns += build()
-    return matches.select(*columns)
+    return typed_inputs(matches, carry).select(*columns)
 
 
 def label_summary(features: DataFrame) -> DataFrame:

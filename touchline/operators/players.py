@@ -56,27 +56,51 @@ def player_rows(df: DataFrame) -> DataFrame:
     return df.where((F.lower("table_type") == "summary") & ~footer)
 
 
-def _stat(name: str, layout: dict[str, int]) -> Column:
+def _cast(text: Column, name: str) -> Column:
     if name in TEXT_STATS:
-        return F.col(f"c{layout[name]:02d}").alias(name)
-    kind = "double" if name in DECIMAL_STATS else "int"
-    if name not in layout:
-        return F.lit(None).cast(kind).alias(name)
-    text = F.replace(F.col(f"c{layout[name]:02d}"), F.lit("%"), F.lit(""))
-    if name != "pass_cmp_pct":
-        text = F.col(f"c{layout[name]:02d}")
-    return (to_double(text) if kind == "double" else to_int(text)).alias(name)
+        return text
+    if name == "pass_cmp_pct":
+        text = F.replace(text, F.lit("%"), F.lit(""))
+    return to_double(text) if name in DECIMAL_STATS else to_int(text)
+
+
+def _nothing(name: str) -> Column:
+    return F.lit(None).cast("string" if name in TEXT_STATS else "double" if name in DECIMAL_STATS else "int")
 
 
 def harmonise(df: DataFrame, layout: dict[str, int]) -> DataFrame:
     """Player rows of one layout under the shared names; stats the layout lacks are NULL."""
-    return player_rows(df).select(*[_stat(n, layout) for n in (*TEXT_STATS, *NUMBER_STATS)], *TAIL)
+    columns = [
+        (_cast(F.col(f"c{layout[n]:02d}"), n) if n in layout else _nothing(n)).alias(n)
+        for n in (*TEXT_STATS, *NUMBER_STATS)
+    ]
+    return player_rows(df).select(*columns, *TAIL)
 
 
 def harmonise_players(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Both layouts, each from a table of its own."""
     return harmonise(old, OLD_LAYOUT).unionByName(harmonise(new, NEW_LAYOUT))
 
 
+def harmonise_split(split: DataFrame) -> DataFrame:
+    """Both layouts straight from the ragged splitter, in one pass over its rows.
+
+    The place of a stat depends on the era of the row, so nothing has to be read
+    once per layout and put together again.
+    """
+    summary = F.lower("table_type") == "summary"
+    footer = F.coalesce(F.lower(F.get("fields", F.lit(0))), F.lit("")).contains("players")
+    rows = split.where(F.col("tag").startswith("summary_") & summary & ~footer)
+    is_new = F.col("tag") == "summary_neu"
+
+    def text(name: str) -> Column:
+        old, new = (F.lit(p.get(name, 0) - 1) for p in (OLD_LAYOUT, NEW_LAYOUT))
+        # An index of -1 is out of range and gives NULL.
+        return F.get("fields", old if OLD_LAYOUT.get(name) == NEW_LAYOUT.get(name) else F.when(is_new, new).otherwise(old))
+
+    return rows.select(*[_cast(text(n), n).alias(n) for n in (*TEXT_STATS, *NUMBER_STATS)], *TAIL)
+
+
 def union_loose(frames: list[DataFrame]) -> DataFrame:
     """Union of frames with different columns; absent ones are NULL."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

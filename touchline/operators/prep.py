@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.functions.casts import present, to_double, to_match_date
+from touchline.operators.quantiles import exact_quantiles
 
 # Ids and repeats that are no features.
 META = ("Division", "HomeTeam", "AwayTeam", "MatchDate", "MatchTime", "match_time_sort", "y_home_win")
@@ -113,14 +114,11 @@ class FeatureSchema:
 
     def save(self, spark: SparkSession, path: str) -> None:
         """One small text file on whatever file system the path names."""
-        spark.createDataFrame([(self.to_json(),)], "value string").coalesce(1).write.mode("overwrite").option(
-            "lineSep", "\u0000"
-        ).text(path)
+        spark.createDataFrame([(self.to_json(),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> FeatureSchema:
-        body = spark.read.text(path, wholetext=True).first()[0]
-        return FeatureSchema.from_json(body.rstrip("\u0000"))
+        return FeatureSchema.from_json(spark.read.text(path, wholetext=True).first()[0])
 
     def struct(self) -> T.StructType:
         """Types of a fixture record: numbers as double, the rest as text."""
@@ -189,8 +187,6 @@ def median_table(df: DataFrame, columns: list[str], source: str = "own") -> Data
     ``own``    every split has its own medians;
     ``train``  every split gets those of the training rows.
     """
-    from touchline.operators.quantiles import exact_quantiles
-
     if source not in ("own", "train"):
         raise ValueError(f"unknown median source: {source}")
     rows = df if source == "own" else df.where(F.col("split") == "train")

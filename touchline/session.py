@@ -19,10 +19,24 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Runtime settings the wide projections here profit from; a value the user set stays.
+
+    A generated method above 8000 bytes is never compiled by the JVM. With this
+    limit Spark falls back to projections split into small methods, which are.
+    """
+    wanted = {"spark.sql.codegen.hugeMethodLimit": "8000"}
+    for key, value in wanted.items():
+        if spark.conf.get(key) in (None, "65535"):
+            spark.conf.set(key, value)
+    return spark
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Point the context at the folder named in ``spark.checkpoint.dir``.
 
@@ -48,3 +62,12 @@ def materialise(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a table of fewer files than cores over all cores before costly work per row.
+
+    A table of many files is left as it is: it needs no extra shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df

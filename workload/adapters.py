@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from touchline.session import spread
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -190,7 +192,8 @@ def player_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A line of ragged CSV text per order line."""
     year = F.year("l_shipdate") + 20
     new = year >= 2018
-    lines = table(spark, sf_dir, "lineitem")
+    columns = "l_orderkey l_linenumber l_partkey l_suppkey l_quantity l_returnflag l_linestatus l_shipdate".split()
+    lines = spread(table(spark, sf_dir, "lineitem").select(*columns))
     part, number = F.col("l_partkey"), F.col("l_linenumber")
 
     def stat(i: int) -> Column:

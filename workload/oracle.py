@@ -381,6 +381,7 @@ ORACLE["harmonise_players"] = (
     + ", ".join(r(n, n) if n in _DECIMAL else n for n in _ALL)
     + f", {_TAIL} from pu"
 )
+ORACLE["harmonise_two_tables"] = ORACLE["harmonise_players"]
 _SUMS = {n: f"{n}_sum" for n in _ALL if n not in ("og", "pkwon", "pkcon", "touches", "pass_cmp_pct")} | {
     "crdy": "yel_sum",
     "crdr": "red_sum",

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from touchline.operators import betting, evaluate, features, history, names, players, prep, profile, resolve, split, streaks
+from touchline.session import materialise, tune
 from touchline.sources import pages, ragged, records, tables
 from workload import adapters as a
 
@@ -22,7 +24,11 @@ ROUND = 6
 
 
 def query(fn: Query) -> Query:
-    REGISTRY[fn.__name__] = fn
+    @wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(tune(spark), sf_dir)
+
+    REGISTRY[fn.__name__] = run
     return fn
 
 
@@ -47,7 +53,7 @@ def features_base(spark, sf_dir):
 
 @query
 def odds_implied(spark, sf_dir):
-    m = a.matches_text(spark, sf_dir)
+    m = features.typed_inputs(a.matches_text(spark, sf_dir), carry=("match_no",))
     return rounded(m.select("match_no", *features.odds_implied()))
 
 
@@ -155,7 +161,7 @@ def fill_derived_form(spark, sf_dir):
 
 @query
 def ragged_split(spark, sf_dir):
-    out = ragged.split_ragged(a.player_lines(spark, sf_dir))
+    out = split_lines(spark, sf_dir)
     lead = {f"c{i:02d}": F.get("fields", F.lit(i - 1)) for i in (1, 2, 6, 31)}
     return out.select("tag", F.col("width").cast("bigint").alias("width"),
                       *[c.alias(n) for n, c in lead.items()], *ragged.TAIL)
@@ -163,12 +169,12 @@ def ragged_split(spark, sf_dir):
 
 @query
 def width_profile(spark, sf_dir):
-    return ragged.width_profile(a.player_lines(spark, sf_dir))
+    return ragged.width_profile(materialise(a.player_lines(spark, sf_dir)))
 
 
 @query
 def top_widths(spark, sf_dir):
-    return ragged.top_widths(ragged.width_profile(a.player_lines(spark, sf_dir)), 2)
+    return ragged.top_widths(ragged.width_profile(materialise(a.player_lines(spark, sf_dir))), 2)
 
 
 @query
@@ -269,11 +275,22 @@ def keep_columns(spark, sf_dir):
     return features.keep_columns(a.matches_text(spark, sf_dir), ["Division", "MatchDate", "Referee", "HomeTeam", "FTHome"])[0]
 
 
+def split_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tagged lines; the text itself is written first, as a scraped file would be."""
+    return ragged.split_ragged(materialise(a.player_lines(spark, sf_dir)))
+
+
 def unified_players(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = ragged.split_ragged(a.player_lines(spark, sf_dir))
+    return players.harmonise_split(split_lines(spark, sf_dir))
+
+
+@query
+def harmonise_two_tables(spark, sf_dir):
+    """The same rows by way of one table per layout."""
+    rows = split_lines(spark, sf_dir)
     old = ragged.to_columns(rows, "summary_alt", ragged.OLD_WIDTH)
     new = ragged.to_columns(rows, "summary_neu", ragged.NEW_WIDTH)
-    return players.harmonise_players(old, new)
+    return rounded(players.harmonise_players(old, new))
 
 
 @query
