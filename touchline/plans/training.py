@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.chance import LABELS
-from touchline.operators import betting, evaluate, learn, prep, split
+from touchline.operators import betting, evaluate, learn, prep
 from touchline.session import materialise
 
 
@@ -122,16 +122,14 @@ def score_fixtures(
     Model columns the fixtures lack are 0; empty cells are too unless ``missing``
     is "keep". Works on a stream as on a table.
     """
-    numeric = [c for c in schema.columns if c in schema.num_cols]
-    aligned = prep.align_coerce(fixtures.withColumns({f"_in_{c}": F.col(c) for c in fixtures.columns}), schema,
-                                carry=tuple(f"_in_{c}" for c in fixtures.columns))
+    inputs = {c: f"_in_{c}" for c in fixtures.columns}
+    both = fixtures.withColumns({kept: F.col(c) for c, kept in inputs.items()})
+    aligned = prep.missing_flags(prep.align_coerce(both, schema, carry=tuple(inputs.values())))
+    absent = [c for c in learn.model_columns(model) if c not in aligned.columns]
+    aligned = aligned.withColumns({c: F.lit(0.0) for c in absent})
     if missing == "zero":
-        aligned = prep.fill_zero(aligned, numeric)
+        aligned = prep.fill_zero(aligned, learn.model_columns(model))
     scored = model.score(aligned)
     chances = [f"p_{c}" for c in LABELS]
-    back = scored.select(*[F.col(f"_in_{c}").alias(c) for c in fixtures.columns], *chances)
+    back = scored.select(*[F.col(kept).alias(c) for c, kept in inputs.items()], *chances)
     return betting.edges_raw(back, threshold=threshold, kelly=kelly)
-
-
-def by_date(features: DataFrame, **cuts) -> DataFrame:
-    return split.split_by_date(features, **cuts)

@@ -10,7 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from touchline.operators import betting, evaluate, features, history, names, players, prep, profile, resolve, split, streaks
+from touchline.operators import (
+    betting,
+    evaluate,
+    features,
+    history,
+    learn,
+    names,
+    players,
+    prep,
+    profile,
+    resolve,
+    split,
+    streaks,
+)
+from touchline.plans import training
 from touchline.session import materialise, tune
 from touchline.sources import pages, ragged, records, tables
 from workload import adapters as a
@@ -615,3 +629,43 @@ def score_edges_raw(spark, sf_dir):
     out = betting.edges_raw(rows, odds=named, threshold=0.05, kelly=True)
     sides = ("home", "draw", "away")
     return rounded(out.select("match_no", *[f"{m}_{s}" for m in ("proba", "edge", "kelly") for s in sides]))
+
+
+# ---- models: trained on the whole table when the query is built, with few and small trees
+
+
+ODDS_ONLY = "OddHome OddDraw OddAway qh qd qa qsum p_home p_draw p_away overround MaxHome MaxDraw MaxAway".split()
+
+
+def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialise(dated(spark, sf_dir).where("split is not null"))
+
+
+def small_boosted(spark: SparkSession, sf_dir: str, calibration: str) -> training.Boosted:
+    params = learn.BoostedParams(rounds=5, depth=3)
+    return training.train_boosted(
+        training_rows(spark, sf_dir), params=params, calibration=calibration, weights=learn.BOOSTED_WEIGHTS
+    )
+
+
+@query
+def baseline_scores(spark, sf_dir):
+    return rounded(training.train_baselines(training_rows(spark, sf_dir), trees=10, depth=5, max_iter=30).scores)
+
+
+@query
+def boosted_scores(spark, sf_dir):
+    return rounded(small_boosted(spark, sf_dir, "sigmoid").scores)
+
+
+@query
+def blended_scores(spark, sf_dir):
+    return rounded(training.blend_with_market(small_boosted(spark, sf_dir, "isotonic")))
+
+
+@query
+def fixture_scores(spark, sf_dir):
+    """Every match scored as a fixture by the calibrated model."""
+    result = small_boosted(spark, sf_dir, "isotonic")
+    rows = base(spark, sf_dir).select("match_no", *prep.FIXTURE_COLUMNS)
+    return rounded(training.score_fixtures(rows, result.calibrated, prep.FIXTURE_SCHEMA, kelly=True))
