@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.functions.chance import LABELS
-from touchline.operators import betting, evaluate, learn, prep
+from touchline.operators import betting, evaluate, learn, prep, split
 from touchline.session import materialise
 
 
@@ -133,3 +133,8 @@ def score_fixtures(
     chances = [f"p_{c}" for c in LABELS]
     back = scored.select(*[F.col(kept).alias(c) for c, kept in inputs.items()], *chances)
     return betting.edges_raw(back, threshold=threshold, kelly=kelly)
+
+
+def split_rows(features: DataFrame, **cuts) -> DataFrame:
+    """Features with their ``split`` by cut-off days; undated rows are left out."""
+    return split.split_by_date(features, **cuts).where("split is not null")
