@@ -187,8 +187,12 @@ def test_windows_share_one_shuffle(spark):
 
 
 def test_latest_matches(spark):
-    view = history.team_view(spark.createDataFrame(hot_matches(), SCHEMA))
-    rows = streaks.latest_matches(streaks.streaks(view), "HOT", 5).collect()
+    found = streaks.streaks(history.team_view(spark.createDataFrame(hot_matches(), SCHEMA)))
+    rows = streaks.latest_matches(found, 5, team="HOT").collect()
     assert len(rows) == 5
     days = [r["match_date"] for r in rows if r["match_date"]]
     assert days == sorted(days, reverse=True)
+    each = streaks.latest_matches(found, 5)
+    assert {r["n"] for r in each.groupBy("team").agg(F.count("*").alias("n")).collect()} == {5}
+    assert {r["match_id"] for r in each.where("team = 'HOT'").collect()} == {r["match_id"] for r in rows}
+    assert "WindowGroupLimit" in each._jdf.queryExecution().sparkPlan().toString()

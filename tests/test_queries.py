@@ -37,3 +37,28 @@ def test_query_equals_sql(spark, con, tiny, name):
 def test_no_all_pairs_join(spark, tiny, name):
     plan = REGISTRY[name](spark, tiny)._jdf.queryExecution().optimizedPlan().toString()
     assert "Join Cross" not in plan and "CartesianProduct" not in plan
+
+
+def plan_of(spark, tiny, name):
+    return REGISTRY[name](spark, tiny)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_scans_read_only_what_they_need(spark, tiny):
+    plan = plan_of(spark, tiny, "entity_names")
+    assert "s_acctbal" not in plan and "s_name" in plan
+    assert "l_returnflag" not in plan and "o_totalprice" not in plan
+
+
+def test_first_two_lines_are_cut_before_the_shuffle(spark, tiny):
+    assert "WindowGroupLimit" in plan_of(spark, tiny, "entity_names")
+
+
+def test_matches_are_found_by_hash_on_teams_and_day(spark, tiny):
+    plan = REGISTRY["match_candidates"](spark, tiny)._jdf.queryExecution().sparkPlan().toString()
+    assert "NestedLoop" not in plan
+    assert any("_day" in line and "Join" in line for line in plan.splitlines())
+
+
+def test_filters_reach_the_scan(spark, tiny):
+    plan = spark.read.parquet(f"{tiny}/nation.parquet").where("n_name = 'X'")._jdf.queryExecution().executedPlan()
+    assert "PushedFilters: [IsNotNull(n_name), EqualTo(n_name,X)]" in plan.toString()

@@ -135,7 +135,7 @@ def rolling(view: DataFrame, chunk_rows: int = skew.CHUNK_ROWS) -> DataFrame:
 def attach_rolling(
     matches: DataFrame, history: DataFrame, match_id: str = "match_id", attach: str = "match_id"
 ) -> DataFrame:
-    """Bring the home and the away history back to the match row.
+    """Bring the home and the away history back to the match row; ``match_id`` must be unique.
 
     ``match_id``   one output row per match (default);
     ``three_key``  joins on team, date and kick-off: a team with two matches at

@@ -107,7 +107,14 @@ def _chunk_carry(rows: DataFrame, breaks: dict[str, Column]) -> DataFrame:
     )
 
 
-def latest_matches(streak_rows: DataFrame, team: str, n: int = 20) -> DataFrame:
-    """The last ``n`` rows of one team, newest first."""
-    newest = [F.desc(c) for c in ("match_date", "match_time_sort", "Division", "opponent", "match_id")]
-    return streak_rows.where(F.col("team") == team).orderBy(*newest).limit(n)
+def latest_matches(streak_rows: DataFrame, n: int = 20, team: str | None = None) -> DataFrame:
+    """The last ``n`` rows of each team, or of one team, newest first.
+
+    Per team Spark keeps at most ``n`` rows of a team in each task before the
+    shuffle (a limit on a row number), so a team of any size is cheap.
+    """
+    newest = [F.desc_nulls_last(c) for c in ("match_date", "match_time_sort", "Division", "opponent", "match_id")]
+    if team is not None:
+        return streak_rows.where(F.col("team") == team).orderBy(*newest).limit(n)
+    place = F.row_number().over(Window.partitionBy("team").orderBy(*newest))
+    return streak_rows.withColumn("_place", place).where(F.col("_place") <= n).drop("_place")

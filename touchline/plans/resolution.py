@@ -25,7 +25,8 @@ def resolve_matches(lines: DataFrame, matches: DataFrame, manual: DataFrame, var
     """Team rows per report, the name map, and which match each report belongs to."""
     unified = players.harmonise_split(ragged.split_ragged(lines))
     team_rows = materialise(players.enrich_titles(players.team_aggregate(unified), unified))
-    feed = resolve.report_feed(team_rows)
+    # A report appears once per team row; one copy is enough to find its match.
+    feed = resolve.report_feed(team_rows).distinct()
     report_names = names.entity_names(team_rows, ["home_team_fb", "away_team_fb"])
     match_names = names.entity_names(matches, ["HomeTeam", "AwayTeam"])
     name_map = names.compile_map(names.name_auto_map(report_names, match_names, variant), manual)

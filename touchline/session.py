@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,13 +56,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it from there.
+    """Write ``df`` once as a Parquet table in the shared checkpoint folder and read it from there.
 
-    Used where one frame feeds several jobs (model search, skew statistics);
-    unlike ``persist`` the copy survives the loss of an executor.
+    Used where one frame feeds several passes (model search, skew statistics).
+    Unlike ``persist`` the copy survives the loss of an executor, and unlike an RDD
+    checkpoint it is read by column and its size is known to the planner.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:

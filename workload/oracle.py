@@ -248,8 +248,8 @@ ORACLE["streaks"] = f"with {STREAK}, s as (select *, {_DOCUMENTED} from g) selec
 ORACLE["streaks_as_written"] = f"with {STREAK}, s as (select *, {_WRITTEN} from g) select {_STREAK_OUT}, {_IN} from s"
 ORACLE["latest_matches"] = f"""with {STREAK}, s as (select *, {_DOCUMENTED} from g),
 o as (select {_STREAK_OUT}, {_IN} from s)
-select * from o where team = 'Supplier#000000001'
-order by match_date desc nulls last, match_time_sort desc, Division desc, opponent desc, match_no desc limit 20"""
+select * from o qualify row_number() over (partition by team order by match_date desc nulls last,
+  match_time_sort desc, Division desc, opponent desc, match_no desc) <= 20"""
 
 # ---- derived columns of an entry form
 

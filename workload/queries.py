@@ -76,11 +76,17 @@ def label_summary(spark, sf_dir):
     return features.label_summary(features.build_features(a.matches_text(spark, sf_dir), unplayed="null"))
 
 
+def written_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What history reads of the text matches, written once: history counts teams first, then reads the rows."""
+    columns = "match_no MatchDate MatchTime Division HomeTeam AwayTeam FTHome FTAway HomeElo AwayElo".split()
+    return materialise(a.matches_text(spark, sf_dir).select(*columns))
+
+
 VIEW = "match_no side match_date match_time_sort Division team opponent goals_for goals_against".split()
 
 
 def view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.team_view(a.matches_text(spark, sf_dir), "match_no")
+    return history.team_view(written_matches(spark, sf_dir), "match_no")
 
 
 def rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,14 +124,14 @@ def form_momentum(spark, sf_dir):
 def lagged_features(spark, sf_dir):
     m = base(spark, sf_dir).select("match_no", *"MatchDate MatchTime Division HomeTeam AwayTeam".split(),
                                    *"FTHome FTAway HomeElo AwayElo y_outcome".split())
-    return rounded(history.lagged_features(m, "match_no"))
+    return rounded(history.lagged_features(materialise(m), "match_no"))
 
 
 @query
 def lagged_three_key(spark, sf_dir):
     m = base(spark, sf_dir).select("match_no", *"MatchDate MatchTime Division HomeTeam AwayTeam".split(),
                                    *"FTHome FTAway HomeElo AwayElo".split())
-    return rounded(history.lagged_features(m, "match_no", attach="three_key"))
+    return rounded(history.lagged_features(materialise(m), "match_no", attach="three_key"))
 
 
 def streaks_documented(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,7 +148,7 @@ def streaks_as_written(spark, sf_dir):
 
 @query
 def latest_matches(spark, sf_dir):
-    rows = streaks.latest_matches(streaks.streaks(view(spark, sf_dir)), "Supplier#000000001")
+    rows = streaks.latest_matches(streaks.streaks(view(spark, sf_dir)))
     return rows.withColumnRenamed("match_id", "match_no")
 
 
@@ -471,7 +477,7 @@ NUMERIC = "FTHome FTAway HomeElo AwayElo elo_diff OddHome OddDraw qsum p_home sh
 
 @query
 def describe_numeric(spark, sf_dir):
-    return rounded(profile.describe_numeric(base(spark, sf_dir), NUMERIC))
+    return rounded(profile.describe_numeric(materialise(base(spark, sf_dir).select(*NUMERIC)), NUMERIC))
 
 
 @query
@@ -512,7 +518,7 @@ def date_split(spark, sf_dir):
 @query
 def fraction_split(spark, sf_dir):
     rows = base(spark, sf_dir).select("match_no", "match_date")
-    return split.split_by_fraction(rows)
+    return split.split_by_fraction(materialise(rows))
 
 
 @query
@@ -525,7 +531,7 @@ def prep_matrix(spark, sf_dir):
 def missing_flags(spark, sf_dir):
     m = base(spark, sf_dir).select("match_no", *"MatchDate MatchTime Division HomeTeam AwayTeam".split(),
                                    *"FTHome FTAway HomeElo AwayElo".split())
-    flagged = prep.missing_flags(history.lagged_features(m, "match_no"))
+    flagged = prep.missing_flags(history.lagged_features(materialise(m), "match_no"))
     return flagged.select("match_no", *[f"{c}__is_na" for c in prep.MAY_BE_MISSING])
 
 
@@ -534,13 +540,13 @@ IMPUTED = "HomeElo elo_diff OddHome OddDraw qsum shot_acc_home".split()
 
 @query
 def median_impute(spark, sf_dir):
-    rows = dated(spark, sf_dir).where("split is not null").select("match_no", "split", *IMPUTED)
+    rows = materialise(dated(spark, sf_dir).where("split is not null").select("match_no", "split", *IMPUTED))
     return rounded(prep.median_impute(rows, IMPUTED, source="train"))
 
 
 @query
 def median_impute_own(spark, sf_dir):
-    rows = dated(spark, sf_dir).where("split is not null").select("match_no", "split", *IMPUTED)
+    rows = materialise(dated(spark, sf_dir).where("split is not null").select("match_no", "split", *IMPUTED))
     return rounded(prep.median_impute(rows, IMPUTED, source="own"))
 
 
@@ -573,7 +579,7 @@ def confusion(spark, sf_dir):
 
 @query
 def reliability(spark, sf_dir):
-    rows = evaluate.reliability(scored(spark, sf_dir))
+    rows = evaluate.reliability(materialise(scored(spark, sf_dir)))
     return rounded(rows.withColumn("bin", F.col("bin").cast("bigint")))
 
 
