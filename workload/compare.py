@@ -26,7 +26,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _cell(v):
     if isinstance(v, float):
-        return None if math.isnan(v) else round(v, 6) + 0.0
+        return None if math.isnan(v) else v + 0.0
     if isinstance(v, dt.datetime) and v.time() == dt.time(0):
         return v.date()
     return v
