@@ -11,7 +11,7 @@ import json
 import os
 import time
 
-from touchline.session import local_session
+from touchline.session import drop_materialised, local_session
 from workload.queries import REGISTRY
 
 HEADLINE = (
@@ -40,6 +40,7 @@ def main() -> None:
     scale = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     line = {"metric": "headline_queries_total", "value": total, "unit": "sec", "queries": seconds, "sf": float(scale)}
     print(json.dumps(line))
+    drop_materialised(spark)
     spark.stop()
 
 

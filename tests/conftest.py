@@ -5,14 +5,15 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from touchline.session import local_session  # noqa: E402
+from touchline.session import drop_materialised, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(8, shuffle_partitions=4, app="touchline-tests")
     session.sparkContext.setLogLevel("ERROR")
-    return session
+    yield session
+    drop_materialised(session)
 
 
 @pytest.fixture(scope="session")

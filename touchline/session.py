@@ -66,9 +66,24 @@ def materialise(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Tables written by ``materialise`` in this driver and not dropped yet.
+_written: list[str] = []
+
+
+def drop_materialised(spark: SparkSession) -> int:
+    """Delete the tables ``materialise`` has written; frames that read them are dead afterwards."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    dropped = 0
+    while _written:
+        place = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        dropped += bool(place.getFileSystem(conf).delete(place, True))
+    return dropped
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Spread a table of fewer files than cores over all cores before costly work per row.
 
