@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, packing, secrets, sharding
+from . import decontam, langid, line_dedup, packing, secrets, sharding, simhash, topk, toxicity, xent
+from .tables import held_out
 
 #: Production parameters of the placement query.
 SHARDS = tuple(f"shard-{i:03d}" for i in range(64))
@@ -25,6 +26,26 @@ def tokenizer_path(file: str = "word_bpe_49k.json") -> str:
     return str(public_tokenizers.path(file))
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    found = simhash.classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten best vectors for every hundredth one."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from three quarters of the labels."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(~held_out("doc_id")))
+    told = toxicity.score(docs, model)
+    return told.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -36,18 +57,51 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "lines.n_lines", "lines.n_dropped", "lines.kept_sha256")
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three quarters of them."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(~held_out("doc_id")))
+    told = langid.identify(docs, model)
+    return told.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Slot and shard of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id")
     return sharding.place(docs, "doc_id", SHARDS)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a benchmark item of which it holds a passage."""
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cross-entropy difference of every document: labelled good ones are the target, all are the background."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    good = table(spark, sf_dir, "labels").where("quality = 1").select(F.col("doc_id").alias("good_id")).distinct()
+    marked = docs.join(good, F.col("doc_id") == F.col("good_id"), "left").withColumn("good", F.col("good_id").isNotNull())
+    return xent.score(docs, xent.train(marked, "text", "good"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and spans of secrets of every document."""
     return secrets.digest(secrets.scan_secrets(table(spark, sf_dir, "documents")))
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_packing, op5_line_dedup, op7_sharding, op10_secret_scan)
+    f.__name__: f
+    for f in (
+        op1_simhash,
+        op2_topk,
+        op3_toxicity,
+        op4_packing,
+        op5_line_dedup,
+        op6_language_id,
+        op7_sharding,
+        op8_decontamination,
+        op9_lm_scoring,
+        op10_secret_scan,
+    )
 }
 ORACLE: dict[str, str] = {}
