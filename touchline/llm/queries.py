@@ -105,3 +105,58 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     )
 }
 ORACLE: dict[str, str] = {}
+
+ORACLE["op2_topk"] = """
+with v as (
+  select vec_id, list_transform(embedding, lambda c: floor(1024 * cast(c as double))) as q from embeddings
+  where vec_id is not null and embedding is not null
+    and len(list_filter(embedding, lambda c: c is null or not isfinite(c))) = 0),
+s as (
+  select a.vec_id as query_id, b.vec_id, cast(list_inner_product(a.q, b.q) as bigint) as score
+  from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from s)
+select query_id, rank, vec_id, score from r where rank <= 10"""
+
+_SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+ORACLE["op5_line_dedup"] = f"""
+with d as (select doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents),
+e as (select doc_id, i, lines[i] as line from d, unnest(range(1, len(lines) + 1)) as t(i)),
+k as (select *, translate(trim(line, {_SPACES}), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key from e),
+r as (select key, min(doc_id) as first from k where length(key) >= 10 group by key having count(distinct doc_id) > 1),
+j as (select k.*, coalesce(k.doc_id <> r.first, false) as gone from k left join r on k.key = r.key)
+select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not gone), '')) as kept_sha256
+from j group by doc_id"""
+
+
+def _sql_hits(order: int) -> str:
+    _, pattern, group, least = secrets.KINDS[order]
+    quoted = "'" + pattern.replace("'", "''") + "'"
+    return f"""
+  select doc_id, source, {order} as kind, start, start + length(hit) as stop, value from (
+    select doc_id, source, hit, value, sum(length(gap) + coalesce(length(before), 0)) over (
+      partition by doc_id order by i) as start
+    from (select doc_id, source, i, hits[i] as hit, vals[i] as value, gaps[i] as gap, hits[i - 1] as before
+      from (select doc_id, source, regexp_extract_all(text, {quoted}, 0) as hits,
+          regexp_extract_all(text, {quoted}, {group}) as vals, string_split_regex(text, {quoted}) as gaps
+        from documents where regexp_matches(text, {quoted})),
+      unnest(range(1, len(hits) + 1)) as t(i)))
+  where length(value) >= {least}"""
+
+
+_NAMES = "['" + "', '".join([k[0] for k in secrets.KINDS] + [secrets.LIVE]) + "']"
+_SPAN = f"({_NAMES})[kind + 1] || ':' || start || ':' || stop"
+ORACLE["op10_secret_scan"] = f"""
+with h as ({" union all ".join(map(_sql_hits, range(len(secrets.KINDS))))}),
+o as (select value as held, count(distinct coalesce(source, '')) as owners from h group by 1),
+live as (
+  select distinct doc_id, stop - length(value) as start, {len(secrets.KINDS)} as kind, stop, value from h join o on held = value
+  where owners < {secrets.EXAMPLE_OWNERS} and regexp_matches(value, '[0-9]') and regexp_matches(value, '[A-Za-z]')
+    and len(list_distinct(string_split(value, ''))) >= {secrets.LIVE_CHARACTERS}),
+b as (select doc_id, {", ".join(f"count(*) filter (where kind = {k}) as n_{n[0]}" for k, n in enumerate(secrets.KINDS))},
+  string_agg({_SPAN}, ',' order by start, kind) as spans from h group by 1),
+a as (select doc_id, string_agg({_SPAN}, ',' order by start, kind) as spans, count(*) filter (where kind = {len(secrets.KINDS)}) as n_live
+  from (select doc_id, kind, start, stop from h union all select doc_id, kind, start, stop from live) group by 1)
+select d.doc_id, {", ".join(f"coalesce(n_{n[0]}, 0) as n_{n[0]}" for n in secrets.KINDS)},
+  sha256(coalesce(b.spans, '')) as base_sha256, coalesce(a.spans, '') as spans, coalesce(n_live, 0) as n_live
+from documents d left join b on b.doc_id = d.doc_id left join a on a.doc_id = d.doc_id"""
