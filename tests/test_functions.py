@@ -99,3 +99,17 @@ def test_kelly(spark):
     df = spark.createDataFrame([(0.6, 2.0), (0.4, 2.0), (0.6, 1.0), (0.6, None)], "p double, o double")
     got = [r[0] for r in df.select(chance.kelly_fraction(F.col("p"), F.col("o"))).collect()]
     assert got == [pytest.approx(0.2), 0.0, 0.0, 0.0]
+
+
+def test_character_references(spark):
+    texts = {
+        "Jos&eacute; &#x27;K&#39;": "José 'K'",
+        "&#128512; &#x1F600;": "😀 😀",
+        "&amp;lt; &lt; &nope; & &;": "&lt; < &nope; & &;",
+        "&#0; &#xD800; &#99999999;": "\ufffd \ufffd \ufffd",
+        "plain": "plain",
+        "": "",
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r[0]: r[1] for r in df.select("t", html.decode_entities("t")).collect()}
+    assert got == texts

@@ -85,12 +85,39 @@ def test_baselines(rows):
     assert all(v < 1.05 for v in got.values())
 
 
+def test_empty_cells_are_filled_as_in_training(spark, rows, boosted, tmp_path):
+    """A fixture with empty cells scores as the same row imputed by hand, also after a reload."""
+    schema = prep.FeatureSchema(tuple(COLUMNS), ("match_date",), ("match_date", *COLUMNS))
+    learn.save(boosted.calibrated, schema, spark, str(tmp_path / "m"))
+    loaded, schema = learn.load(spark, str(tmp_path / "m"))
+    medians = learn.medians_of(loaded)
+    assert medians == learn.medians_of(boosted.calibrated) and set(COLUMNS) <= set(medians)
+    table = rows.where("split = 'test'").select("id", "match_date", *COLUMNS).limit(30)
+    holes = table.selectExpr("id", "match_date", *[f"case when {i} % 3 = 0 then null else {c} end as {c}" for i, c in enumerate(COLUMNS) if c != "qa"])
+    whole = holes.selectExpr("id", "match_date", *[f"coalesce({c}, {medians[c]}D) as {c}" for c in COLUMNS if c != "qa"], f"{medians['qa']}D as qa")
+    score = lambda df, how: {r["id"]: r["proba_home"] for r in training.score_fixtures(df, loaded, schema, missing=how).collect()}
+    assert score(holes, "median") == pytest.approx(score(whole, "keep"))
+    picks = training.score_fixtures(table, loaded, schema, kelly=True, threshold=0.05, edges="normalised")
+    for r in picks.collect():
+        assert (r["bet_recommendation"] != "") == (r["best_edge"] is not None and r["best_edge"] >= 0.05)
+    with pytest.raises(ValueError):
+        training.score_fixtures(table, loaded, schema, missing="other")
+
+
 def test_search_is_repeatable(rows):
     ready = prep.fill_zero(rows, COLUMNS).cache()
     train, val = ready.where("split = 'train'"), ready.where("split = 'val'")
-    base = learn.BoostedParams(rounds=2, depth=2)
-    first = learn.search(train, val, COLUMNS, trials=2, seed=3, base=base)
-    assert first == learn.search(train, val, COLUMNS, trials=2, seed=3, base=base)
+    space = learn.SEARCH_SPACE | {"rounds": (1, 3), "depth": (2, 3)}
+    first = learn.search(train, val, COLUMNS, trials=2, seed=3, space=space)
+    assert first == learn.search(train, val, COLUMNS, trials=2, seed=3, space=space)
+
+
+def test_draws_cover_the_whole_space():
+    rng = random.Random(42)
+    drawn = [learn.draw(rng, learn.BoostedParams(rounds=100, depth=4)) for _ in range(300)]
+    assert {p.depth for p in drawn} == set(range(3, 11))
+    assert min(p.rounds for p in drawn) < 60 and max(p.rounds for p in drawn) > 190
+    assert all(0.02 <= p.step <= 0.15 and 18 <= p.min_leaf <= 80 and 0.5 <= p.sample <= 1 for p in drawn)
 
 
 def test_unknown_category_gets_a_slot(spark):
@@ -118,7 +145,7 @@ def test_stream_scores_like_the_table(spark, rows, boosted, tmp_path):
     assert spark.read.parquet(sink).count() == len(want)
 
 
-def test_stream_ingest_takes_each_unit_once(spark, tmp_path):
+def test_stream_ingest_takes_each_file_once(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
     sink, done, marks = (str(tmp_path / n) for n in ("sink", "done", "marks"))
@@ -134,7 +161,8 @@ def test_stream_ingest_takes_each_unit_once(spark, tmp_path):
     assert run() == [1, 2]
     assert run() == [1, 2]
     (source / "b.csv").write_text("league,season,v\nL,1,7\nL,2,3\n")
-    assert run() == [1, 2, 3]
+    assert run() == [1, 2, 3, 7]
+    assert run() == [1, 2, 3, 7]
 
 
 def test_feature_plan(spark, tiny):

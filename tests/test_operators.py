@@ -192,10 +192,12 @@ def test_golden_pairs(spark):
     review = names.name_review(left, right).collect()
     assert {r["fbref_team"] for r in review} == {a for a, _ in hand}
     assert {r["candidate_count"] for r in review} == {5}
-    lists = names.review_lists(left, right).collect()
-    assert all(r["possible_cfdm_candidates"] == sorted(b for _, b in auto + hand) for r in lists)
-    with pytest.raises(ValueError):
-        names.review_lists(left, right, max_names=4)
+
+
+def test_names_without_a_key_pair_with_none(spark):
+    both = spark.createDataFrame([("FC",), ("AC",), ("Ajax FC",)], "team_name string")
+    assert [r[0] for r in names.name_auto_map(both, both).collect()] == ["Ajax FC"]
+    assert {r["fbref_team"] for r in names.name_review(both, both.where("team_name = 'Ajax FC'")).collect()} == {"FC", "AC"}
 
 
 def test_candidates_map_and_review(spark):

@@ -16,14 +16,6 @@ def test_materialised_table_is_read_by_column_and_can_be_dropped(spark):
     session._written[:] = kept
 
 
-def test_spread_only_touches_tables_of_few_files(spark, tmp_path):
-    few, many = str(tmp_path / "few"), str(tmp_path / "many")
-    spark.range(100).coalesce(1).write.parquet(few)
-    spark.range(100).repartition(8).write.parquet(many)
-    assert session.spread(spark.read.parquet(few)).rdd.getNumPartitions() == 8
-    assert "Exchange" not in session.spread(spark.read.parquet(many))._jdf.queryExecution().executedPlan().toString()
-
-
 def test_tune_keeps_what_the_user_set(spark):
     key = "spark.sql.codegen.hugeMethodLimit"
     spark.conf.set(key, "12345")

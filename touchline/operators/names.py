@@ -19,10 +19,13 @@ def with_norm(names: DataFrame, variant: str = "clean") -> DataFrame:
 
 
 def name_auto_map(left: DataFrame, right: DataFrame, variant: str = "clean") -> DataFrame:
-    """Pairs of names with the same comparison key: fbref_team, cfdm_team, norm."""
+    """Pairs of names with the same comparison key: fbref_team, cfdm_team, norm.
+
+    Names of which nothing is left as a key ("FC") would all pair with each other; they pair with none.
+    """
     a = with_norm(left, variant).select(F.col("team_name").alias("fbref_team"), "norm")
     b = with_norm(right, variant).select(F.col("team_name").alias("cfdm_team"), "norm")
-    return a.join(b, "norm").select("fbref_team", "cfdm_team", "norm")
+    return a.where("norm <> ''").join(b, "norm").select("fbref_team", "cfdm_team", "norm")
 
 
 def name_review(left: DataFrame, right: DataFrame, variant: str = "clean") -> DataFrame:
@@ -30,8 +33,7 @@ def name_review(left: DataFrame, right: DataFrame, variant: str = "clean") -> Da
 
     The candidates are the same for every such name (all names of the right
     source), so they are a table of their own, ``with_norm(right)``, and are not
-    repeated on each row; ``review_lists`` does that for small sources. A missing
-    name on the left never qualifies.
+    repeated on each row. A missing name on the left never qualifies.
     """
     a = with_norm(left, variant)
     norms = with_norm(right, variant).select("norm").distinct()
@@ -40,20 +42,6 @@ def name_review(left: DataFrame, right: DataFrame, variant: str = "clean") -> Da
     return lonely.select(F.col("team_name").alias("fbref_team"), "norm", size.alias("candidate_count"))
 
 
-def review_lists(left: DataFrame, right: DataFrame, variant: str = "clean", max_names: int = 10_000) -> DataFrame:
-    """``name_review`` with the sorted candidate list on every row.
-
-    Counts the right source first (one job) and refuses above ``max_names``: a list
-    per row then has no place in a row, use ``name_review`` and the names table.
-    """
-    names = right.select("team_name").distinct()
-    if names.limit(max_names + 1).count() > max_names:
-        raise ValueError(f"more than {max_names} candidate names: use name_review")
-    every = names.agg(F.array_sort(F.collect_list("team_name")).alias("all")).scalar()
-    review = name_review(left, right, variant).drop("candidate_count")
-    return review.withColumn("possible_cfdm_candidates", every)
-
-
 def compile_map(auto: DataFrame, manual: DataFrame) -> DataFrame:
     """Automatic and manual pairs in one map, a manual pair beating an automatic one.
 

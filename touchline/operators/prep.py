@@ -4,9 +4,8 @@ from __future__ import annotations
 
 import json
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -200,6 +199,17 @@ def median_table(df: DataFrame, columns: list[str], source: str = "own") -> Data
     return wide.drop("split").select(every, "*")
 
 
+def training_medians(df: DataFrame, columns: list[str]) -> dict[str, float]:
+    """Medians of the training rows as plain values: one row, as wide as ``columns``. A column without a value has none."""
+    row = median_table(df, columns, "train").first()
+    return {c: row[f"_median_{c}"] for c in columns if row is not None and row[f"_median_{c}"] is not None}
+
+
+def fill_values(df: DataFrame, values: dict[str, float]) -> DataFrame:
+    """Missing cells of each column replaced by its value."""
+    return df.withColumns({c: F.coalesce(present(c), F.lit(float(v))) for c, v in values.items() if c in df.columns})
+
+
 def median_impute(df: DataFrame, columns: list[str], source: str = "train") -> DataFrame:
     """Missing cells replaced by the median of their column; at most one median row per split is broadcast."""
     medians = median_table(df, columns, source)
@@ -211,17 +221,14 @@ def median_impute(df: DataFrame, columns: list[str], source: str = "train") -> D
 def class_share(df: DataFrame, label: str = LABEL) -> DataFrame:
     """Share of each class, over the labelled rows."""
     counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("total")).scalar()
+    total = F.sum("n").over(Window.partitionBy(F.lit(1)))  # over the class rows, a handful
     return counts.select(label, "n", (F.col("n") / total).alias("share"))
 
 
 def class_weights(df: DataFrame, label: str = LABEL, name: str = "weight") -> DataFrame:
     """``df`` with balanced weights n / (classes * n_class); one row per class is broadcast."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    totals = counts.agg(F.sum("_n").alias("t")).scalar(), counts.agg(F.count(F.lit(1)).alias("k")).scalar()
-    weights = counts.select(label, (totals[0] / (totals[1] * F.col("_n"))).alias(name))
+    classes = Window.partitionBy(F.lit(1))  # the class rows, a handful
+    weight = F.sum("_n").over(classes) / (F.count(F.lit(1)).over(classes) * F.col("_n"))
+    weights = counts.select(label, weight.alias(name))
     return df.join(F.broadcast(weights), label)
-
-
-def all_present(columns: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [present(c).isNotNull() for c in columns])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -18,6 +18,7 @@ class Baselines:
     logistic: object
     forest: object
     scores: DataFrame
+    rows: DataFrame
 
 
 def _numeric_features(df: DataFrame, mode: str) -> list[str]:
@@ -44,7 +45,7 @@ def train_baselines(
     scores = _stack(
         {n: evaluate.scores(learn.score(held_out, m), ("split",)) for n, m in (("logistic", logistic), ("forest", forest))}
     )
-    return Baselines(logistic, forest, scores)
+    return Baselines(logistic, forest, scores, ready)
 
 
 @dataclass(frozen=True)
@@ -56,6 +57,7 @@ class Boosted:
     scored: DataFrame
     scores: DataFrame
     benchmark: DataFrame
+    rows: DataFrame
 
 
 def train_boosted(
@@ -79,16 +81,28 @@ def train_boosted(
     keep = [f"o_{c}" for c in LABELS] if odds else []
     flagged = prep.missing_flags(market.select("split", prep.LABEL, *keep, *columns))
     inputs = [c for c in flagged.columns if c not in ("split", prep.LABEL, *keep)]
-    ready = materialise(prep.median_impute(flagged, columns, medians))
+    kept_medians = prep.training_medians(flagged, columns)
+    own = medians == "own"
+    ready = materialise(prep.median_impute(flagged, columns, "own") if own else prep.fill_values(flagged, kept_medians))
     train, val, test = (ready.where(F.col("split") == s) for s in ("train", "val", "test"))
     if trials:
         params, _ = learn.search(train, val, inputs, trials, params.seed, base=params)
     model = learn.fit_boosted(train, inputs, params, weights)
+    model.medians = kept_medians
     calibrated = learn.calibrate(model, val, calibration)
     scored = materialise(model.score(val).unionByName(calibrated.score(test)))
     scores = _stack({"boosted": evaluate.scores(scored, ("split",))})
     benchmark = evaluate.odds_benchmark(features.where("split in ('val', 'test')"), "row") if odds else scores
-    return Boosted(model, calibrated, inputs, params, scored, scores, benchmark)
+    return Boosted(model, calibrated, inputs, params, scored, scores, benchmark, ready)
+
+
+def recalibrated(result: Boosted, calibration: str) -> Boosted:
+    """The same boosted model with other maps from scores to chances."""
+    val, test = (result.rows.where(F.col("split") == s) for s in ("val", "test"))
+    calibrated = learn.calibrate(result.model, val, calibration)
+    scored = materialise(result.model.score(val).unionByName(calibrated.score(test)))
+    scores = _stack({"boosted": evaluate.scores(scored, ("split",))})
+    return replace(result, calibrated=calibrated, scored=scored, scores=scores)
 
 
 def blend_with_market(result: Boosted) -> DataFrame:
@@ -115,23 +129,35 @@ def score_fixtures(
     schema: prep.FeatureSchema,
     kelly: bool = False,
     threshold: float = 0.0,
-    missing: str = "zero",
+    missing: str = "median",
+    edges: str = "raw",
 ) -> DataFrame:
-    """Fixtures with outcome chances, edges against the raw prices, and stakes.
+    """Fixtures with outcome chances, edges, and stakes.
+
+    ``missing``  "median" fills empty cells and absent columns as training did; "zero" puts 0,
+                 "keep" leaves them. Columns that training saw no value of are 0.
+    ``edges``    "raw" against 1 / price; "normalised" against the market without its margin,
+                 with the best pick and whether to bet.
 
-    Model columns the fixtures lack are 0; empty cells are too unless ``missing``
-    is "keep". Works on a stream as on a table.
+    Works on a stream as on a table.
     """
+    if missing not in ("median", "zero", "keep") or edges not in ("raw", "normalised"):
+        raise ValueError(f"unknown option: {missing}, {edges}")
     inputs = {c: f"_in_{c}" for c in fixtures.columns}
     both = fixtures.withColumns({kept: F.col(c) for c, kept in inputs.items()})
     aligned = prep.missing_flags(prep.align_coerce(both, schema, carry=tuple(inputs.values())))
-    absent = [c for c in learn.model_columns(model) if c not in aligned.columns]
-    aligned = aligned.withColumns({c: F.lit(0.0) for c in absent})
+    wanted, medians = learn.model_columns(model), learn.medians_of(model)
+    empty = None if missing == "median" else 0.0
+    aligned = aligned.withColumns({c: F.lit(empty).cast("double") for c in wanted if c not in aligned.columns})
+    if missing == "median":
+        aligned = prep.fill_values(aligned, {c: medians.get(c, 0.0) for c in wanted})
     if missing == "zero":
-        aligned = prep.fill_zero(aligned, learn.model_columns(model))
+        aligned = prep.fill_zero(aligned, wanted)
     scored = model.score(aligned)
     chances = [f"p_{c}" for c in LABELS]
     back = scored.select(*[F.col(kept).alias(c) for c, kept in inputs.items()], *chances)
+    if edges == "normalised":
+        return betting.edges_normalised(back, betting.FIXTURE_ODDS, threshold, kelly)
     return betting.edges_raw(back, threshold=threshold, kelly=kelly)
 
 

@@ -82,12 +82,3 @@ def drop_materialised(spark: SparkSession) -> int:
         place = jvm.org.apache.hadoop.fs.Path(_written.pop())
         dropped += bool(place.getFileSystem(conf).delete(place, True))
     return dropped
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a table of fewer files than cores over all cores before costly work per row.
-
-    A table of many files is left as it is: it needs no extra shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df

@@ -1,33 +1,35 @@
-"""New files become new units of a partitioned table, each unit once."""
+"""New files become parts of the units of a partitioned table, each file once."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from touchline.sources.tables import append_once
+from touchline.sources.tables import DELIVERY, append_once
 
 
 def read_stream(spark: SparkSession, folder: str, schema: T.StructType, header: bool = True) -> DataFrame:
-    """CSV files as they arrive, under an explicit schema."""
-    return (
+    """CSV files as they arrive, under an explicit schema; ``_delivery`` tells the file of each row."""
+    files = (
         spark.readStream.schema(schema)
         .option("header", header)
         .option("quote", '"')
         .option("escape", '"')
         .csv(folder)
     )
+    return files.withColumn(DELIVERY, F.md5(F.col("_metadata.file_path").cast("string")))
 
 
 def ingest(stream: DataFrame, sink: str, done_path: str, checkpoint: str, keys: Sequence[str]) -> StreamingQuery:
     """Write what has arrived and stop.
 
-    The stream's checkpoint remembers the files it has seen; ``append_once`` skips
-    units marked done and overwrites the folders of a batch that is run again, so
-    neither a restart nor a repeated delivery writes a unit twice.
+    The stream's checkpoint remembers the files it has seen; ``append_once`` overwrites
+    the folders of a file that comes again, so neither a restart nor a repeated delivery
+    writes a row twice, and rows of a unit that come in a later file are kept.
     """
 
     def write(batch: DataFrame, _: int) -> None:

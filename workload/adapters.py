@@ -5,32 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from touchline.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _side(position: int, column: str) -> Column:
-    return F.max(F.when(F.col("rn") == position, F.col(column)))
+# A match number is order key * PAIRS + pair number. A prime, so that remainders of match numbers stay mixed.
+PAIRS = 1_000_003
 
 
-def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One match per order: its first two lines are the teams, when their suppliers differ.
+def _side(position: int, column: str) -> Column:
+    return F.max(F.when(F.col("place") == position, F.col(column)))
 
-    ``rn <= 2`` on a row number lets Spark cut each order down to two rows before
-    the shuffle, so an order with very many lines does no harm.
-    """
+
+def line_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two lines of an order a row: lines 1 and 2, 3 and 4, and so on; the last of an odd number has no partner."""
     columns = "l_orderkey l_linenumber l_partkey l_suppkey l_quantity l_extendedprice l_discount l_tax".split()
     order = "l_linenumber l_partkey l_suppkey l_quantity l_extendedprice l_discount l_tax".split()
     w = Window.partitionBy("l_orderkey").orderBy(*order)
     lines = table(spark, sf_dir, "lineitem").select(*columns)
-    pairs = (
-        lines.withColumn("rn", F.row_number().over(w))
-        .where("rn <= 2")
-        .groupBy(F.col("l_orderkey").alias("match_no"))
+    numbered = lines.withColumn("rn", F.row_number().over(w) - 1)
+    return (
+        numbered.withColumns({"pair": F.floor(F.col("rn") / 2), "place": F.col("rn") % 2 + 1})
+        .groupBy("l_orderkey", "pair")
         .agg(
+            (F.first("l_orderkey") * PAIRS + F.first("pair")).alias("match_no"),
             _side(1, "l_suppkey").alias("hs"),
             _side(2, "l_suppkey").alias("aw"),
             _side(1, "l_quantity").cast("int").alias("hq"),
@@ -40,9 +40,20 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
             _side(1, "l_discount").alias("hd"),
             _side(2, "l_discount").alias("ad"),
             _side(1, "l_tax").alias("ht"),
+            F.max("place").alias("lines"),
         )
-        .where("hs <> aw")
     )
+
+
+def line_usage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many order lines stand in a match, in a pair of one supplier, or without a partner."""
+    use = F.when(F.col("lines") == 1, "left_over").when(F.col("hs") == F.col("aw"), "same_supplier").otherwise("in_match")
+    return line_pairs(spark, sf_dir).groupBy(use.alias("use")).agg(F.sum("lines").cast("long").alias("n_lines"))
+
+
+def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A match per pair of lines of an order whose suppliers, the teams, differ."""
+    pairs = line_pairs(spark, sf_dir).where("hs <> aw")
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
@@ -51,7 +62,7 @@ def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     home = supplier.toDF("hs", "home_name", "home_bal")
     away = supplier.toDF("aw", "away_name", "away_bal")
     joined = (
-        pairs.join(orders, F.col("o_orderkey") == F.col("match_no"))
+        pairs.join(orders, F.col("o_orderkey") == F.col("l_orderkey"))
         .join(customer, F.col("c_custkey") == F.col("o_custkey"))
         .join(nation, F.col("n_nationkey") == F.col("c_nationkey"))
         .join(region, F.col("r_regionkey") == F.col("n_regionkey"))
@@ -193,7 +204,7 @@ def player_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     year = F.year("l_shipdate") + 20
     new = year >= 2018
     columns = "l_orderkey l_linenumber l_partkey l_suppkey l_quantity l_returnflag l_linestatus l_shipdate".split()
-    lines = spread(table(spark, sf_dir, "lineitem").select(*columns))
+    lines = table(spark, sf_dir, "lineitem").select(*columns)
     part, number = F.col("l_partkey"), F.col("l_linenumber")
 
     def stat(i: int) -> Column:
@@ -271,9 +282,10 @@ def report_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "home_key",
         "summary",
         cells("td", F.concat(F.lit("<a href='/en/players/1'>A &amp; B "), no, F.lit("</a>")), F.lit("90"), F.lit("")),
-        cells("td", F.lit("2 Players"), F.lit(" 180 "), F.col("FTHome").cast("string")),
+        cells("td", F.lit("2 <b>Players</b>"), F.lit(" 180 "), F.col("FTHome").cast("string")),
+        F.lit('<tr><td colspan="2">a<br>b <table><tr><td>in</td></tr></table></td><td>&nbsp;7</td></tr>'),
     )
-    away = stat_table("away_key", "keeper", cells("td", F.lit("K&#233;v"), F.lit("90"), F.col("FTAway").cast("string")))
+    away = stat_table("away_key", "keeper", cells("td", F.lit("K&eacute;v <i>&#x1F600;</i>&#33;"), F.lit("90"), F.col("FTAway").cast("string")))
     other = F.lit('<table id="results"><tr><td>no stats</td></tr></table>')
     links = F.concat(
         F.lit('<td data-stat="score"><a class="s" href="/en/matches/'),

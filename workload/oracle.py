@@ -25,10 +25,10 @@ ln as (
   select *, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey,
          l_quantity, l_extendedprice, l_discount, l_tax) as rn from lineitem),
 pr as (
-  select h.l_orderkey as match_no, h.l_suppkey as hs, a.l_suppkey as aw,
+  select h.l_orderkey * 1000003 + (h.rn - 1) // 2 as match_no, h.l_orderkey as order_key, h.l_suppkey as hs, a.l_suppkey as aw,
          cast(h.l_quantity as int) as hq, cast(a.l_quantity as int) as aq, h.l_partkey as hp, a.l_partkey as ap,
          h.l_discount as hd, a.l_discount as ad, h.l_tax as ht
-  from ln h join ln a on a.l_orderkey = h.l_orderkey and h.rn = 1 and a.rn = 2
+  from ln h join ln a on a.l_orderkey = h.l_orderkey and h.rn % 2 = 1 and a.rn = h.rn + 1
   where h.l_suppkey <> a.l_suppkey),
 m as (
   select match_no, r_name as Division, cast(o_orderdate as date) as MatchDate,
@@ -48,10 +48,16 @@ m as (
     cast(1.2 as double) + ad * 20 + cast(0.1 as double) as MaxAway,
     hq % 20 as HomeShots, aq % 20 as AwayShots, hq % 7 as HomeTarget, aq % 7 as AwayTarget,
     {_COUNTS}
-  from pr join orders on o_orderkey = match_no join customer on c_custkey = o_custkey
+  from pr join orders on o_orderkey = order_key join customer on c_custkey = o_custkey
   join nation on n_nationkey = c_nationkey join region on r_regionkey = n_regionkey
   join supplier sh on sh.s_suppkey = hs join supplier sa on sa.s_suppkey = aw)"""
 
+ORACLE["line_usage"] = f"""with {M.split("m as (")[0].rstrip().rstrip(",")},
+al as (select h.l_suppkey as hs, a.l_suppkey as aw, a.l_orderkey as other from ln h
+  left join ln a on a.l_orderkey = h.l_orderkey and a.rn = h.rn + 1 where h.rn % 2 = 1)
+select case when other is null then 'left_over' when hs = aw then 'same_supplier' else 'in_match' end as use,
+  cast(sum(case when other is null then 1 else 2 end) as bigint) as n_lines from al group by 1"""
+
 _PLAIN = (
     "Division HomeTeam AwayTeam FTResult FTAway HTHome HTAway AwayElo Form3Home Form3Away Form5Home Form5Away "
     "OddAway MaxHome MaxDraw MaxAway HomeShots AwayShots HomeTarget AwayTarget HomeFouls AwayFouls "
@@ -348,7 +354,7 @@ _SIZED = """sized as (
 ORACLE["width_profile"] = f"""with {_SIZED} select cast(season_end as integer) as season_end,
   cast(width as integer) as width, count(*) as n_rows from sized group by 1, 2"""
 ORACLE["top_widths"] = f"""with {_SIZED} select cast(width as integer) as width, count(*) as n_rows
-  from sized group by 1 order by 2 desc, 1 limit 2"""
+  from sized group by 1 order by 2 desc, 1 limit 5"""
 
 _OLD = dict(zip("fls fld off crs tklw intr og pkwon pkcon".split(), range(15, 24)))
 _NEW = dict(
@@ -440,8 +446,10 @@ union all
 select url, match_title, 1, 'team-' || cast(home_key as varchar), 'summary', 1, 'Player|Min|Gls',
   '2 Players|180|' || cast(FTHome as varchar) from p
 union all
-select url, match_title, 2, 'team-' || cast(away_key as varchar), 'keeper', 0, 'Player|Min|Gls',
-  'Kév|90|' || cast(FTAway as varchar) from p"""
+select url, match_title, 1, 'team-' || cast(home_key as varchar), 'summary', 2, 'Player|Min|Gls', 'a b in|a b in|7' from p
+union all
+select url, match_title, 3, 'team-' || cast(away_key as varchar), 'keeper', 0, 'Player|Min|Gls',
+  'Kév 😀!|90|' || cast(FTAway as varchar) from p"""
 
 SG = """sg as (
   select n_name as league_slug, n_nationkey as competition, cast(y as integer) as season_end,
@@ -733,3 +741,48 @@ def _raw(c: str, side: str) -> str:
 
 ORACLE["score_edges_raw"] = f"""with {FX} select match_no, {_raw("H", "home")}, {_raw("D", "draw")},
   {_raw("A", "away")} from fx"""
+
+# ---- models: what holds of every learned score
+
+
+def _model(names: list[str], more: str = "") -> str:
+    return f"""with {DS} select model, split, count(*) as n_rows, true as chances_ok, true as fits_training{more}
+from ds, (select unnest({names}) as model) where split is not null and y_outcome is not null group by model, split"""
+
+
+ORACLE["baseline_scores"] = _model(["logistic", "forest"])
+ORACLE["boosted_scores"] = _model(["boosted", "sigmoid", "isotonic"], ", true as rising")
+ORACLE["blended_scores"] = "select cast(21 as bigint) as weights, true as alpha_ok, true as best_ok, true as loss_ok"
+ORACLE["fixture_scores"] = f"""with {FB} select match_no, {rs(["OddHome", "OddDraw", "OddAway"])},
+  true as chances_ok, true as stakes_ok from fb"""
+ORACLE["fixture_picks"] = f"with {FB} select match_no, true as chances_ok, true as best_ok, true as bet_ok from fb"
+ORACLE["stored_report"] = f"""with {DS} select y_outcome as actual, count(*) as n_rows from ds
+where split = 'test' and y_outcome is not null group by 1"""
+ORACLE["stream_scores"] = f"with {FB} select match_no, true as chances_ok from fb"
+
+# ---- sources and sinks, labels and column lists
+
+ORACLE["csv_lenient"] = """select cast(c_custkey as varchar) as key, 'a "b", c' as name,
+  case when c_custkey % 5 = 0 then null else c_mktsegment end as segment from customer where c_custkey % 7 <> 0"""
+ORACLE["csv_plain"] = """select cast(c_custkey as varchar) as c_custkey, case when c_custkey % 3 <> 0 then c_name end as c_name
+from customer"""
+ORACLE["csv_typed"] = "select p_partkey, p_name, p_size, p_retailprice, 'int,string,int,double' as inferred from part"
+ORACLE["parquet_parts"] = "select o_orderkey, o_orderstatus from orders where o_orderstatus <> 'P'"
+ORACLE["ingest_files"] = "select s_suppkey, s_nationkey from supplier"
+ORACLE["required_columns"] = f"with {T} select match_no, Division, MatchDate, HomeTeam, AwayTeam from t"
+_INPUTS = (
+    "match_no HomeElo AwayElo elo_diff elo_ratio Form3Home Form3Away form3_diff Form5Home Form5Away form5_diff "
+    "OddHome OddDraw OddAway qh qd qa qsum p_home p_draw p_away overround MaxHome MaxDraw MaxAway "
+    "log_odds_away_vs_home form_momentum_home form_momentum_away"
+).split()
+ORACLE["numeric_inputs"] = f"with {FB} " + " union all ".join(
+    f"""select '{mode}' as mode, '{c}' as "column", count({c}) as n_rows from fb"""
+    for mode in ("baseline", "boosted")
+    for c in _INPUTS
+    if mode == "baseline" or c != "log_odds_away_vs_home"
+)
+ORACLE["label_numbers"] = f"""with {FB} select match_no,
+  cast(case y_outcome when 'A' then 0 when 'D' then 1 else 2 end as double) as label,
+  cast(case y_outcome when 'D' then 1.1 else 1.0 end as double) as weight from fb where y_outcome is not null"""
+ORACLE["result_labels"] = f"""with {T} select match_no, coalesce(FTResult, '') as FTResult, FTResult as y_outcome,
+  cast(case when FTResult = 'H' then 1 else 0 end as integer) as y_home_win from t"""

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
+import uuid
 from collections.abc import Callable
-from functools import wraps
+from functools import cache, reduce, wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from touchline.functions.chance import LABELS
 from touchline.operators import (
     betting,
     evaluate,
@@ -25,8 +28,9 @@ from touchline.operators import (
     streaks,
 )
 from touchline.plans import training
-from touchline.session import materialise, tune
+from touchline.session import ensure_checkpoint_dir, materialise, tune
 from touchline.sources import pages, ragged, records, tables
+from touchline.streaming import ingest, scoring
 from workload import adapters as a
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +64,11 @@ def base(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- features and history
 
 
+@query
+def line_usage(spark, sf_dir):
+    return a.line_usage(spark, sf_dir)
+
+
 @query
 def features_base(spark, sf_dir):
     return rounded(base(spark, sf_dir))
@@ -194,7 +203,7 @@ def width_profile(spark, sf_dir):
 
 @query
 def top_widths(spark, sf_dir):
-    return ragged.top_widths(ragged.width_profile(materialise(a.player_lines(spark, sf_dir))), 2)
+    return ragged.top_widths(ragged.width_profile(materialise(a.player_lines(spark, sf_dir))))
 
 
 @query
@@ -637,41 +646,220 @@ def score_edges_raw(spark, sf_dir):
     return rounded(out.select("match_no", *[f"{m}_{s}" for m in ("proba", "edge", "kelly") for s in sides]))
 
 
-# ---- models: trained on the whole table when the query is built, with few and small trees
-
-
-ODDS_ONLY = "OddHome OddDraw OddAway qh qd qa qsum p_home p_draw p_away overround MaxHome MaxDraw MaxAway".split()
+# ---- models: trained on the whole table, with history and the library's own settings, when the query is built.
+# Learned numbers have no SQL; the queries give counts and what must hold of every score, taken from the scores.
 
 
+@cache
 def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialise(dated(spark, sf_dir).where("split is not null"))
+    rows = history.lagged_features(materialise(base(spark, sf_dir)), "match_no")
+    return materialise(split.split_by_date(rows, "match_date", TRAIN_UNTIL, VAL_UNTIL).where("split is not null"))
 
 
-def small_boosted(spark: SparkSession, sf_dir: str, calibration: str) -> training.Boosted:
-    params = learn.BoostedParams(rounds=5, depth=3)
+@cache
+def boosted_model(spark: SparkSession, sf_dir: str) -> training.Boosted:
     return training.train_boosted(
-        training_rows(spark, sf_dir), params=params, calibration=calibration, weights=learn.BOOSTED_WEIGHTS
+        training_rows(spark, sf_dir), exclude=("match_no",), calibration="sigmoid", weights=learn.BOOSTED_WEIGHTS
     )
 
 
+@cache
+def isotonic_model(spark: SparkSession, sf_dir: str) -> training.Boosted:
+    return training.recalibrated(boosted_model(spark, sf_dir), "isotonic")
+
+
+def chances_ok() -> Column:
+    """Chances between 0 and 1 that add up to 1."""
+    chances = [F.col(c) for c in evaluate.PROBABILITIES]
+    whole = F.abs(reduce(lambda x, y: x + y, chances) - 1.0) < 1e-6
+    return F.coalesce(reduce(lambda x, y: x & y, [c.between(0.0, 1.0) for c in chances]) & whole, F.lit(False))
+
+
+def model_rows(name: str, scored: DataFrame) -> DataFrame:
+    """Rows of each split, whether all chances are sound, and whether training rows were learned.
+
+    Learned means: with classes balanced, the mean loss on training rows is below that of equal chances.
+    """
+    labelled = scored.where(F.col(prep.LABEL).isNotNull())
+    counts = labelled.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.bool_and(chances_ok()).alias("chances_ok"))
+    by_class = evaluate.log_loss(labelled.where("split = 'train'"), (prep.LABEL,))
+    fits = by_class.agg((F.avg("log_loss") < math.log(3)).alias("fits_training")).scalar()
+    return counts.select(F.lit(name).alias("model"), "split", "n_rows", "chances_ok", fits.alias("fits_training"))
+
+
 @query
 def baseline_scores(spark, sf_dir):
-    return rounded(training.train_baselines(training_rows(spark, sf_dir), trees=10, depth=5, max_iter=30).scores)
+    fitted = training.train_baselines(training_rows(spark, sf_dir), exclude=("match_no",))
+    models = {"logistic": fitted.logistic, "forest": fitted.forest}
+    return reduce(DataFrame.unionByName, [model_rows(n, learn.score(fitted.rows, m)) for n, m in models.items()])
 
 
 @query
 def boosted_scores(spark, sf_dir):
-    return rounded(small_boosted(spark, sf_dir, "sigmoid").scores)
+    """The boosted model, and both of its calibrations with the sense of their maps."""
+    fitted = {"sigmoid": boosted_model(spark, sf_dir), "isotonic": isotonic_model(spark, sf_dir)}
+    models = {"boosted": fitted["sigmoid"].model} | {n: f.calibrated for n, f in fitted.items()}
+    rows = fitted["sigmoid"].rows
+    out = [model_rows(n, m.score(rows)).withColumn("rising", F.lit(learn.rising(m))) for n, m in models.items()]
+    return reduce(DataFrame.unionByName, out)
 
 
 @query
 def blended_scores(spark, sf_dir):
-    return rounded(training.blend_with_market(small_boosted(spark, sf_dir, "isotonic")))
+    """The blend chosen on validation rows: its weight, and that no other weight was better there."""
+    result = isotonic_model(spark, sf_dir)
+    val = result.scored.where("split = 'val'")
+    chosen = training.blend_with_market(result).select("alpha", F.col("log_loss").alias("test_loss"))
+    least = evaluate.blend_losses(val).agg(F.min_by("alpha", F.struct("log_loss", "alpha")).alias("best"), F.count(F.lit(1)).alias("weights"))
+    return chosen.crossJoin(F.broadcast(least)).select(  # one row each
+        "weights",
+        F.col("alpha").between(0.0, 1.0).alias("alpha_ok"),
+        (F.abs(F.col("alpha") - F.col("best")) < 1e-9).alias("best_ok"),
+        (F.col("test_loss") > 0).alias("loss_ok"),
+    )
+
+
+def as_fixtures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return base(spark, sf_dir).select("match_no", *prep.FIXTURE_COLUMNS)
 
 
 @query
 def fixture_scores(spark, sf_dir):
-    """Every match scored as a fixture by the calibrated model."""
-    result = small_boosted(spark, sf_dir, "isotonic")
-    rows = base(spark, sf_dir).select("match_no", *prep.FIXTURE_COLUMNS)
-    return rounded(training.score_fixtures(rows, result.calibrated, prep.FIXTURE_SCHEMA, kelly=True))
+    """Every match scored as a fixture: raw edges; a stake only above the threshold and with a price."""
+    model = isotonic_model(spark, sf_dir).calibrated
+    out = training.score_fixtures(as_fixtures(spark, sf_dir), model, prep.FIXTURE_SCHEMA, kelly=True, threshold=0.05)
+    sides = {"OddHome": "home", "OddDraw": "draw", "OddAway": "away"}
+    fair = [(F.col(f"kelly_{n}") == 0) | ((F.col(o) > 0) & (F.col(f"edge_{n}") > 0.05)) for o, n in sides.items()]
+    stakes_ok = F.coalesce(reduce(lambda x, y: x & y, fair), F.lit(False)).alias("stakes_ok")
+    return rounded(out.select("match_no", *sides, chances_ok().alias("chances_ok"), stakes_ok))
+
+
+@query
+def fixture_picks(spark, sf_dir):
+    """Every match scored as a fixture: edges without margin, best pick, and whether to bet on it."""
+    model = isotonic_model(spark, sf_dir).calibrated
+    out = training.score_fixtures(
+        as_fixtures(spark, sf_dir), model, prep.FIXTURE_SCHEMA, kelly=True, threshold=0.05, edges="normalised"
+    )
+    edges = [F.coalesce(F.col(f"edge_{c}"), F.lit(float("-inf"))) for c in LABELS]
+    best_ok = F.col("best_edge").isNull() | (F.col("best_edge") >= F.greatest(*edges) - 1e-12)
+    bet_ok = F.col("bet_recommendation") == F.when(F.col("best_edge") >= 0.05, F.col("best_pick")).otherwise("")
+    return out.select("match_no", chances_ok().alias("chances_ok"), best_ok.alias("best_ok"), bet_ok.alias("bet_ok"))
+
+
+@query
+def stored_report(spark, sf_dir):
+    """The report of a stored model: saved, loaded, scored, written out and read back."""
+    result, place = isotonic_model(spark, sf_dir), work(spark)
+    learn.save(result.calibrated, prep.FIXTURE_SCHEMA, spark, f"{place}/model")
+    loaded, _ = learn.load(spark, f"{place}/model")
+    scored = loaded.score(result.rows.where("split = 'test'"))
+    tables.export_csv(training.report(scored)["confusion"], f"{place}/confusion")
+    back = tables.scan(spark, f"{place}/confusion")
+    n_rows = reduce(lambda x, y: x + y, [F.col(f"pred_{c}").cast("long") for c in LABELS])
+    return back.select(F.substring("label", 6, 1).alias("actual"), n_rows.alias("n_rows"))
+
+
+@query
+def stream_scores(spark, sf_dir):
+    """Matches scored as they arrive in a folder."""
+    place = work(spark)
+    rows = as_fixtures(spark, sf_dir)
+    tables.export_parquet(rows, f"{place}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{place}/in")
+    model = isotonic_model(spark, sf_dir).calibrated
+    scoring.score_stream(stream, model, prep.FIXTURE_SCHEMA, f"{place}/out", f"{place}/marks").awaitTermination()
+    return spark.read.parquet(f"{place}/out").select("match_no", chances_ok().alias("chances_ok"))
+
+
+# ---- sources and sinks: a given table written to a work folder and read back
+
+
+def work(spark: SparkSession) -> str:
+    """A new folder beside the checkpoints, which all executors reach."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/work-{uuid.uuid4().hex}"
+
+
+@query
+def csv_lenient(spark, sf_dir):
+    """Lines of two to four fields, read as three columns of text."""
+    key, place = F.col("c_custkey"), work(spark)
+    short = F.concat_ws(",", key, F.lit('"a ""b"", c"'))
+    line = F.when(key % 7 == 0, F.concat(short, F.lit(",x,y"))).when(key % 5 == 0, short).otherwise(F.concat_ws(",", short, "c_mktsegment"))
+    a.table(spark, sf_dir, "customer").select(line).write.text(place)
+    return tables.scan_lenient(spark, place, ["key", "name", "segment"], header=False)
+
+
+@query
+def csv_plain(spark, sf_dir):
+    place = work(spark)
+    rows = a.table(spark, sf_dir, "customer").select("c_custkey", F.when(F.col("c_custkey") % 3 != 0, F.col("c_name")).alias("c_name"))
+    tables.export_csv(rows, place)
+    return tables.scan(spark, tables.first_existing(spark, [f"{place}-none", place]))
+
+
+@query
+def csv_typed(spark, sf_dir):
+    place = work(spark)
+    rows = a.table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size", "p_retailprice")
+    tables.export_csv(rows, place)
+    found = tables.columns_of(tables.scan_typed(spark, place))
+    typed = tables.scan_typed(spark, place, rows.schema)
+    return typed.withColumn("inferred", F.lit(",".join(found.values())))
+
+
+@query
+def parquet_parts(spark, sf_dir):
+    """Orders written by status; a filter on the status reads one folder."""
+    place = work(spark)
+    tables.export_parquet(a.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), place, ["o_orderstatus"])
+    return spark.read.parquet(place).where("o_orderstatus <> 'P'")
+
+
+@query
+def ingest_files(spark, sf_dir):
+    """Files of suppliers taken in as parts of nations, one of them delivered twice."""
+    place = work(spark)
+    rows = a.table(spark, sf_dir, "supplier").select("s_nationkey", "s_suppkey")
+    for part in range(2):
+        tables.export_csv(rows.where(F.col("s_suppkey") % 2 == part), f"{place}/in/{part}")
+        stream = ingest.read_stream(spark, f"{place}/in/*", rows.schema)
+        for marks in ("a", f"b{part}"):  # new marks: all files come again
+            ingest.ingest(stream, f"{place}/out", f"{place}/done", f"{place}/{marks}", ["s_nationkey"]).awaitTermination()
+    return spark.read.parquet(f"{place}/out").select("s_suppkey", F.col("s_nationkey").cast("int").alias("s_nationkey"))
+
+
+# ---- labels and column lists
+
+
+@query
+def required_columns(spark, sf_dir):
+    checked = features.require(a.matches_text(spark, sf_dir))
+    return checked.select("match_no", *features.REQUIRED)
+
+
+@query
+def numeric_inputs(spark, sf_dir):
+    """Filled cells of every numeric column that each list of leaking columns leaves."""
+    rows = base(spark, sf_dir)
+    out = []
+    for mode in ("baseline", "boosted"):
+        numeric, _ = prep.split_types(prep.drop_leakage(rows, mode))
+        counts = rows.agg(*[F.count(c).alias(c) for c in numeric])
+        out.append(counts.unpivot([], numeric, "column", "n_rows").select(F.lit(mode).alias("mode"), "column", "n_rows"))
+    return out[0].unionByName(out[1])
+
+
+@query
+def label_numbers(spark, sf_dir):
+    weight = F.create_map(*[F.lit(x) for c, w in learn.BOOSTED_WEIGHTS.items() for x in (c, w)])
+    rows = learn.labelled(base(spark, sf_dir))
+    return rows.select("match_no", "label", weight[F.col(prep.LABEL)].alias("weight"))
+
+
+@query
+def result_labels(spark, sf_dir):
+    """Outcomes of a table that holds results but no goals."""
+    rows = a.matches_text(spark, sf_dir).drop("FTHome", "FTAway")
+    return features.build_features(rows, carry=("match_no",)).select("match_no", "FTResult", "y_outcome", "y_home_win")
