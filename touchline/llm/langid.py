@@ -21,6 +21,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from touchline.session import materialise
+
 from .batches import slices, sums, words
 from .tables import col
 
@@ -33,7 +35,7 @@ UNKNOWN = "und"
 SHARE, LEAST_COUNT = 0.1, 2
 #: Below this share of known n-grams a text is rejected by ``keep_identified``.
 LEAST_KNOWN = 0.1
-TRAIN_SLICE, TASK_GRAMS = 16 << 20, 2_000_000
+TRAIN_SLICE, TASK_GRAMS = 8 << 20, 2_000_000
 
 
 @dataclass(frozen=True)
@@ -127,7 +129,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     languages, which answers ``und``.
     """
     labelled = docs.select(col(text).alias("text"), col(lang).cast("string").alias("lang")).where("text is not null and lang is not null")
-    counts = count_grams(labelled).groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    counts = materialise(count_grams(labelled).groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     # Relative to the gram's best language; one language's total is the sum of its rows.
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total")).orderBy("lang").limit(MOST_LANGUAGES + 1).collect()
     if len(totals) > MOST_LANGUAGES:
