@@ -745,13 +745,15 @@ ORACLE["score_edges_raw"] = f"""with {FX} select match_no, {_raw("H", "home")},
 # ---- models: what holds of every learned score
 
 
-def _model(names: list[str], more: str = "") -> str:
-    return f"""with {DS} select model, split, count(*) as n_rows, true as chances_ok, true as fits_training{more}
+def _model(names: list[str], fits: str = "true", more: str = "") -> str:
+    return f"""with {DS} select model, split, count(*) as n_rows, true as chances_ok, {fits} as fits_training{more}
 from ds, (select unnest({names}) as model) where split is not null and y_outcome is not null group by model, split"""
 
 
 ORACLE["baseline_scores"] = _model(["logistic", "forest"])
-ORACLE["boosted_scores"] = _model(["boosted", "sigmoid", "isotonic"], ", true as rising")
+ORACLE["boosted_scores"] = _model(
+    ["boosted", "sigmoid", "isotonic"], "(case model when 'boosted' then true end)", ", case model when 'isotonic' then true end as rising"
+)
 ORACLE["blended_scores"] = "select cast(21 as bigint) as weights, true as alpha_ok, true as best_ok, true as loss_ok"
 ORACLE["fixture_scores"] = f"""with {FB} select match_no, {rs(["OddHome", "OddDraw", "OddAway"])},
   true as chances_ok, true as stakes_ok from fb"""

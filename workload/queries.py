@@ -675,15 +675,17 @@ def chances_ok() -> Column:
     return F.coalesce(reduce(lambda x, y: x & y, [c.between(0.0, 1.0) for c in chances]) & whole, F.lit(False))
 
 
-def model_rows(name: str, scored: DataFrame) -> DataFrame:
+def model_rows(name: str, scored: DataFrame, fitted: bool = True) -> DataFrame:
     """Rows of each split, whether all chances are sound, and whether training rows were learned.
 
     Learned means: with classes balanced, the mean loss on training rows is below that of equal chances.
+    Not asked of a calibrated model (``fitted`` false): its maps are fitted on other rows.
     """
     labelled = scored.where(F.col(prep.LABEL).isNotNull())
     counts = labelled.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.bool_and(chances_ok()).alias("chances_ok"))
     by_class = evaluate.log_loss(labelled.where("split = 'train'"), (prep.LABEL,))
     fits = by_class.agg((F.avg("log_loss") < math.log(3)).alias("fits_training")).scalar()
+    fits = fits if fitted else F.lit(None).cast("boolean")
     return counts.select(F.lit(name).alias("model"), "split", "n_rows", "chances_ok", fits.alias("fits_training"))
 
 
@@ -696,11 +698,13 @@ def baseline_scores(spark, sf_dir):
 
 @query
 def boosted_scores(spark, sf_dir):
-    """The boosted model, and both of its calibrations with the sense of their maps."""
-    fitted = {"sigmoid": boosted_model(spark, sf_dir), "isotonic": isotonic_model(spark, sf_dir)}
-    models = {"boosted": fitted["sigmoid"].model} | {n: f.calibrated for n, f in fitted.items()}
-    rows = fitted["sigmoid"].rows
-    out = [model_rows(n, m.score(rows)).withColumn("rising", F.lit(learn.rising(m))) for n, m in models.items()]
+    """The boosted model, and both of its calibrations; isotonic maps must not fall."""
+    boosted, isotonic = boosted_model(spark, sf_dir), isotonic_model(spark, sf_dir).calibrated
+    out = [
+        model_rows("boosted", boosted.model.score(boosted.rows)).withColumn("rising", F.lit(None).cast("boolean")),
+        model_rows("sigmoid", boosted.calibrated.score(boosted.rows), False).withColumn("rising", F.lit(None).cast("boolean")),
+        model_rows("isotonic", isotonic.score(boosted.rows), False).withColumn("rising", F.lit(learn.rising(isotonic))),
+    ]
     return reduce(DataFrame.unionByName, out)
 
 
