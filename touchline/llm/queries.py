@@ -80,7 +80,8 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-entropy difference of every document: labelled good ones are the target, all are the background."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     good = table(spark, sf_dir, "labels").where("quality = 1").select(F.col("doc_id").alias("good_id")).distinct()
-    marked = docs.join(good, F.col("doc_id") == F.col("good_id"), "left").withColumn("good", F.col("good_id").isNotNull())
+    # Always by shuffle: the labels grow with the documents, and so does the way they are joined.
+    marked = docs.join(good.hint("shuffle_hash"), F.col("doc_id") == F.col("good_id"), "left").withColumn("good", F.col("good_id").isNotNull())
     return xent.score(docs, xent.train(marked, "text", "good"))
 
 

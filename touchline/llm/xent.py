@@ -27,7 +27,7 @@ from .tables import col
 #: Vocabulary: at most 1 / WORD_SHARE words. Bigrams: at most 1 / PAIR_SHARE for each model.
 WORD_SHARE, PAIR_SHARE, LEAST_COUNT = 1e-5, 2e-6, 2
 DISCOUNT = 0.5
-COUNT_SLICE, TASK_ENTRIES = 16 << 20, 2_000_000
+COUNT_SLICE, TASK_ENTRIES = 8 << 20, 1_500_000
 
 
 @dataclass(frozen=True)
