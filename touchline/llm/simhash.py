@@ -310,7 +310,7 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", radi
     own = materialise(docs.select("*", F.monotonically_increasing_id().alias(row)))
     found = materialise(fingerprints(own.select(F.struct(col(doc_id).alias("id"), F.col(row).alias("row")).alias("who"), col(text).alias("text")), "who", "text"))
     # Ids before nulls, then rows: the least such pair stands for the document.
-    order = F.struct(F.col("who.id").isNull().alias("none"), F.col("who.id").alias("id"), F.col("who.row").alias("row"))
+    order = F.struct(F.col("doc_id.id").isNull().alias("none"), F.col("doc_id.id").alias("id"), F.col("doc_id.row").alias("row"))
     prints = materialise(found.groupBy("fingerprint").agg(F.min(order).alias("least")))
     parts = components(materialise(links(prints.select("fingerprint"), radius)), "a", "b").withColumnRenamed("node", "print_node")
     joined = prints.join(parts, F.col("fingerprint") == F.col("print_node"), "left")
