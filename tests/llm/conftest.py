@@ -1,7 +1,6 @@
 import pytest
-from pyspark.sql import types as T
 
-SCHEMA = T.StructType.fromDDL(
+SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, "
     # names that operators use for columns of their own
     "id int, key string, `row` double, uid string, Fingerprint int, slot string, line_doc int, dedup_row int, `a.b` string"

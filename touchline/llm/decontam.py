@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.pandas.types import to_arrow_type
 
 from .batches import slices, words
-from .tables import col
+from .tables import col, plain_names
 
 SEEDS = ("11111", "1101011", "11100101", "10110011")
 #: A passage is the same if it agrees in so many tokens, 4 of 5 in every stretch counted, or in all of a shorter item.
@@ -198,6 +198,8 @@ def decontaminate(
     block_tokens: int = BLOCK_TOKENS,
 ) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark passage, by the rule of ``contaminated``."""
+    left, names = plain_names(docs)
+    body = names[docs.columns.index(text)]
     for block in blocks(benchmark, item_id, item_text, block_tokens):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
@@ -205,10 +207,10 @@ def decontaminate(
             block = shared.value
             there = block.filter()
             for batch in batches:
-                for part in slices(batch, text):
+                for part in slices(batch, body):
                     keep = np.ones(part.num_rows, bool)
-                    keep[[t for t, *_ in overlaps(part[text], block, there, least)]] = False
+                    keep[[t for t, *_ in overlaps(part[body], block, there, least)]] = False
                     yield part.filter(pa.array(keep))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+        left = left.mapInArrow(run, left.schema)
+    return left.toDF(*docs.columns)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from touchline.session import materialise
 
 from .batches import slices, sums, words
-from .tables import col
+from .tables import col, plain_names
 
 SIZES = (3, 4)
 SLOTS = 1 << 21
@@ -208,14 +208,15 @@ def identify(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "d
 def keep_identified(docs: DataFrame, model: Model, text: str = "text", least_known: float = LEAST_KNOWN) -> DataFrame:
     """The rows of ``docs`` whose language is known; texts without letters, or with hardly a known n-gram, go."""
     shared = _shared(docs, model)
-    schema = docs.schema
+    plain, names = plain_names(docs)
+    body = names[docs.columns.index(text)]
 
     def run(batches):
         model, fill = shared.value
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, body):
                 if model.languages:
-                    names, _, known = decide(part[text], model, fill)
-                    yield part.filter(pa.array((np.array(names, dtype=object) != UNKNOWN) & (known >= least_known)))
+                    told, _, known = decide(part[body], model, fill)
+                    yield part.filter(pa.array((np.array(told, dtype=object) != UNKNOWN) & (known >= least_known)))
 
-    return docs.mapInArrow(run, schema)
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from touchline.session import materialise
 
 from .batches import raw, sectioned, slices
-from .tables import col, fresh
+from .tables import col, fresh, plain_names
 
 SECTIONS = 256
 FILTER_BITS = 1 << 28
@@ -179,20 +179,21 @@ def dedup_lines(
     drops = drops.select(F.col("id").alias(drop_id), F.col("drops").alias(lost))
     joined = docs.withColumn(at, key).join(drops, F.col(at) == F.col(drop_id), "left").drop(at, drop_id)
     kept = [c for c in docs.columns if stats is None or c.lower() != stats.lower()]
-    joined = joined.select(*map(col, kept), col(lost))
+    joined, plain = plain_names(joined.select(*map(col, kept), col(lost)))
+    body, gone_at = plain[kept.index(text)], plain[-1]
     # One pass gives text and counts; the counts travel beside the other columns.
     counts = pa.struct([("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("kept_sha256", pa.string())])
-    schema = joined.drop(lost).schema
+    schema = joined.drop(gone_at).schema
     if stats:
-        schema = schema.add(stats, T.StructType.fromDDL("n_lines long, n_dropped long, kept_sha256 string"))
+        schema = schema.add("stats", T.StructType.fromDDL("n_lines long, n_dropped long, kept_sha256 string"))
     names = schema.names
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, text):
+            for part in slices(batch, body):
                 texts, told = [], []
-                for body, gone in zip(raw(part[text]), part[lost].to_pylist(), strict=True):
-                    lines = body.split(b"\n")
+                for own, gone in zip(raw(part[body]), part[gone_at].to_pylist(), strict=True):
+                    lines = own.split(b"\n")
                     stay = lines
                     if gone:
                         gone = set(gone)
@@ -201,13 +202,13 @@ def dedup_lines(
                     texts.append(out)
                     if stats:
                         told.append((len(lines), len(lines) - len(stay), hashlib.sha256(out).hexdigest()))
-                arrays = [part[c] for c in kept]
-                arrays[kept.index(text)] = pa.array(
-                    [x if ok else None for x, ok in zip(texts, part[text].is_valid().to_pylist(), strict=True)], pa.binary()
+                arrays = [part[c] for c in plain[:-1]]
+                arrays[plain.index(body)] = pa.array(
+                    [x if ok else None for x, ok in zip(texts, part[body].is_valid().to_pylist(), strict=True)], pa.binary()
                 ).cast(pa.string())
                 if stats:
                     fields = [pa.array(x, t.type) for x, t in zip(zip(*told, strict=True), counts, strict=True)]
                     arrays.append(pa.StructArray.from_arrays(fields, [t.name for t in counts]))
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return joined.mapInArrow(run, schema)
+    return joined.mapInArrow(run, schema).toDF(*kept, *[stats] * bool(stats))
