@@ -26,7 +26,7 @@ from .batches import slices, words
 from .tables import col, plain_names
 
 SEEDS = ("11111", "1101011", "11100101", "10110011")
-#: A passage is the same if it agrees in so many tokens, 4 of 5 in every stretch counted, or in all of a shorter item.
+#: A passage is the same if so many tokens agree, 4 of 5 in the stretch they stand in, or all of a shorter item.
 LEAST_OVERLAP = 10
 MISMATCH = 4
 #: Items of fewer tokens than the shortest seed cannot be told from chance.
@@ -105,13 +105,14 @@ def blocks(benchmark: DataFrame, item_id: str, text: str, block_tokens: int) ->
 
 
 def agreement(doc: np.ndarray, item: np.ndarray, shift: int) -> np.ndarray:
-    """Positions of the item that agree in the best stretch of one alignment, in which 4 of 5 tokens agree."""
+    """Positions of the item that agree in the longest stretch of one alignment in which 4 of 5 tokens agree."""
     lo, hi = max(0, -shift), min(len(item), len(doc) - shift)
     same = doc[lo + shift : hi + shift] == item[lo:hi]
     total = np.concatenate(([0], np.cumsum(np.where(same, 1, -MISMATCH))))
-    gain = total - np.minimum.accumulate(total)
-    end = int(gain.argmax())
-    begin = int(total[: end + 1].argmin())
+    # For each end the first begin whose total is not higher; running minima only fall.
+    first = np.searchsorted(-np.minimum.accumulate(total), -total, "left")
+    end = int((np.arange(len(total)) - first).argmax())
+    begin = int(first[end])
     return lo + begin + np.flatnonzero(same[begin:end])
 
 
