@@ -197,10 +197,18 @@ def allocate(blocks: list[tuple[int, ...]], shares: list[np.ndarray], n: int, ra
 
 def probe_keys(prints: DataFrame, partitions: list[Partition]) -> DataFrame:
     """(probe, key, fingerprint): for each mask the bits it keeps."""
-    masks = [m for p in partitions for m in p.masks()]
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    keys = F.array(*(F.col("fingerprint").bitwiseAND(F.lit(m).cast("long")) for m in signed))
-    return prints.select("fingerprint", F.posexplode(keys).alias("probe", "key"))
+    masks = np.array([m for p in partitions for m in p.masks()], dtype=np.uint64).view(np.int64)
+    rows = max(1, (1 << 18) // len(masks))
+
+    def run(batches):
+        for batch in batches:
+            for lo in range(0, batch.num_rows, rows):
+                own = batch["fingerprint"][lo : lo + rows].to_numpy()
+                key = (own[:, None] & masks).ravel()
+                probe = np.tile(np.arange(len(masks), dtype=np.int32), len(own))
+                yield pa.RecordBatch.from_arrays([pa.array(probe), pa.array(key), pa.array(np.repeat(own, len(masks)))], ["probe", "key", "fingerprint"])
+
+    return prints.select("fingerprint").mapInArrow(run, "probe int, key long, fingerprint long")
 
 
 def _forest(prints: np.ndarray, starts: np.ndarray, ends: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -244,7 +252,7 @@ def links(prints: DataFrame, radius: int = RADIUS, group_rows: int = GROUP_ROWS)
 
     ``prints`` is a written table with a column ``fingerprint`` without repeats.
     """
-    n = prints.count()
+    n = max(1, prints.count())
     blocks = bit_blocks(prints)
     partitions = allocate(blocks, pair_shares(prints, blocks, radius), n, radius)
     keyed = probe_keys(prints, partitions)
