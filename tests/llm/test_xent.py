@@ -1,6 +1,7 @@
 """LM scoring against dictionaries of counts."""
 
 import math
+import re
 from collections import Counter
 
 import pytest
@@ -13,7 +14,7 @@ from .conftest import ODD, frame
 
 
 def toks(text):
-    return [h for h in map(token_hash, (text or "").split()) if h]
+    return [h for h in map(token_hash, re.split(r"[ \t\n\r\x0b\x0c]+", text or "")) if h]
 
 
 def expected(rows):
