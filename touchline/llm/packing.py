@@ -3,8 +3,9 @@
 Documents become token pieces of at most ``capacity``; only longer documents are cut. Pieces are
 dealt into groups of bounded size by a hash, and each group is packed best-fit decreasing. Dual
 feasible functions give a lower bound for every group, and, from the counts of each length, for
-the whole table. Where the bins exceed the bound, groups give up the pieces of their unfilled
-bins; these are dealt anew into fewer groups and packed again, as long as that saves bins.
+the whole table: a group at its bound is proven for itself, the table when all bins are as few as
+its bound. Until then groups give up the bins with more free space than their median; these pieces
+are dealt anew into fewer groups and packed again, as long as that saves bins.
 
 A group reads lengths, not texts; its size does not depend on the table. The driver sees one
 count for each length.
@@ -31,7 +32,7 @@ from .tables import col
 CAPACITY = 2048
 SEPARATOR = 0
 GROUP_ROWS = 100_000
-ROUNDS = 4
+ROUNDS = 8
 
 # Chunks of these characters are split and lower-cased here in the way of the tokenizer's own steps; all others,
 # and those that may hold a special token, go through the whole tokenizer.
@@ -190,7 +191,10 @@ def best_fit_decreasing(lengths: Iterable[int], capacity: int = CAPACITY) -> tup
 
 
 def _pack_groups(rows: DataFrame, round_: int, n: int, capacity: int, group_rows: int) -> DataFrame:
-    """(uid, length, round, group, bin, offset, gap, excess): each group of (uid, length) packed by itself."""
+    """(uid, length, round, group, bin, offset, loose, excess): each group of (uid, length) packed by itself.
+
+    ``loose`` bins may be exchanged; ``excess`` is the group's number of bins above its bound.
+    """
     groups = max(1, -(-n // group_rows))
     dealt = rows.select("uid", "length", F.pmod(F.xxhash64("uid", F.lit(round_)), F.lit(groups)).alias("group"))
 
@@ -199,15 +203,16 @@ def _pack_groups(rows: DataFrame, round_: int, n: int, capacity: int, group_rows
         bins, offsets, fill = best_fit_decreasing(length, capacity)
         one, times = np.unique(length, return_counts=True)
         excess = len(fill) - lower_bound(dict(zip(one.tolist(), times.tolist(), strict=True)), capacity)
+        loose = capacity - fill > np.median(capacity - fill)
         return pa.table(
             {
                 "uid": table["uid"], "length": table["length"], "round": pa.array(np.full(len(bins), round_, np.int32)),
                 "group": table["group"], "bin": pa.array(bins), "offset": pa.array(offsets),
-                "gap": pa.array((capacity - fill)[bins]), "excess": pa.array(np.full(len(bins), excess, np.int64)),
+                "loose": pa.array(loose[bins]), "excess": pa.array(np.full(len(bins), excess, np.int64)),
             }
         )
 
-    schema = "uid long, length long, round int, group long, bin long, offset long, gap long, excess long"
+    schema = "uid long, length long, round int, group long, bin long, offset long, loose boolean, excess long"
     return dealt.groupBy("group").applyInArrow(pack, schema)
 
 
@@ -235,12 +240,13 @@ def pack_pieces(
         if round_ and bins >= before:
             break  # the exchange saved nothing: the last packing of these pieces stands
         if round_:
-            done[-1] = done[-1].where("gap = 0")
+            done[-1] = done[-1].where("not loose")
         done.append(packed)
-        loose = packed.where("gap > 0")
+        loose = packed.where("loose")
         before = _bins(loose)
         kept += bins - before
-        if kept + before <= bound or packed.select("group").distinct().count() <= 1:
+        groups = packed.select("group").distinct().count()
+        if kept + before <= bound or groups <= 1:
             break  # proven to be the fewest, or no other group to exchange with
         rows, waiting = loose.select("uid", "length"), loose.count()
     number = F.col("round").cast("long") * (1 << 56) + F.col("group") * (1 << 24) + F.col("bin")

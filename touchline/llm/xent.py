@@ -122,7 +122,7 @@ def train(docs: DataFrame, text: str, target: str) -> Model:
     vocab = np.sort(common["word"].to_numpy().view(np.uint64))
     size = len(vocab) + 2
     pairs = materialise(pair_counts(own, vocab))
-    first = (F.col("pair") / size).cast("long") if size < 2 else F.expr(f"pair div {size}L")
+    first = F.expr(f"pair div {size}L")
     totals = np.zeros((2, 2, size))  # as first or second word; all or target
     for k, side in enumerate((first, F.col("pair") % size)):
         found = pairs.groupBy(side.alias("place")).agg(F.sum("all").alias("all"), F.sum("target").alias("target")).toArrow()
