@@ -35,7 +35,7 @@ UNKNOWN = "und"
 SHARE, LEAST_COUNT = 0.1, 2
 #: Below this share of known n-grams a text is rejected by ``keep_identified``.
 LEAST_KNOWN = 0.1
-TRAIN_SLICE, TASK_GRAMS = 8 << 20, 2_000_000
+TASK_GRAMS, PENDING = 2_000_000, 8
 
 
 @dataclass(frozen=True)
@@ -86,6 +86,14 @@ def slots(gram: np.ndarray) -> np.ndarray:
     return ((x[:, None] + step[:, None] * np.arange(PROBES, dtype=np.uint64)) % np.uint64(SLOTS)).astype(np.int64)
 
 
+def lookup(masks: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    """The languages of each n-gram as bits, in pieces that stay in cache."""
+    out = np.empty(len(gram), np.uint64)
+    for lo in range(0, len(gram), 1 << 16):
+        out[lo : lo + (1 << 16)] = np.bitwise_and.reduce(masks[slots(gram[lo : lo + (1 << 16)])], axis=1)
+    return out
+
+
 def count_grams(docs: DataFrame) -> DataFrame:
     """(lang, gram, n) of (text, lang) rows, folded in each task."""
 
@@ -104,7 +112,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
             held.clear()
 
         for batch in batches:
-            for part in slices(batch, "text", TRAIN_SLICE):
+            for part in slices(batch, "text"):
                 codes, vocab, offsets = words(part["text"])
                 gram, owner = grams(letters_only(vocab))
                 lang = part["lang"].dictionary_encode()
@@ -113,7 +121,8 @@ def count_grams(docs: DataFrame) -> DataFrame:
                     times = np.bincount(codes[of_word == i], minlength=len(vocab))[owner]
                     used = times > 0
                     held.setdefault(name, []).append(fold([(gram[used], times[used])]))
-                    held[name] = [fold(held[name])]
+                    if len(held[name]) > PENDING:
+                        held[name] = [fold(held[name])]
                 entries = sum(len(g) for p in held.values() for g, _ in p)
                 if entries > TASK_GRAMS:
                     yield from told()
@@ -162,8 +171,7 @@ def decide(texts: pa.Array, model: Model, fill: np.ndarray) -> tuple[list[str],
     codes, vocab, offsets = words(texts)
     clean = letters_only(vocab)
     gram, owner = grams(clean)
-    found = model.masks[slots(gram)] if len(gram) else np.zeros((0, PROBES), np.uint64)
-    held = np.bitwise_and.reduce(found, axis=1) if len(gram) else np.zeros(0, np.uint64)
+    held = lookup(model.masks, gram)
     per_word = lambda x: np.bincount(owner, x, len(vocab))
     in_doc = lambda x: sums(per_word(x)[codes] if len(vocab) else np.zeros(0), offsets)
     n = in_doc(np.ones(len(gram)))
