@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -41,8 +43,8 @@ def tune(spark: SparkSession) -> SparkSession:
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Point the context at the folder named in ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder: on a cluster the
-    folder must be one that every executor can reach.
+    Only a local master may fall back to a temporary folder, which goes with the
+    process: on a cluster the folder must be one that every executor can reach.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
@@ -52,6 +54,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="touchline-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     context.setCheckpointDir(folder)
 
 
