@@ -7,7 +7,7 @@ import math
 from collections import Counter
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from workload.oracle import ORACLE
 from workload.queries import REGISTRY
@@ -37,9 +37,11 @@ def _rows(names: list[str], rows) -> Counter:
     return Counter(tuple(_cell(row[i]) for i in order) for row in rows)
 
 
-def compare(spark: SparkSession, con: duckdb.DuckDBPyConnection, name: str, sf_dir: str) -> str | None:
-    """None when equal, else what differs."""
-    df = REGISTRY[name](spark, sf_dir)
+def compare(
+    spark: SparkSession, con: duckdb.DuckDBPyConnection, name: str, sf_dir: str, df: DataFrame | None = None
+) -> str | None:
+    """None when equal, else what differs. ``df`` is the query's result if it has been built already."""
+    df = REGISTRY[name](spark, sf_dir) if df is None else df
     ours_rows = df.collect()
     cur = con.execute(ORACLE[name])
     sql_names = [d[0] for d in cur.description]
