@@ -151,7 +151,8 @@ def dropped_keys(docs: DataFrame, least: int, filter_bits: int = FILTER_BITS) ->
     filters = {r["section"]: bytes(r["filter"]) for r in twice_filter(hashed, bits).toLocalIterator()}
     found = materialise(suspects(docs, filters, bits, least))
     exact = found.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    exact = exact.where("first < last").select(F.col("key").alias("repeated"), "first")
+    # Written, so that both sides of the join are plain exchanges, which Spark can split where one line is in very many documents.
+    exact = materialise(exact.where("first < last").select(F.col("key").alias("repeated"), "first"))
     lost = found.join(exact, (F.col("key") == F.col("repeated")) & (F.col("id") > F.col("first")))
     return lost.groupBy("id").agg(F.collect_set("digest").alias("drops"))
 
