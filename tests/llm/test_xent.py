@@ -101,3 +101,13 @@ def test_query(spark, small):
     good = {r["doc_id"] for r in spark.read.parquet(f"{small}/labels.parquet").where("quality = 1").collect()}
     rows = op9_lm_scoring(spark, small).orderBy("doc_id").collect()
     agree([(r["n_tokens"], r["target_loss"], r["background_loss"]) for r in rows], expected([(r["text"], r["doc_id"] in good) for r in docs]))
+
+
+def test_entries_grow_with_the_corpus(spark):
+    """A word and a bigram seen twice have entries, however many tokens there are."""
+    common = " ".join(f"c{i}" for i in range(50)) + " "
+    rows = [(i, common * 150, "en", "s") for i in range(40)] + [(100 + i, "rare pair", "en", "s") for i in range(2)]
+    m = xent.train(frame(spark, rows).selectExpr("*", "doc_id < 5 as good"), "text", "good")
+    words = [int(w) for w in m.vocab]
+    assert token_hash("rare") in words and token_hash("pair") in words
+    assert words.index(token_hash("rare")) * (len(words) + 2) + words.index(token_hash("pair")) in m.pairs.tolist()

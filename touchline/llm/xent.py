@@ -1,22 +1,26 @@
 """Cross-entropy difference of two n-gram models with one vocabulary.
 
-Words that make up a fixed share of all tokens are the vocabulary; all others are one symbol.
-Bigrams of the target rows and of the background (all rows) are counted over it, and both
-models are discounted bigrams that fall back on their unigrams. A document's score is the mean
-over its tokens of the target's loss less the background's: below 0 it is more like the target.
-
-Counts cover all rows and are folded in tasks before each shuffle. The vocabulary and the bigrams
-with an entry of their own are those above a share of all tokens, so their number is bounded by
-one over that share at any size, and the model is broadcast; the mass of the rarer bigrams goes to
-the fallback.
+Words seen at least ``LEAST_COUNT`` times are the vocabulary; all others are one symbol. Bigrams of the
+target rows and of the background (all rows) are counted over it, and both models are discounted
+bigrams that fall back on their unigrams; bigrams seen as often have an entry of their own. A
+document's score is the mean over its tokens of the target's loss less the background's: below 0 it
+is more like the target.
+
+The least count is fixed, so vocabulary and entries grow with the corpus. Both stay tables: raw
+bigrams are folded in tasks and counted by shuffle, then words that are too rare are replaced by
+joins. To score, documents are dealt into slices of bounded size by a hash; each slice asks once for each of
+its words and bigrams, the asked keys are joined to the model, and the answers meet the slice's texts.
 """
 
 from __future__ import annotations
 
+import functools
+import math
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,43 +28,79 @@ from .batches import slices, sums
 from .decontam import tokens
 from .tables import col
 
-#: Vocabulary: at most 1 / WORD_SHARE words. Bigrams: at most 1 / PAIR_SHARE for each model.
-WORD_SHARE, PAIR_SHARE, LEAST_COUNT = 1e-5, 2e-6, 2
+#: The least count holds at every size; there is no share of all tokens below which entries go.
+WORD_SHARE, PAIR_SHARE, LEAST_COUNT = 0.0, 0.0, 2
 DISCOUNT = 0.5
 COUNT_SLICE, TASK_ENTRIES = 8 << 20, 1_500_000
+#: Text of a slice of documents that is scored together.
+SCORE_BYTES = 8 << 20
+#: Keys of the unknown word and the start of a text. Those of words are odd, those of bigrams even.
+UNKNOWN, START = 2, 4
 
 
 @dataclass(frozen=True)
 class Model:
-    """Losses by vocabulary place; the last two places are the unknown word and the start of a text.
+    """``table``: written (key, values) of words and bigrams, with the losses under target and background.
 
-    ``pairs`` holds first * size + second of bigrams with an own entry, sorted. For the target and
-    the background: ``pair_loss`` (one row each), ``back`` (loss of falling back after a word) and
-    ``single`` (unigram loss).
+    A bigram has its two losses. A word has those of falling back after it and of it as a unigram, then
+    those of the bigrams (word, unknown) and (unknown, word), not a number without an entry.
+    ``words`` and ``entries`` are the tables that these come from.
+
+    ``vocab``, ``pairs`` (first * size + second), ``pair_loss``, ``back`` and ``single`` show a small model
+    as arrays; the last two places are the unknown word and the start. Scoring does not use them.
     """
 
-    vocab: np.ndarray
-    pairs: np.ndarray
-    pair_loss: np.ndarray
-    back: np.ndarray
-    single: np.ndarray
+    table: DataFrame
+    words: DataFrame
+    entries: DataFrame
+
+    @functools.cached_property
+    def _places(self) -> tuple:
+        rows = sorted(self.words.collect(), key=lambda r: (r["key"] in (UNKNOWN, START), r["key"] == START, r["key"] % 2**64))
+        return {r["key"]: i for i, r in enumerate(rows)}, rows
+
+    @property
+    def vocab(self) -> np.ndarray:
+        return np.array([r["key"] for r in self._places[1][:-2]], np.int64).view(np.uint64)
+
+    @property
+    def back(self) -> np.ndarray:
+        return -np.log(np.array([[r["left_target"], r["left_all"]] for r in self._places[1]]).T)
+
+    @property
+    def single(self) -> np.ndarray:
+        return -np.log(np.array([[r["chance_target"], r["chance_all"]] for r in self._places[1]]).T)
+
+    @functools.cached_property
+    def _entries(self) -> list:
+        place, rows = self._places
+        return sorted((place[r["a"]] * len(rows) + place[r["b"]], r["target_loss"], r["all_loss"]) for r in self.entries.collect())
+
+    @property
+    def pairs(self) -> np.ndarray:
+        return np.array([r[0] for r in self._entries], np.int64)
+
+    @property
+    def pair_loss(self) -> np.ndarray:
+        return np.array([r[1:] for r in self._entries]).reshape(-1, 2).T
 
 
 class Fold:
-    """Sums by key, in bounded memory."""
+    """Sums by key, in bounded memory; ``about`` holds numbers that go with a key."""
 
-    def __init__(self, width: int):
-        self.width, self.keys, self.counts = width, np.zeros(0, np.int64), np.zeros((width, 0), np.int64)
+    def __init__(self, about: int, width: int):
+        self.about, self.width, self.keys = about, width, np.zeros(0, np.int64)
+        self.facts, self.counts = np.zeros((about, 0), np.int64), np.zeros((width, 0), np.int64)
 
-    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        keys, at = np.unique(np.concatenate((self.keys, keys)), return_inverse=True)
-        counts = np.concatenate((self.counts, counts), axis=1)
-        self.counts = np.stack([np.bincount(at, c, len(keys)).astype(np.int64) for c in counts])
-        self.keys = keys
+    def add(self, keys: np.ndarray, facts: np.ndarray, counts: np.ndarray) -> None:
+        facts, counts = np.concatenate((self.facts, facts), axis=1), np.concatenate((self.counts, counts), axis=1)
+        self.keys, first, at = np.unique(np.concatenate((self.keys, keys)), return_index=True, return_inverse=True)
+        self.facts = facts[:, first]
+        self.counts = np.stack([np.bincount(at, c, len(self.keys)).astype(np.int64) for c in counts])
 
     def take(self, names: list[str]) -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays([pa.array(self.keys), *map(pa.array, self.counts)], names)
-        self.__init__(self.width)
+        out = pa.RecordBatch.from_arrays([*map(pa.array, self.facts if self.about else [self.keys]), *map(pa.array, self.counts)], names)
+        self.__init__(self.about, self.width)
         return out
 
 
@@ -68,11 +108,11 @@ def word_counts(docs: DataFrame) -> DataFrame:
     """(word, n): hash and count of every word of column ``text``."""
 
     def run(batches):
-        fold = Fold(1)
+        fold = Fold(0, 1)
         for batch in batches:
             for part in slices(batch, "text", COUNT_SLICE):
                 word, n = np.unique(tokens(part["text"])[0].view(np.int64), return_counts=True)
-                fold.add(word, n[None])
+                fold.add(word, np.zeros((0, len(word)), np.int64), n[None])
                 if len(fold.keys) > TASK_ENTRIES:
                     yield fold.take(["word", "n"])
         yield fold.take(["word", "n"])
@@ -80,35 +120,45 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def text_pairs(texts: pa.Array, vocab: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Bigrams of all texts in a row (first * size + second), each text from its start on, and the text of each."""
+def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Even key of each bigram of word keys."""
+    x = a.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ b.view(np.uint64)
+    x = (x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+    return ((x ^ x >> np.uint64(32)) & ~np.uint64(1)).view(np.int64)
+
+
+def text_pairs(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and second word key of all bigrams of all texts in a row, each text from its start on, and the text of each."""
     hashes, row = tokens(texts)
-    size = len(vocab) + 2
-    at = np.searchsorted(vocab, hashes)
-    place = np.where(vocab[np.minimum(at, len(vocab) - 1)] == hashes, at, len(vocab)) if len(vocab) else np.zeros(len(hashes), np.int64)
-    before = np.concatenate(([size - 1], place[:-1]))[: len(place)]
-    before = np.where(np.diff(row, prepend=-1) != 0, size - 1, before)
-    return before * size + place, row
+    b = hashes.view(np.int64)
+    a = np.concatenate(([START], b[:-1]))[: len(b)].astype(np.int64)
+    return np.where(np.diff(row, prepend=-1) != 0, START, a), b, row
 
 
-def pair_counts(docs: DataFrame, vocab: np.ndarray) -> DataFrame:
-    """(pair, all, target): bigram counts over all rows and over those whose column ``target`` is true."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocab)
+def pair_counts(docs: DataFrame) -> DataFrame:
+    """(a, b, all, target): bigram counts over all rows and over those whose column ``target`` is true."""
+    names = ["a", "b", "all", "target"]
 
     def run(batches):
-        fold = Fold(2)
+        fold = Fold(2, 2)
         for batch in batches:
             for part in slices(batch, "text", COUNT_SLICE):
-                pair, row = text_pairs(part["text"], shared.value)
+                a, b, row = text_pairs(part["text"])
                 wanted = part["target"].to_numpy(zero_copy_only=False).astype(np.int64)
-                pair, at = np.unique(pair, return_inverse=True)
-                fold.add(pair, np.stack([np.bincount(at, minlength=len(pair)), np.bincount(at, wanted[row], len(pair)).astype(np.int64)]))
+                key, first, at = np.unique(pair_key(a, b), return_index=True, return_inverse=True)
+                fold.add(key, np.stack([a[first], b[first]]), np.stack([np.bincount(at, minlength=len(key)), np.bincount(at, wanted[row], len(key)).astype(np.int64)]))
                 if len(fold.keys) > TASK_ENTRIES:
-                    yield fold.take(["pair", "all", "target"])
-        yield fold.take(["pair", "all", "target"])
+                    yield fold.take(names)
+        yield fold.take(names)
+
+    counted = docs.select("text", "target").mapInArrow(run, "a long, b long, all long, target long")
+    return counted.groupBy("a", "b").agg(F.sum("all").alias("all"), F.sum("target").alias("target"))
+
 
-    counted = docs.select("text", "target").mapInArrow(run, "pair long, all long, target long")
-    return counted.groupBy("pair").agg(F.sum("all").alias("all"), F.sum("target").alias("target"))
+def _joined(left: DataFrame, right: DataFrame, on: str, key: str, how: str = "left") -> DataFrame:
+    """``left`` with the columns of ``right`` of equal key; by shuffle, as both grow with the corpus."""
+    right = right.withColumnRenamed(key, "joined_key")
+    return left.join(right.hint("shuffle_merge"), F.col(on) == F.col("joined_key"), how).drop("joined_key")
 
 
 def train(docs: DataFrame, text: str, target: str) -> Model:
@@ -116,46 +166,70 @@ def train(docs: DataFrame, text: str, target: str) -> Model:
     from touchline.session import materialise
 
     own = docs.select(col(text).alias("text"), F.coalesce(col(target).cast("boolean"), F.lit(False)).alias("target"))
-    words = materialise(word_counts(own))
-    n_words = words.agg(F.sum("n")).first()[0] or 0
-    common = words.where(F.col("n") >= max(LEAST_COUNT, WORD_SHARE * n_words)).select("word").toArrow()
-    vocab = np.sort(common["word"].to_numpy().view(np.uint64))
-    size = len(vocab) + 2
-    pairs = materialise(pair_counts(own, vocab))
-    first = F.expr(f"pair div {size}L")
-    totals = np.zeros((2, 2, size))  # as first or second word; all or target
-    for k, side in enumerate((first, F.col("pair") % size)):
-        found = pairs.groupBy(side.alias("place")).agg(F.sum("all").alias("all"), F.sum("target").alias("target")).toArrow()
-        for m, name in enumerate(("target", "all")):
-            totals[k, m, found["place"].to_numpy()] = found[name].to_numpy()
-    enough = [F.col(name) >= max(LEAST_COUNT, PAIR_SHARE * totals[0, m].sum()) for m, name in enumerate(("target", "all"))]
-    kept = pairs.where(enough[0] | enough[1]).orderBy("pair").toArrow()
-    pair = kept["pair"].to_numpy()
-    a, b = pair // size, pair % size
-    single, back, pair_loss = np.zeros((2, size)), np.zeros((2, size)), np.zeros((2, len(pair)))
-    for m, name in enumerate(("target", "all")):
-        seen = totals[1, m]
-        chance = (seen + 1) / (seen.sum() + size)
-        after = np.maximum(totals[0, m][a], 1)
-        direct = np.maximum(kept[name].to_numpy() - DISCOUNT, 0) / after
-        left = np.maximum(1 - np.bincount(a, direct, size), 1e-9)
-        single[m], back[m] = -np.log(chance), -np.log(left)
-        pair_loss[m] = -np.log(direct + left[a] * chance[b])
-    return Model(vocab, pair, pair_loss.astype(np.float32), back.astype(np.float32), single.astype(np.float32))
-
-
-def losses(texts: pa.Array, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Mean loss a token of each text under the target and the background, and the number of tokens."""
-    pair, row = text_pairs(texts, model.vocab)
-    size = len(model.vocab) + 2
+    common = materialise(word_counts(own).where(F.col("n") >= LEAST_COUNT).select("word"))
+    size = common.count() + 2
+    counts = pair_counts(own)
+    for side in ("a", "b"):
+        known = common.select("word", F.lit(True).alias("known"))
+        counts = _joined(counts, known, side, "word")
+        counts = counts.withColumn(side, F.when(F.col("known") | (F.col(side) == START), F.col(side)).otherwise(F.lit(UNKNOWN).cast("long"))).drop("known")
+    counts = materialise(counts.groupBy("a", "b").agg(F.sum("all").alias("all"), F.sum("target").alias("target")))
+    sides = ("target", "all")
+    n = counts.agg(*(F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in sides)).first()
+    firsts = counts.groupBy("a").agg(*(F.greatest(F.sum(m), F.lit(1)).alias(f"first_{m}") for m in sides))
+    seconds = counts.groupBy("b").agg(*(F.sum(m).alias(f"second_{m}") for m in sides))
+    entries = _joined(counts.where((F.col("all") >= LEAST_COUNT) | (F.col("target") >= LEAST_COUNT)), firsts, "a", "a", "inner")
+    direct = [(F.greatest(F.col(m) - DISCOUNT, F.lit(0.0)) / F.col(f"first_{m}")).alias(f"direct_{m}") for m in sides]
+    entries = materialise(entries.select("a", "b", *direct))
+    lefts = entries.groupBy("a").agg(*(F.greatest(1 - F.sum(f"direct_{m}"), F.lit(1e-9)).alias(f"left_{m}") for m in sides))
+    words = common.select(F.col("word").alias("key")).unionByName(docs.sparkSession.createDataFrame([(UNKNOWN,), (START,)], "key long"))
+    words = _joined(_joined(words, lefts, "key", "a"), seconds, "key", "b")
+    left = [F.coalesce(f"left_{m}", F.lit(1.0)).alias(f"left_{m}") for m in sides]
+    chance = [((F.coalesce(f"second_{m}", F.lit(0)) + 1) / float(n[m] + size)).alias(f"chance_{m}") for m in sides]
+    words = materialise(words.select("key", *left, *chance))
+    told = _joined(entries, words.select("key", *(f"left_{m}" for m in sides)), "a", "key", "inner")
+    told = _joined(told, words.select("key", *(f"chance_{m}" for m in sides)), "b", "key", "inner")
+    loss = [(-F.log(F.col(f"direct_{m}") + F.col(f"left_{m}") * F.col(f"chance_{m}"))).cast("float").alias(f"{m}_loss") for m in sides]
+    entries = materialise(told.select("a", "b", *loss))
+
+    after = entries.where(F.col("b") == UNKNOWN).select("a", *(F.col(f"{m}_loss").alias(f"after_{m}") for m in sides))
+    before = entries.where(F.col("a") == UNKNOWN).select("b", *(F.col(f"{m}_loss").alias(f"before_{m}") for m in sides))
+    full = _joined(_joined(words, after, "key", "a"), before, "key", "b")
+    values = [-F.log(f"{c}_{m}") for c in ("left", "chance") for m in sides]
+    values += [F.coalesce(f"{c}_{m}", F.lit(float("nan"))) for c in ("after", "before") for m in sides]
+    full = full.select("key", F.array(*(v.cast("float") for v in values)).alias("values"))
+
+    def keyed(batches):
+        for batch in batches:
+            key = pair_key(batch["a"].to_numpy(), batch["b"].to_numpy())
+            both = np.stack([batch["target_loss"].to_numpy(), batch["all_loss"].to_numpy()], axis=1)
+            values = pa.ListArray.from_arrays(pa.array(np.arange(len(key) + 1, dtype=np.int32) * 2), pa.array(both.ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(key), values], ["key", "values"])
+
+    plain = entries.where((F.col("a") != UNKNOWN) & (F.col("b") != UNKNOWN)).mapInArrow(keyed, "key long, values array<float>")
+    return Model(materialise(full.unionByName(plain)), words, entries)
+
+
+def losses(texts: pa.Array, keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean loss a token of each text under the target and the background, and the number of tokens.
+
+    ``keys`` are sorted and hold those of the model among the texts' words and bigrams, UNKNOWN and START;
+    ``values`` has a row of eight for each.
+    """
+    a, b, row = text_pairs(texts)
+
+    def place(wanted, default):
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return np.where(keys[at] == wanted, at, default)
+
+    unknown = int(np.searchsorted(keys, UNKNOWN))
+    pair, a, b = place(pair_key(a, b), -1), place(a, unknown), place(b, unknown)
     offsets = np.searchsorted(row, np.arange(len(texts) + 1))
-    at = np.minimum(np.searchsorted(model.pairs, pair), max(0, len(model.pairs) - 1))
-    own = model.pairs[at] == pair if len(model.pairs) else np.zeros(len(pair), bool)
     n = np.diff(offsets)
     out = np.zeros((2, len(n)))
     for m in range(2):
-        loss = model.back[m][pair // size] + model.single[m][pair % size]
-        loss[own] = model.pair_loss[m][at[own]]
+        own = np.where(b == unknown, values[a, 4 + m], np.where(a == unknown, values[b, 6 + m], np.where(pair >= 0, values[pair, m], np.nan)))
+        loss = np.where(np.isnan(own), values[a, m] + values[b, 2 + m], own)
         out[m] = sums(loss.astype(np.float64), offsets) / np.maximum(n, 1)
     return out, n
 
@@ -166,16 +240,45 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     Null texts and texts without a word have no tokens and score 0; ids may be null or repeat; other
     columns are not read. Without target rows the target model knows only the vocabulary.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = f"doc_id {docs.schema[doc_id].dataType.simpleString()}, n_tokens long, target_loss double, background_loss double, score double"
-
-    def run(batches):
+    id_type = docs.schema[doc_id].dataType.simpleString()
+    schema = f"doc_id {id_type}, n_tokens long, target_loss double, background_loss double, score double"
+    own = docs.select(col(doc_id).alias("doc_id"), col(text).alias("text"))
+    n = max(1, math.ceil((own.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / SCORE_BYTES))
+    dealt = own.withColumn("slice", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")).repartition(n, "slice")
+
+    def ask(batches):
+        asked: dict[int, np.ndarray] = {}
         for batch in batches:
             for part in slices(batch, "text"):
-                (target, background), n = losses(part["text"], shared.value)
-                yield pa.RecordBatch.from_arrays(
+                a, b, row = text_pairs(part["text"])
+                to = part["slice"].to_numpy()[row]
+                for s in np.unique(to).tolist():
+                    x, y = a[to == s], b[to == s]
+                    asked[s] = np.unique(np.concatenate((asked.get(s, y[:0]), y, pair_key(x, y))))
+        for s, keys in asked.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), s, np.int32)), pa.array(keys)], ["slice", "asked"])
+
+    asked = dealt.select("slice", "text").mapInArrow(ask, "slice int, asked long")
+    answers = asked.join(model.table.hint("shuffle_merge"), F.col("asked") == F.col("key")).select("slice", "key", "values")
+    fixed = {r["key"]: r["values"] for r in model.table.where(F.col("key").isin(UNKNOWN, START)).collect()}
+
+    def told(texts: pa.Table, found: pa.Table) -> pa.Table:
+        keys = np.concatenate((found["key"].to_numpy(), list(fixed))).astype(np.int64)
+        lists = found["values"].combine_chunks()
+        many = np.concatenate((pc.list_value_length(lists).to_numpy(zero_copy_only=False), [8] * len(fixed))).astype(np.int64)
+        flat = np.concatenate((lists.flatten().to_numpy(zero_copy_only=False), *fixed.values())).astype(np.float32)
+        values = np.full((len(keys), 8), np.nan, np.float32)
+        values[np.arange(8) < many[:, None]] = flat
+        order = np.argsort(keys)
+        keys, values, out = keys[order], values[order], []
+        for batch in texts.to_batches():
+            for part in slices(batch, "text"):
+                (target, background), n = losses(part["text"], keys, values)
+                out.append(pa.RecordBatch.from_arrays(
                     [part["doc_id"], *map(pa.array, (n.astype(np.int64), target, background, target - background))],
                     ["doc_id", "n_tokens", "target_loss", "background_loss", "score"],
-                )
+                ))
+        none = pa.schema([("doc_id", texts.schema.field("doc_id").type), ("n_tokens", pa.int64()), *((c, pa.float64()) for c in ("target_loss", "background_loss", "score"))])
+        return pa.Table.from_batches(out, out[0].schema if out else none)
 
-    return docs.select(col(doc_id).alias("doc_id"), col(text).alias("text")).mapInArrow(run, schema)
+    return dealt.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(told, schema)
