@@ -87,3 +87,9 @@ def test_query_on_held_out_documents(spark):
     hit = sum(r["predicted"] and toxic[r["doc_id"]] for r in rows)
     assert all(0 <= r["score"] <= 1 for r in rows)
     assert hit / sum(r["predicted"] for r in rows) > 0.9 and hit / sum(toxic[r["doc_id"]] for r in rows) > 0.85
+
+
+def test_all_matched_clauses_are_counted(spark):
+    docs = frame(spark, [(1, "you are a fool. " * 40, "en", "s")])
+    model = tox.Model({"fool": 1.0}, np.zeros(5))
+    assert [r["clauses"] for r in tox.score(docs, model).collect()] == [40]

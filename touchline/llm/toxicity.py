@@ -3,8 +3,8 @@
 Small transducers read a clause as symbols (insult, threat, target, negation, reported speech,
 other): one gives weight to insults and threats, one raises it near a target, one lowers it after a
 negation, one lowers it in reported speech. They are composed into one automaton, and a clause
-scores the sum of what its matches give. Words alone score nothing: their weight passes through
-the clause they stand in.
+scores the sum of what its matches give. An insult counts in full on its own, as ``_worth`` gives it;
+what stands around it in its clause only raises or lowers that. A threat alone counts little.
 
 Function words are fixed lists. Insults are learned: words and word stems that stand in many more
 toxic than other labelled texts. A logistic curve over the document's clause scores gives the
@@ -132,7 +132,7 @@ _THREATS, _TARGETS, _NEGATIONS, _REPORTS = map(frozenset, (THREATS, TARGETS, NEG
 
 
 def clause_features(texts: pa.Array, insults: dict[str, float]) -> np.ndarray:
-    """Of each text: sum of its clauses' scores, highest clause, number of matched clauses, different insults; bounded."""
+    """Of each text: sum of its clauses' scores, highest clause, number of matched clauses, different insults."""
     codes, vocab, offsets = words(pc.replace_substring(pc.fill_null(texts, ""), "\n", " . "))
     out = np.zeros((len(texts), 4))
     if not len(vocab):
@@ -158,7 +158,12 @@ def clause_features(texts: pa.Array, insults: dict[str, float]) -> np.ndarray:
         seen.setdefault(r, set()).update(codes[lo:hi][kinds[lo:hi] == INSULT].tolist())
     for r, found in seen.items():
         out[r, 3] = len(found)
-    return np.minimum(out, MOST_FEATURE)
+    return out
+
+
+def bounded(x: np.ndarray) -> np.ndarray:
+    """Features as the curve takes them: each at most ``MOST_FEATURE``."""
+    return np.minimum(x, MOST_FEATURE)
 
 
 def entry_counts(labelled: DataFrame) -> DataFrame:
@@ -230,7 +235,7 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                x = clause_features(part["text"], shared.value)
+                x = bounded(clause_features(part["text"], shared.value))
                 yield pa.RecordBatch.from_arrays([part["label"], *map(pa.array, x.T)], ["label", "a", "b", "c", "d"])
 
     rows_ = own.mapInArrow(run, "label int, a double, b double, c double, d double").toArrow()
@@ -256,7 +261,7 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
         for batch in batches:
             for part in slices(batch, "text"):
                 x = clause_features(part["text"], model.insults)
-                p = 1 / (1 + np.exp(-np.clip(model.curve[0] + x @ model.curve[1:], -30, 30)))
+                p = 1 / (1 + np.exp(-np.clip(model.curve[0] + bounded(x) @ model.curve[1:], -30, 30)))
                 yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(p), pa.array(x[:, 2].astype(np.int64))], ["doc_id", "score", "clauses"])
 
     return docs.select(col(doc_id).alias("doc_id"), col(text).alias("text")).mapInArrow(run, schema)
