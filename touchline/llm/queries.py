@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, line_dedup, packing, secrets, sharding, simhash, topk, toxicity, xent
+from . import decontam, langid, line_dedup, mixing, packing, secrets, sharding, simhash, topk, toxicity, xent
 from .tables import held_out
 
 #: Production parameters of the placement query.
@@ -90,6 +90,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of every document the mix of its source takes."""
+    plan = mixing.planned(table(spark, sf_dir, "documents"), ["doc_id"])
+    return plan.select("doc_id", "mix.size", "mix.source_size", "mix.target", (F.col("mix.size") * F.col("mix.copies")).alias("taken"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -103,6 +109,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_decontamination,
         op9_lm_scoring,
         op10_secret_scan,
+        op11_mixing,
     )
 }
 ORACLE: dict[str, str] = {}
@@ -161,3 +168,30 @@ a as (select doc_id, string_agg({_SPAN}, ',' order by start, kind) as spans, cou
 select d.doc_id, {", ".join(f"coalesce(n_{n[0]}, 0) as n_{n[0]}" for n in secrets.KINDS)},
   sha256(coalesce(b.spans, '')) as base_sha256, coalesce(a.spans, '') as spans, coalesce(n_live, 0) as n_live
 from documents d left join b on b.doc_id = d.doc_id left join a on a.doc_id = d.doc_id"""
+
+_WEIGHT = f"[{', '.join(map(str, mixing.WEIGHTS))}][(row_number() over (order by source nulls last) - 1) % {len(mixing.WEIGHTS)} + 1]"
+# Sources leave in the order of their limit over their weight; the first level that the next source does not reach holds.
+ORACLE["op11_mixing"] = f"""
+with d as (
+  select doc_id, source, cast(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) as bigint) as size,
+    md5(concat_ws('|', coalesce(cast(doc_id as varchar), ''), coalesce('+' || source, '-'), md5(coalesce(text, '')))) as document
+  from documents),
+s as (select source, cast(sum(size) as bigint) as source_size, {_WEIGHT} as weight from d group by source),
+o as (
+  select *, coalesce(sum({mixing.MOST} * source_size) over w, 0) as used, sum(weight) over () - coalesce(sum(weight) over w, 0) as rest,
+    sum(source_size) over () as total
+  from s window w as (order by source_size / weight, source nulls last rows between unbounded preceding and 1 preceding)),
+l as (
+  select {mixing.SHARE.numerator} * total - {mixing.SHARE.denominator} * used as num, {mixing.SHARE.denominator} * rest as den from o
+  where {mixing.MOST} * source_size * {mixing.SHARE.denominator} * rest > weight * ({mixing.SHARE.numerator} * total - {mixing.SHARE.denominator} * used)
+  order by used, rest desc limit 1),
+t as (
+  select source, source_size, case when den is null or weight * num >= {mixing.MOST} * source_size * den then cast({mixing.MOST} * source_size as double)
+    else cast(weight as double) * cast(num as double) / cast(den as double) end as target
+  from s left join l on true),
+n as (select *, row_number() over (partition by document) as copy from d),
+r as (
+  select doc_id, size, source_size, target, case when source_size > 0 then target / source_size else 0.0::double end as rate,
+    cast(cast('0x' || substr(md5(concat_ws('|', document, '{mixing.SEED}', cast(copy as varchar))), 1, {mixing.DRAW_BITS // 4}) as bigint) as double) / {1 << mixing.DRAW_BITS}::double as draw
+  from n join t on n.source is not distinct from t.source)
+select doc_id, size, source_size, target, size * cast(floor(rate) + case when draw < rate - floor(rate) then 1 else 0 end as bigint) as taken from r"""
