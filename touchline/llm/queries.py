@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, line_dedup, mixing, packing, secrets, sharding, simhash, topk, toxicity, xent
+from . import decontam, langid, line_dedup, mixing, packing, secrets, sharding, simhash, topk, toxicity, trie, xent
 from .tables import held_out
 
 #: Production parameters of the placement query.
@@ -96,6 +96,12 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "mix.size", "mix.source_size", "mix.target", (F.col("mix.size") * F.col("mix.copies")).alias("taken"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of conversations that borrow their first turns from others."""
+    turns = trie.numbered(table(spark, sf_dir, "conversations"))
+    return trie.trie(*trie.borrowed_heads(turns, trie.lengths(turns)))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -110,6 +116,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_lm_scoring,
         op10_secret_scan,
         op11_mixing,
+        op13_prefix_trie,
     )
 }
 ORACLE: dict[str, str] = {}
@@ -195,3 +202,35 @@ r as (
     cast(cast('0x' || substr(md5(concat_ws('|', document, '{mixing.SEED}', cast(copy as varchar))), 1, {mixing.DRAW_BITS // 4}) as bigint) as double) / {1 << mixing.DRAW_BITS}::double as draw
   from n join t on n.source is not distinct from t.source)
 select doc_id, size, source_size, target, size * cast(floor(rate) + case when draw < rate - floor(rate) then 1 else 0 end as bigint) as taken from r"""
+
+# The checksum is computed bit by bit; a prefix is the joined digests of its turns.
+_CRC32 = """xor(list_reduce(list_transform(string_split(cast({} as varchar), ''), lambda ch: cast(ascii(ch) as bigint)),
+    lambda crc, byte: list_reduce(range(8), lambda v, i: case when v % 2 = 1 then xor(v >> 1, 3988292384) else v >> 1 end, xor(crc, byte)),
+    4294967295), 4294967295)"""
+ORACLE["op13_prefix_trie"] = f"""
+with t as (
+  select conv_id as c, turn, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as digest,
+    cast(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) as bigint) as words
+  from conversations where conv_id is not null),
+k as (select *, row_number() over (partition by c order by turn nulls first, digest) as k from t),
+n as (select c, max(k) as n, {_CRC32.format("c")} % {trie.MOST_BORROWED + 1} as h from k group by c),
+m as (select n.*, least(n.h, coalesce(b.n, 0)) as taken from n left join n b on b.c = n.c - n.c % {trie.GROUP}),
+e as (
+  select k.c, k - h + taken as d, digest, words from k join m on k.c = m.c where k > h
+  union all select m.c, k, digest, words from m join k on k.c = m.c - m.c % {trie.GROUP} and k <= taken),
+a as (
+  select c, d, words, string_agg(digest, ',') over (partition by c order by d) as node,
+    coalesce(string_agg(digest, ',') over (partition by c order by d rows between unbounded preceding and 1 preceding), '') as parent
+  from e union all select c, 0, 0, '', null from m),
+l as (select c, max(d) as last from a group by c),
+g as (
+  select node, d, parent, any_value(words) as words, min(a.c) as least, count(*) as n,
+    sha256(coalesce(string_agg(cast(a.c as varchar), ',' order by a.c) filter (where d = last), '')) as ends_sha256
+  from a join l on a.c = l.c group by node, d, parent),
+f as (select parent, count(*) as kids from g group by parent),
+s as (
+  select a.node, count(*) filter (where f.kids is null) as leaves, sum((g.n - 1) * g.words) as saved
+  from g join a on a.c = g.least and a.d <= g.d left join f on f.parent = g.node group by a.node)
+select g.least as conv_id, cast(g.d as bigint) as depth, p.least as parent_conv_id, g.n as n_convs, coalesce(f.kids, 0) as n_children,
+  s.leaves as n_leaves, cast(s.saved as bigint) as saved_tokens, g.ends_sha256
+from g join s on s.node = g.node left join f on f.parent = g.node left join g p on p.node = g.parent"""
