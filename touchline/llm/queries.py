@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, langid, line_dedup, mixing, packing, secrets, sharding, simhash, topk, toxicity, trie, xent
+from . import decontam, divergence, langid, line_dedup, mixing, packing, secrets, sharding, simhash, topk, toxicity, trie, xent
 from .tables import held_out
 
 #: Production parameters of the placement query.
@@ -96,6 +96,11 @@ def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "mix.size", "mix.source_size", "mix.target", (F.col("mix.size") * F.col("mix.copies")).alias("taken"))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every source from the others of its language, and the words that set it apart."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes of the prefix trie of conversations that borrow their first turns from others."""
     turns = trie.numbered(table(spark, sf_dir, "conversations"))
@@ -116,6 +121,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_lm_scoring,
         op10_secret_scan,
         op11_mixing,
+        op12_divergence,
         op13_prefix_trie,
     )
 }
@@ -234,3 +240,29 @@ s as (
 select g.least as conv_id, cast(g.d as bigint) as depth, p.least as parent_conv_id, g.n as n_convs, coalesce(f.kids, 0) as n_children,
   s.leaves as n_leaves, cast(s.saved as bigint) as saved_tokens, g.ends_sha256
 from g join s on s.node = g.node left join f on f.parent = g.node left join g p on p.node = g.parent"""
+
+_SHARE = f"1 + cast({divergence.SCALE}::hugeint * ({{n}} + 2) // ({{all_n}} + 2 * v) as bigint)"
+ORACLE["op12_divergence"] = f"""
+with d as (select row_number() over () as id, coalesce(text, '') as text, coalesce(lang, '') as lang, coalesce(source, '') as source from documents),
+w as (
+  select id, lang, source, translate(unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as term from d),
+k as (select lang, term, count(*) as n from w group by lang, term having count(distinct id) >= {divergence.LEAST_DOCS}),
+l as (select lang, count(*) as v, sum(n)::hugeint as all_n from k group by lang),
+c as (select w.lang, w.source, w.term, count(*) as n from w join k on w.lang = k.lang and w.term = k.term group by all),
+g as (select distinct lang, source from d),
+x as (
+  select g.lang, g.source, k.term, coalesce(c.n, 0) as n, k.n as total, l.v, l.all_n,
+    sum(coalesce(c.n, 0)) over (partition by g.lang, g.source)::hugeint as own_n
+  from g join k on g.lang = k.lang join l on l.lang = g.lang left join c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+y as (select lang, source, term, n, {_SHARE.format(n="n", all_n="own_n")} as p, {_SHARE.format(n="total", all_n="all_n")} as q from x),
+f as (
+  select a.lang, a.source, b.source as item, sum((a.p - b.p)::hugeint * (a.p - b.p) // (a.p + b.p)) as value
+  from y a join y b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+r as (
+  select a.lang, a.source, 'pair' as part, b.source as item, cast(coalesce(f.value, 0) as bigint) as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source left join f on f.lang = a.lang and f.source = a.source and f.item = b.source
+  union all
+  select lang, source, 'term', term, cast((p - q)::hugeint * (p - q) // (p + q) as bigint) from y where n > 0 and p > q),
+o as (select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as integer) as rank from r)
+select * from o where part = 'pair' or rank <= {divergence.TOP}"""
