@@ -23,6 +23,43 @@ def test_quantiles_equal_numpy_with_a_hot_value(spark):
             assert got[(k, s)] == pytest.approx(np.quantile(values, s))
 
 
+def test_ranks_of_a_million_different_values(spark):
+    n = 1_000_000
+    # Spread over magnitudes and both signs, in an order of its own.
+    value = F.when(F.col("id") % 2 == 0, 1.0).otherwise(-1.0) * F.pow(F.lit(1.0000003), F.col("id"))
+    df = spark.range(0, n, 1, 5).select(value.alias("x"), (F.col("id") * 7919 % n - n // 2).alias("k"))
+    ranks = [0, 1, 12_345, n // 2 - 1, n // 2, n - 1]
+    found = quantiles.value_at_ranks(df, ["x", "k"], lambda *_: ranks)
+    values = np.sort(df.select("x").toPandas()["x"].to_numpy())
+    assert found[(), "x"] == {r: values[r] for r in ranks}
+    assert found[(), "k"] == {r: r - n // 2 for r in ranks}
+
+
+def test_ordered_numbers_keep_order_and_value():
+    values = np.array([-np.inf, -1e300, -1.0, -5e-324, -0.0, 0.0, 5e-324, 1.0, np.nextafter(1.0, 2), 1e300, np.inf])
+    numbers = quantiles.ordered(values)
+    assert (np.diff(numbers.astype(object)) >= 0).all() and numbers[4] == numbers[5]
+    assert [quantiles.restored(int(x), False) for x in numbers] == values.tolist()
+    whole = np.array([-(2**63), -1, 0, 1, 2**63 - 1])
+    assert [quantiles.restored(int(x), True) for x in quantiles.ordered(whole)] == whole.tolist()
+
+
+def test_a_task_hands_over_bounded_counters():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    batches = [pa.RecordBatch.from_pydict({"x": rng.normal(size=50_000)}) for _ in range(4)]
+    out = list(quantiles._tally(0, 1, {(): 0}, {(0, 0): [0]}, 64 - quantiles.DIGIT, quantiles.DIGIT)(batches))
+    assert sum(b.num_rows for b in out) <= 1 << quantiles.DIGIT and sum(sum(b["n"].to_pylist()) for b in out) == 200_000
+
+
+def test_quantiles_of_nothing(spark):
+    df = spark.createDataFrame([("g", None), (None, 2.0), (None, 2.0), (None, 5.0)], "k string, x double")
+    got = quantiles.exact_quantiles(df, ["x"], [0.5], by=["k"]).collect()
+    assert [tuple(r) for r in got] == [(None, "x", 0.5, 2.0)]
+    assert quantiles.exact_quantiles(df.limit(0), ["x"], [0.5]).count() == 0
+
+
 def test_describe(spark):
     rng = random.Random(2)
     values = [rng.uniform(-5, 5) for _ in range(501)]

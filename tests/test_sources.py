@@ -16,7 +16,7 @@ def write(path, body):
 def test_lenient_scan(spark, tmp_path):
     path = write(tmp_path / "a.csv", 'a,b,c\n1,"x, ""y""",3\n4,5\n6,7,8,9\n,,\n')
     rows = [tuple(r) for r in tables.scan_lenient(spark, path).collect()]
-    assert rows == [("1", 'x, "y"', "3"), ("4", "5", None), (None, None, None)]
+    assert sorted(rows, key=str) == [("1", 'x, "y"', "3"), ("4", "5", None), (None, None, None)]
     cut = [tuple(r) for r in tables.scan(spark, path).collect()]
     assert ("6", "7", "8") in cut
     assert set(tables.columns_of(tables.scan(spark, path)).values()) == {"string"}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.casts import col, to_int
 from touchline.operators.quantiles import value_at_ranks
+from touchline.sources.screen import Screened, screen
 
 # Last day of training and of validation.
 TRAIN_UNTIL, VAL_UNTIL = dt.date(2019, 6, 30), dt.date(2022, 6, 30)
@@ -34,6 +35,11 @@ def season_rejects(df: DataFrame, season: str = "season_end") -> DataFrame:
     return df.where(F.col(season).isNotNull() & to_int(season).isNull())
 
 
+def screened_slices(df: DataFrame, season: str = "season_end") -> Screened:
+    """Rows whose season is a number or missing, and those of which it is not, with counts; starts a job."""
+    return screen(df, {"season_not_a_number": F.col(season).isNotNull() & to_int(season).isNull()}, F.to_json(F.struct(*df.columns)), df.columns)
+
+
 def write_slices(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("slice").parquet(path)
 
@@ -59,7 +65,7 @@ def split_by_fraction(
     ``tie`` is a numeric id that orders the rows of one day. No row gets a global
     number: days are counted, and the running total over the days (a table as
     long as the calendar) tells which days lie wholly in one part. Only for the
-    day at a boundary is the id looked up at which it is cut.
+    day at a boundary is the id looked up at which it is cut, by jobs that start here.
     """
     rows = df.withColumn("_day", F.coalesce(F.col(date).cast("date"), F.lit(NO_DAY)))
     days = rows.groupBy("_day").agg(F.count(F.lit(1)).alias("day_rows"))
@@ -81,11 +87,12 @@ def split_by_fraction(
         return F.when(inside, F.col(end) - F.col("before") - 1)
 
     cuts = placed.select("_day", F.explode(F.array(cut_at("train_end"), cut_at("val_end"))).alias("rank"))
-    wanted = cuts.where(F.col("rank").isNotNull())
-    boundary = rows.join(F.broadcast(wanted.select("_day").distinct()), "_day").select(
-        "_day", F.col(tie).cast("bigint").alias("value")
-    )
-    ids = value_at_ranks(boundary, ["_day"], wanted)
+    # At most two days hold a boundary.
+    wanted = {(r["_day"], r["rank"]) for r in cuts.where(F.col("rank").isNotNull()).collect()}
+    boundary = rows.where(F.col("_day").isin([day for day, _ in wanted])).select("_day", F.col(tie).cast("bigint").alias("value"))
+    found = value_at_ranks(boundary, ["value"], lambda group, *_: [r for day, r in wanted if day == group[0]], by=["_day"]) if wanted else {}
+    ids = [(day, rank, value) for ((day,), _), values in found.items() for rank, value in values.items()]
+    ids = df.sparkSession.createDataFrame(ids, "_day date, rank bigint, value bigint")
 
     def last_id(end: str, name: str) -> Column:
         return F.max(F.when(F.col("rank") == cut_at(end), F.col("value"))).alias(name)

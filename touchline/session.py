@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,21 +59,35 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Write ``df`` once as a Parquet table in the shared checkpoint folder and read it from there.
+def spread(df: DataFrame, tasks_a_core: int = 4) -> DataFrame:
+    """``df`` dealt evenly to ``tasks_a_core`` tasks for each core of the cluster, at every size.
 
-    Used where one frame feeds several passes (model search, skew statistics).
-    Unlike ``persist`` the copy survives the loss of an executor, and unlike an RDD
-    checkpoint it is read by column and its size is known to the planner.
+    For work that is heavy by row (parsing) behind an input that comes in few pieces: Spark splits
+    files by size, and Parquet only at row groups.
     """
+    return df.repartition(tasks_a_core * df.sparkSession.sparkContext.defaultParallelism)
+
+
+def write_table(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+    """``materialise`` with a folder for each value of ``partition_by``."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialise(df: DataFrame) -> DataFrame:
+    """Write ``df`` once as a Parquet table in the shared checkpoint folder and read it from there.
+
+    Used where one frame feeds several passes (model search, skew statistics).
+    Unlike ``persist`` the copy survives the loss of an executor, and unlike an RDD
+    checkpoint it is read by column and its size is known to the planner.
+    """
+    return write_table(df)
+
+
 # Tables written by ``materialise`` in this driver and not dropped yet.
 _written: list[str] = []
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from touchline.session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -204,7 +205,8 @@ def player_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     year = F.year("l_shipdate") + 20
     new = year >= 2018
     columns = "l_orderkey l_linenumber l_partkey l_suppkey l_quantity l_returnflag l_linestatus l_shipdate".split()
-    lines = table(spark, sf_dir, "lineitem").select(*columns)
+    # The table is one row group; its text is made, and later read, by many tasks.
+    lines = spread(table(spark, sf_dir, "lineitem").select(*columns))
     part, number = F.col("l_partkey"), F.col("l_linenumber")
 
     def stat(i: int) -> Column:
@@ -309,7 +311,7 @@ def report_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         away,
         F.lit(" --></body></html>"),
     )
-    return matches(spark, sf_dir).select(F.concat(F.lit("page/"), no).alias("url"), html.alias("html"))
+    return spread(matches(spark, sf_dir)).select(F.concat(F.lit("page/"), no).alias("url"), html.alias("html"))
 
 
 def fixtures(spark: SparkSession, sf_dir: str) -> DataFrame:

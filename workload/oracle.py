@@ -257,6 +257,12 @@ o as (select {_STREAK_OUT}, {_IN} from s)
 select * from o qualify row_number() over (partition by team order by match_date desc nulls last,
   match_time_sort desc, Division desc, opponent desc, match_no desc) <= 20"""
 
+_HOT = ROLL.replace("b2 as (select *,", "b2 as (select * replace (case when match_no % 3 = 0 then 'HOT' else HomeTeam end as HomeTeam),")
+ORACLE["rolling_hot_team"] = f"""with {_HOT}, g as (select *, {_GROUPS} from tm), s as (select *, {_DOCUMENTED} from g),
+o as (select match_no, side, {_IN} from s)
+select ro.match_no, ro.side, team, gf_last5, pts_last5, {r("elo_trend5", "elo_trend5")}, rest_days, form_momentum, win_streak_in, noloss_streak_in
+from ro join o on o.match_no = ro.match_no and o.side = ro.side"""
+
 # ---- derived columns of an entry form
 
 _DERIVED = "elo_diff elo_ratio form3_diff form5_diff qh qd qa qsum p_home p_draw p_away overround".split()
@@ -766,6 +772,19 @@ ORACLE["stream_scores"] = f"with {FB} select match_no, true as chances_ok from f
 
 ORACLE["csv_lenient"] = """select cast(c_custkey as varchar) as key, 'a "b", c' as name,
   case when c_custkey % 5 = 0 then null else c_mktsegment end as segment from customer where c_custkey % 7 <> 0"""
+ORACLE["csv_quoted_breaks"] = """select cast(c_custkey as varchar) as c_custkey,
+case when c_custkey % 3 = 0 then 'of "' || c_name || '",' || chr(10) || chr(10) || 'line two' else c_name end as note, c_mktsegment from customer"""
+
+ORACLE["reject_counts"] = """
+select 'csv' as source, 'unclosed_quote' as reason, cast(0 as bigint) as n_rows, cast(0 as bigint) as n_listed,
+  count(*) filter (where c_custkey % 7 <> 0) as n_kept from customer
+union all select 'csv', 'too_wide', count(*) filter (where c_custkey % 7 = 0), count(*) filter (where c_custkey % 7 = 0),
+  count(*) filter (where c_custkey % 7 <> 0) from customer
+union all select 'lines', 'shorter_than_tail', count(*) filter (where l_linenumber = 6), count(*) filter (where l_linenumber = 6),
+  count(*) filter (where l_linenumber <> 6) from lineitem
+union all select 'seasons', 'season_not_a_number', count(*) filter (where o_orderkey % 9 = 0), count(*) filter (where o_orderkey % 9 = 0),
+  count(*) filter (where o_orderkey % 9 <> 0) from orders"""
+
 ORACLE["csv_plain"] = """select cast(c_custkey as varchar) as c_custkey, case when c_custkey % 3 <> 0 then c_name end as c_name
 from customer"""
 ORACLE["csv_typed"] = "select p_partkey, p_name, p_size, p_retailprice, 'int,string,int,double' as inferred from part"

@@ -143,6 +143,16 @@ def lagged_three_key(spark, sf_dir):
     return rounded(history.lagged_features(materialise(m), "match_no", attach="three_key"))
 
 
+@query
+def rolling_hot_team(spark, sf_dir):
+    """Form and streaks where one team is at home in a third of all matches."""
+    home = F.when(F.col("match_no") % 3 == 0, "HOT").otherwise(F.col("HomeTeam"))
+    rows = history.team_view(written_matches(spark, sf_dir).withColumn("HomeTeam", home), "match_no")
+    form = history.rolling(rows).select("match_id", "side", "team", "gf_last5", "pts_last5", "elo_trend5", "rest_days", "form_momentum")
+    runs = streaks.streaks(rows).select("match_id", "side", "win_streak_in", "noloss_streak_in")
+    return rounded(form.join(runs, ["match_id", "side"]).withColumnRenamed("match_id", "match_no"))
+
+
 def streaks_documented(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streaks.streaks(view(spark, sf_dir)).withColumnRenamed("match_id", "match_no")
 
@@ -795,6 +805,38 @@ def csv_lenient(spark, sf_dir):
     return tables.scan_lenient(spark, place, ["key", "name", "segment"], header=False)
 
 
+@query
+def csv_quoted_breaks(spark, sf_dir):
+    """Rows with line breaks, quotes and commas in quoted fields, read by splits."""
+    key, place = F.col("c_custkey"), work(spark)
+    free = F.when(key % 3 == 0, F.concat(F.lit('of "'), "c_name", F.lit('",\n\nline two'))).otherwise(F.col("c_name"))
+    rows = a.table(spark, sf_dir, "customer").select("c_custkey", free.alias("note"), "c_mktsegment")
+    tables.export_csv(rows, place)
+    return tables.scan(spark, place)
+
+
+@query
+def reject_counts(spark, sf_dir):
+    """Rejected rows by reason: as the scan observed them, and as the side table lists them."""
+    key, place = F.col("c_custkey"), work(spark)
+    line = F.when(key % 7 == 0, F.concat_ws(",", key, "c_name", F.lit("x,y"))).when(key % 5 == 0, key.cast("string"))
+    a.table(spark, sf_dir, "customer").select(F.coalesce(line, F.concat_ws(",", key, "c_name")).alias("value")).write.text(place)
+    wrong = F.when(F.col("o_orderkey") % 9 == 0, F.lit("n/a")).when(F.col("o_orderkey") % 9 != 1, F.col("season_end"))
+    found = {
+        "csv": tables.scan_screened(spark, place, ["key", "name"], header=False),
+        "lines": ragged.screened_lines(a.player_lines(spark, sf_dir)),
+        "seasons": split.screened_slices(with_season(spark, sf_dir).withColumn("season_end", wrong)),
+    }
+    out = []
+    for name, screened in found.items():
+        seen = spark.createDataFrame(list(screened.counts.items()), "reason string, n_rows bigint")
+        listed = screened.rejects.groupBy(F.col("reject_reason").alias("reason")).agg(F.count(F.lit(1)).alias("listed"))
+        kept = screened.kept.agg(F.count(F.lit(1))).scalar()
+        told = seen.join(listed, "reason", "left").select(F.lit(name).alias("source"), "reason", "n_rows", F.coalesce("listed", F.lit(0)).alias("n_listed"))
+        out.append(told.withColumn("n_kept", kept))
+    return reduce(DataFrame.unionByName, out)
+
+
 @query
 def csv_plain(spark, sf_dir):
     place = work(spark)
