@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from touchline.operators import history, skew, streaks
+from touchline.operators import history, streaks, timeline
 
 SCHEMA = (
     "match_id long, MatchDate string, MatchTime string, Division string, HomeTeam string, AwayTeam string, "
@@ -101,53 +101,42 @@ def agree(frame, expected):
             assert row[c] == (pytest.approx(want[c]) if want[c] is not None else None), (row, c, want)
 
 
-@pytest.mark.parametrize("chunk_rows", [7, 40, 2_000_000])
-def test_rolling_equals_loop(spark, chunk_rows):
+@pytest.mark.parametrize("span_days", [1, 30, 366])
+def test_rolling_equals_loop(spark, span_days):
     rows = hot_matches()
     view = history.team_view(spark.createDataFrame(rows, SCHEMA))
-    agree(history.rolling(view, chunk_rows), loops(rows))
+    agree(history.rolling(view, span_days), loops(rows))
 
 
-@pytest.mark.parametrize("chunk_rows", [7, 40, 2_000_000])
-def test_streaks_equal_loop(spark, chunk_rows):
+@pytest.mark.parametrize("span_days", [1, 30, 366])
+def test_streaks_equal_loop(spark, span_days):
     rows = hot_matches()
     view = history.team_view(spark.createDataFrame(rows, SCHEMA))
-    agree(streaks.streaks(view, chunk_rows=chunk_rows), loops(rows))
+    agree(streaks.streaks(view, span_days=span_days), loops(rows))
 
 
 def test_streaks_as_written_do_not_depend_on_cuts(spark):
     view = history.team_view(spark.createDataFrame(hot_matches(), SCHEMA))
     plain = streaks.streaks(view, "as_written").collect()
-    cut = streaks.streaks(view, "as_written", chunk_rows=9).collect()
+    cut = streaks.streaks(view, "as_written", span_days=9).collect()
     assert sorted(map(str, plain)) == sorted(map(str, cut))
 
 
-def test_cuts_are_made_for_the_hot_team_only_and_are_bounded(spark):
-    view = history.team_view(spark.createDataFrame(hot_matches(), SCHEMA)).cache()
-    cuts = skew.timeline_cuts(view, "team", "slot", chunk_rows=50).collect()
-    assert [c["team"] for c in cuts] == ["HOT"]
-    hot_rows = view.where("team = 'HOT'").count()
-    assert 3 <= len(cuts[0]["starts"]) <= 2 * hot_rows / 50 + 1
-    assert cuts[0]["starts"] == sorted(cuts[0]["starts"])
-    chunks = skew.assign_chunks(view, skew.timeline_cuts(view, "team", "slot", chunk_rows=50), "team", "slot")
-    sizes = chunks.where("team = 'HOT'").groupBy("chunk").count().collect()
-    assert len(sizes) == len(cuts[0]["starts"])
-    assert max(s["count"] for s in sizes) < hot_rows / 2
-    assert chunks.where("team <> 'HOT' and chunk <> 0").count() == 0
-
-
-def test_cut_limit_grows_with_the_table(spark):
+def test_a_hot_team_is_many_spans(spark):
     view = history.team_view(spark.createDataFrame(hot_matches(), SCHEMA))
-    # 800 team rows over 2 keys at most: the limit is 400, and no team has more.
-    assert skew.timeline_cuts(view, "team", "slot", chunk_rows=1, max_hot_keys=2).count() == 0
+    spans = timeline.spanned(view, 20).where("team = 'HOT'").groupBy(*timeline.SPAN).count().collect()
+    total = sum(r["count"] for r in spans)
+    assert total > 150 and max(r["count"] for r in spans) < total / 5
+    # Undated rows, too.
+    assert sum(r["span"] >= timeline.LAST_SLOT for r in spans) > 1
 
 
-def test_entries_below_is_a_count(spark):
-    edges = [1, 3, 3, 8, 20]
-    df = spark.range(-1, 25).select(
-        "id", skew.entries_below(F.array(*[F.lit(e) for e in edges]), F.col("id"), 40).alias("n")
-    )
-    assert all(r["n"] == sum(e <= r["id"] for e in edges) for r in df.collect())
+def test_last_rows_of_earlier_spans(spark):
+    rows = [(i, f"2020-0{1 + i // 4}-0{1 + i % 4}", "12:00", "E0", "A", f"B{i}", i, 0, float(i), 1.0) for i in range(12)]
+    view = history.team_view(spark.createDataFrame(rows, SCHEMA)).where("team = 'A'")
+    found = timeline.last_rows(timeline.spanned(view, 31), history.ORDER, ["goals_for"], 6).collect()
+    before = {r["span"]: [x["goals_for"] for x in r["before"]] for r in found}
+    assert [before[k] for k in sorted(before)] == [[], [3, 2, 1, 0], [7, 6, 5, 4, 3, 2]]
 
 
 def test_attach_modes(spark):
@@ -176,14 +165,13 @@ def test_first_match_has_no_history_and_short_history_is_partial(spark):
     assert a[4]["form_momentum"] is None and a[5]["form_momentum"] == 9 - 3
 
 
-def test_windows_share_one_shuffle(spark):
+def test_rows_are_shuffled_once(spark):
     rows = history.team_view(spark.createDataFrame(hot_matches(50), SCHEMA))
     plan = history.rolling(rows)._jdf.queryExecution().executedPlan().toString()
-    # Both window steps over the team rows sit above one shuffle by team and chunk.
-    above_union = plan.split("Union")[0]
-    assert above_union.count("Window [") + above_union.count("Window(") >= 1
-    assert above_union.count("Exchange hashpartitioning(team") == 1
-    assert "CartesianProduct" not in plan
+    main, summary = plan.split("WindowGroupLimit", 1)
+    # One exchange of the rows with all columns; the other one carries what each task kept of a span.
+    assert main.count("Exchange hashpartitioning(team_key") - main.count("Exchange hashpartitioning(team_key#0") <= 3
+    assert "WindowGroupLimit" in summary and "CartesianProduct" not in plan and "goals_for" in summary
 
 
 def test_latest_matches(spark):

@@ -6,11 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.casts import to_date, to_double, to_int, to_seconds
-from touchline.operators import skew
+from touchline.functions.chance import add_up
+from touchline.operators.timeline import KEYS, LAST_NAME, LAST_SLOT, SPAN_DAYS, last_rows, spanned
 
-# Sorts behind every real slot and name: missing values come last.
-LAST_SLOT = 2**62
-LAST_NAME = "\U0010ffff"
 DAY = 86_400
 # The deepest frame looks six matches back.
 DEPTH = 6
@@ -92,44 +90,59 @@ def team_view(matches: DataFrame, match_id: str = "match_id") -> DataFrame:
     )
 
 
-def _in_order() -> Window:
-    return Window.partitionBy("team", "chunk").orderBy(*ORDER)
+# What a row needs of each of the rows before it: column -> how far back.
+BACK = {"goals_for": 5, "goals_against": 5, "points": DEPTH, "elo": DEPTH, "match_date": 1}
 
 
-def rolling(view: DataFrame, chunk_rows: int = skew.CHUNK_ROWS) -> DataFrame:
+def _total(values: list[Column]) -> Column:
+    """Sum of the values there are; NULL if there is none."""
+    return F.when(F.coalesce(*values).isNotNull(), add_up([F.coalesce(v, F.lit(0)) for v in values]))
+
+
+def _mean(values: list[Column]) -> Column:
+    filled = add_up([v.isNotNull().cast("int") for v in values])
+    return F.when(filled > 0, add_up([F.coalesce(v, F.lit(0.0)) for v in values]) / F.when(filled > 0, filled))
+
+
+def rolling(view: DataFrame, span_days: int = SPAN_DAYS) -> DataFrame:
     """Pre-match figures of each team row, from earlier matches only.
 
     Rating change and rest since the last match, goals and points over the last
     three and five, mean rating change over the same, and points of the last
-    three less those of the three before. All share one shuffle and one sort.
+    three less those of the three before. Rows are shuffled and sorted once; the
+    last rows of earlier spans join their span.
     """
-    cuts = skew.timeline_cuts(view, "team", "slot", chunk_rows)
-    rows = skew.with_lookback(skew.assign_chunks(view, cuts, "team", "slot"), "team", ORDER, DEPTH)
-    w = _in_order()
-    last3, last5, three_before = w.rowsBetween(-3, -1), w.rowsBetween(-5, -1), w.rowsBetween(-6, -4)
-    stepped = rows.withColumns(
-        {
-            "elo_change": F.col("elo") - F.lag("elo").over(w),
-            "rest_days": F.datediff("match_date", F.lag("match_date").over(w)),
-        }
-    )
-    return (
-        stepped.withColumns(
-            {
-                "gf_last3": F.sum("goals_for").over(last3),
-                "ga_last3": F.sum("goals_against").over(last3),
-                "pts_last3": F.sum("points").over(last3),
-                "elo_trend3": F.avg("elo_change").over(last3),
-                "gf_last5": F.sum("goals_for").over(last5),
-                "ga_last5": F.sum("goals_against").over(last5),
-                "pts_last5": F.sum("points").over(last5),
-                "elo_trend5": F.avg("elo_change").over(last5),
-                "form_momentum": F.sum("points").over(last3) - F.sum("points").over(three_before),
-            }
-        )
-        .where(~F.col("carried"))
-        .drop("carried", "chunk", "slot", "division_key", "opponent_key")
-    )
+    rows = spanned(view, span_days)
+    w = Window.partitionBy(*KEYS).orderBy(*ORDER)
+    back = {f"{c}_{k}": F.lag(c, k).over(w) for c, deep in BACK.items() for k in range(1, deep + 1)}
+    local = rows.withColumns({"place": F.row_number().over(w), **back})
+    joined = local.join(last_rows(rows, ORDER, list(BACK), DEPTH), KEYS)
+
+    def past(c: str, k: int) -> Column:
+        """Column ``c`` of the k-th row before, which may lie in an earlier span."""
+        return F.when(F.col("place") > k, F.col(f"{c}_{k}")).otherwise(F.get("before", k - F.col("place"))[c])
+
+    def last(c: str, first: int, upto: int) -> list[Column]:
+        return [past(c, k) for k in range(upto, first - 1, -1)]
+
+    def changes(upto: int) -> list[Column]:
+        return [past("elo", k) - past("elo", k + 1) for k in range(upto, 0, -1)]
+
+    out = {
+        "elo_change": F.col("elo") - past("elo", 1),
+        "rest_days": F.datediff("match_date", past("match_date", 1)),
+        "gf_last3": _total(last("goals_for", 1, 3)).cast("bigint"),
+        "ga_last3": _total(last("goals_against", 1, 3)).cast("bigint"),
+        "pts_last3": _total(last("points", 1, 3)).cast("bigint"),
+        "elo_trend3": _mean(changes(3)),
+        "gf_last5": _total(last("goals_for", 1, 5)).cast("bigint"),
+        "ga_last5": _total(last("goals_against", 1, 5)).cast("bigint"),
+        "pts_last5": _total(last("points", 1, 5)).cast("bigint"),
+        "elo_trend5": _mean(changes(5)),
+        "form_momentum": (_total(last("points", 1, 3)) - _total(last("points", 4, 6))).cast("bigint"),
+    }
+    kept = [c for c in view.columns if c not in ("slot", "division_key", "opponent_key")]
+    return joined.select(*kept, *[c.alias(n) for n, c in out.items()])
 
 
 def attach_rolling(
@@ -170,8 +183,8 @@ def attach_rolling(
 
 
 def lagged_features(
-    matches: DataFrame, match_id: str = "match_id", attach: str = "match_id", chunk_rows: int = skew.CHUNK_ROWS
+    matches: DataFrame, match_id: str = "match_id", attach: str = "match_id", span_days: int = SPAN_DAYS
 ) -> DataFrame:
     """Match rows with ten history columns for each side."""
-    history = rolling(team_view(matches, match_id), chunk_rows)
+    history = rolling(team_view(matches, match_id), span_days)
     return attach_rolling(matches, history, match_id, attach)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from touchline.operators import skew
 from touchline.operators.history import ORDER
+from touchline.operators.timeline import KEYS, SPAN, SPAN_DAYS, TEAM, spanned
 
 # Kind of streak -> the rows that end it.
 BREAKS = {
@@ -27,11 +27,11 @@ def _result_letter() -> Column:
     )
 
 
-def streaks(view: DataFrame, mode: str = "documented", chunk_rows: int = skew.CHUNK_ROWS) -> DataFrame:
+def streaks(view: DataFrame, mode: str = "documented", span_days: int = SPAN_DAYS) -> DataFrame:
     """Win, losing, no-win and no-loss streak before each match of a team view.
 
-    A run is the distance to the last row that broke it, so only positions of
-    breaks are carried between the chunks of a large team.
+    A run is the distance to the last row that broke it, so spans of a team take
+    over a number of rows and the places of breaks (see ``timeline``).
 
     ``documented``  the run counts up while its condition holds and starts at 1;
     ``as_written``  the break row is numbered as part of the run (a win streak
@@ -40,9 +40,8 @@ def streaks(view: DataFrame, mode: str = "documented", chunk_rows: int = skew.CH
     """
     if mode not in ("documented", "as_written"):
         raise ValueError(f"unknown streak mode: {mode}")
-    cuts = skew.timeline_cuts(view, "team", "slot", chunk_rows)
-    placed = skew.assign_chunks(view, cuts, "team", "slot")
-    w = Window.partitionBy("team", "chunk").orderBy(*ORDER)
+    placed = spanned(view, span_days)
+    w = Window.partitionBy(*KEYS).orderBy(*ORDER)
     so_far = w.rowsBetween(Window.unboundedPreceding, -1)
     to_come = w.rowsBetween(Window.currentRow, Window.unboundedFollowing)
 
@@ -51,12 +50,11 @@ def streaks(view: DataFrame, mode: str = "documented", chunk_rows: int = skew.CH
     running = {f"last_{k}": F.max(b).over(so_far) for k, b in breaks.items()}
     if mode == "as_written":
         running |= {f"next_{k}": F.min(breaks[k]).over(to_come) for k in COUNTED_BACK}
-        running["chunk_size"] = F.count(F.lit(1)).over(Window.partitionBy("team", "chunk"))
+        running["span_size"] = F.count(F.lit(1)).over(Window.partitionBy(*KEYS))
     local = rows.withColumns(running)
 
-    carry = _chunk_carry(rows, breaks)
-    joined = local.join(F.broadcast(carry), ["team", "chunk"], "left")
-    offset = F.coalesce("offset", F.lit(0))
+    joined = local.join(_carried(rows, breaks), KEYS)
+    offset = F.col("offset")
     place = offset + F.col("pos")
     out = {}
     for kind in BREAKS:
@@ -66,7 +64,7 @@ def streaks(view: DataFrame, mode: str = "documented", chunk_rows: int = skew.CH
         elif kind not in COUNTED_BACK:
             value = F.when(last.isNull(), place - 1).when(last == place - 1, 0).otherwise(place - last)
         else:
-            total = offset + F.col("chunk_size") + F.coalesce("rows_after", F.lit(0))
+            total = offset + F.col("span_size") + F.coalesce("rows_after", F.lit(0))
             upcoming = F.coalesce(offset + F.col(f"next_{kind}"), F.col(f"after_{kind}"), total + 1)
             idle = (place == 1) | F.coalesce(last == place - 1, F.lit(False))
             value = F.when(idle, 0).otherwise(upcoming - (place - 1))
@@ -86,22 +84,21 @@ def streaks(view: DataFrame, mode: str = "documented", chunk_rows: int = skew.CH
     )
 
 
-def _chunk_carry(rows: DataFrame, breaks: dict[str, Column]) -> DataFrame:
-    """For each chunk of a hot team: rows before and after it, nearest breaks on both sides."""
-    measures = {"chunk_rows": F.count(F.lit(1))}
+def _carried(rows: DataFrame, breaks: dict[str, Column]) -> DataFrame:
+    """For each span: rows of the team before and after it, nearest breaks on both sides."""
+    measures = {"span_rows": F.count(F.lit(1))}
     for kind, position in breaks.items():
         measures[f"first_{kind}"] = F.min(position)
         measures[f"final_{kind}"] = F.max(position)
-    totals = skew.chunk_totals(rows, "team", measures)
-    by_chunk = Window.partitionBy("team").orderBy("chunk")
-    earlier = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
-    later = by_chunk.rowsBetween(1, Window.unboundedFollowing)
-    shifted = totals.withColumn("offset", F.coalesce(F.sum("chunk_rows").over(earlier), F.lit(0)))
+    totals = rows.groupBy(*KEYS).agg(*[c.alias(n) for n, c in measures.items()])
+    by_span = Window.partitionBy(TEAM).orderBy(*SPAN)
+    earlier = by_span.rowsBetween(Window.unboundedPreceding, -1)
+    later = by_span.rowsBetween(1, Window.unboundedFollowing)
+    shifted = totals.withColumn("offset", F.coalesce(F.sum("span_rows").over(earlier), F.lit(0)))
     return shifted.select(
-        "team",
-        "chunk",
+        *KEYS,
         "offset",
-        F.sum("chunk_rows").over(later).alias("rows_after"),
+        F.sum("span_rows").over(later).alias("rows_after"),
         *[F.max(F.col("offset") + F.col(f"final_{k}")).over(earlier).alias(f"before_{k}") for k in breaks],
         *[F.min(F.col("offset") + F.col(f"first_{k}")).over(later).alias(f"after_{k}") for k in breaks],
     )
