@@ -24,9 +24,9 @@ from touchline.session import materialise
 from .batches import slices
 from .tables import col
 
-SLICE = 16 << 20
+SLICE = 4 << 20
 #: Counted rows that a task holds before it passes them on.
-FOLD_ROWS = 2_000_000
+FOLD_ROWS, OUT_ROWS = 2_000_000, 1 << 16
 LEAST_DOCS, TOP = 10, 10
 SCALE = 1_000_000_000
 #: Sources of a block, rows of a section, words compared at once.
@@ -114,10 +114,10 @@ def _count(batches):
             held.append(counted(part))
             rows += held[-1].num_rows
             if rows > FOLD_ROWS:
-                yield from _folded(held).to_batches()
+                yield from _folded(held).to_batches(OUT_ROWS)
                 held, rows = [], 0
     if held:
-        yield from _folded(held).to_batches()
+        yield from _folded(held).to_batches(OUT_ROWS)
 
 
 def _folded(tables: list[pa.Table]) -> pa.Table:
