@@ -231,6 +231,32 @@ def test_golden_pairs(spark):
     assert {r["candidate_count"] for r in review} == {5}
 
 
+def _edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, above = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(above[j] + 1, row[j - 1] + 1, above[j - 1] + (x != y)))
+    return row[-1]
+
+
+@pytest.mark.parametrize("share", [0.15, 0.4])
+def test_candidates_equal_all_pairs(spark, share):
+    rng = random.Random(4)
+    right = ["".join(rng.choice("bdegh ") for _ in range(rng.randrange(1, 14))).strip() for _ in range(150)] + ["bbbb", "bbbbbbbb"]
+    left = right[:5] + ["x" + r[1:] for r in right[5:60]] + [r[:3] + "q" + r[3:] for r in right[60:80]] + ["bbbbb", "zz", ""]
+    frames = [spark.createDataFrame([(x,) for x in xs], "team_name string") for xs in (left, right)]
+    found = sorted(tuple(r) for r in names.name_candidates(*frames, n=3, share=share).collect())
+    norm = lambda s: " ".join(s.split())
+    known, wanted = {norm(r) for r in right}, []
+    for a in set(left):
+        if norm(a) and norm(a) not in known:
+            pairs = sorted((_edits(norm(a), norm(r)), r) for r in set(right) if norm(r))
+            near = [p for p in pairs if p[0] <= int(len(norm(a)) * share)][:3]
+            wanted += [(a, norm(a), i, r, d) for i, (d, r) in enumerate(near, 1)]
+    assert found == sorted(wanted)
+
+
 def test_names_without_a_key_pair_with_none(spark):
     both = spark.createDataFrame([("FC",), ("AC",), ("Ajax FC",)], "team_name string")
     assert [r[0] for r in names.name_auto_map(both, both).collect()] == ["Ajax FC"]

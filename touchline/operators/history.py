@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,10 +32,11 @@ LAGGED = [
 ]
 
 
-def base_rows(matches: DataFrame, match_id: str) -> DataFrame:
-    """The columns history needs, cast from text or already typed."""
+def base_rows(matches: DataFrame, match_id: str, carry: Sequence[str] = ()) -> DataFrame:
+    """The columns history needs, cast from text or already typed, and those to ``carry``."""
     has = set(matches.columns)
     return matches.select(
+        *carry,
         F.col(match_id).alias("match_id"),
         to_date("MatchDate").alias("match_date"),
         (to_seconds("MatchTime") if "MatchTime" in has else F.lit(0)).alias("match_time_sort"),
@@ -47,8 +50,8 @@ def base_rows(matches: DataFrame, match_id: str) -> DataFrame:
     )
 
 
-def team_view(matches: DataFrame, match_id: str = "match_id") -> DataFrame:
-    """Each match once per team, in one pass over the matches.
+def team_view(matches: DataFrame, match_id: str = "match_id", carry: Sequence[str] = ()) -> DataFrame:
+    """Each match once per team, in one pass over the matches; columns to ``carry`` come first.
 
     A match without a score counts as no win, no draw, no loss and no points.
     """
@@ -75,9 +78,10 @@ def team_view(matches: DataFrame, match_id: str = "match_id") -> DataFrame:
     day_start = F.coalesce(F.unix_date("match_date").cast("bigint") * DAY, F.lit(LAST_SLOT))
     slot = day_start + F.col("match_time_sort")
     return (
-        base_rows(matches, match_id)
-        .select("match_id", "match_date", "match_time_sort", "Division", slot.alias("slot"), F.explode(both).alias("v"))
+        base_rows(matches, match_id, carry)
+        .select(*carry, "match_id", "match_date", "match_time_sort", "Division", slot.alias("slot"), F.explode(both).alias("v"))
         .select(
+            *carry,
             "match_id",
             "match_date",
             "match_time_sort",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.text import normalise_name
@@ -28,12 +28,51 @@ def name_auto_map(left: DataFrame, right: DataFrame, variant: str = "clean") ->
     return a.where("norm <> ''").join(b, "norm").select("fbref_team", "cfdm_team", "norm")
 
 
+# A candidate is at most this share of a name's letters away from it; below a half, so that letter pairs find it.
+EDIT_SHARE = 0.4
+
+
+def letter_pairs(text: Column) -> Column:
+    """Pairs of neighbouring letters, ends marked, each with how often it has come before."""
+    marked = F.concat(F.lit("\x02"), text, F.lit("\x03"))
+    pairs = F.transform(F.sequence(F.lit(1), F.length(marked) - 1), lambda i: F.substring(marked, i, F.lit(2)))
+    return F.transform(pairs, lambda p, i: F.concat(p, F.size(F.filter(F.slice(pairs, 1, i), lambda x: x == p)).cast("string")))
+
+
+def name_candidates(left: DataFrame, right: DataFrame, n: int = 5, variant: str = "clean", share: float = EDIT_SHARE) -> DataFrame:
+    """The ``n`` nearest names of the right source for each name of the left one that found no partner.
+
+    fbref_team, norm, rank, cfdm_team, edits: by edit distance of the comparison keys, then by name; only
+    names within ``share`` of the left key's length. One edit changes two letter pairs, so a name within d
+    edits has one of any 2 d + 1 pairs of the left name: the rarest ones look it up in an index of the right
+    names, and only what they find is compared. Names without a key have no candidates.
+    """
+    if not 0 < share < 0.5:
+        raise ValueError("share must lie between 0 and 0.5")
+    a = with_norm(left, variant).where(F.col("team_name").isNotNull() & (F.col("norm") != ""))
+    b = with_norm(right, variant).where(F.col("team_name").isNotNull() & (F.col("norm") != ""))
+    b = b.select(F.col("team_name").alias("cfdm_team"), F.col("norm").alias("other"))
+    lonely = a.join(b.select(F.col("other").alias("norm")).distinct(), "norm", "left_anti")
+    index = b.select("other").distinct().select("other", F.explode(letter_pairs(F.col("other"))).alias("pair"))
+    common = index.groupBy("pair").agg(F.count(F.lit(1)).alias("names"))
+    asked = lonely.select("norm").distinct().withColumn("most", F.floor(F.length("norm") * F.lit(share)).cast("int"))
+    asked = asked.select("norm", "most", F.explode(letter_pairs(F.col("norm"))).alias("pair")).join(common, "pair", "left")
+    rarest = Window.partitionBy("norm").orderBy(F.coalesce("names", F.lit(0)), "pair")
+    probes = asked.withColumn("place", F.row_number().over(rarest)).where(F.col("place") <= 2 * F.col("most") + 1)
+    near = F.abs(F.length("norm") - F.length("other")) <= F.col("most")
+    met = probes.join(index, "pair").where(near).select("norm", "most", "other").distinct()
+    met = met.withColumn("edits", F.levenshtein("norm", "other")).where(F.col("edits") <= F.col("most"))
+    best = Window.partitionBy("norm").orderBy("edits", "cfdm_team")
+    ranked = met.join(b, "other").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= n)
+    told = lonely.select(F.col("team_name").alias("fbref_team"), "norm")
+    return told.join(ranked.select("norm", "rank", "cfdm_team", "edits"), "norm").select("fbref_team", "norm", "rank", "cfdm_team", "edits")
+
+
 def name_review(left: DataFrame, right: DataFrame, variant: str = "clean") -> DataFrame:
     """Names of the left source that found no partner, with the number of candidates.
 
-    The candidates are the same for every such name (all names of the right
-    source), so they are a table of their own, ``with_norm(right)``, and are not
-    repeated on each row. A missing name on the left never qualifies.
+    All names of the right source are candidates, ``with_norm(right)``, and are not
+    repeated on each row; ``name_candidates`` gives the nearest ones. A missing name on the left never qualifies.
     """
     a = with_norm(left, variant)
     norms = with_norm(right, variant).select("norm").distinct()

@@ -32,15 +32,23 @@ def _stack(frames: dict[str, DataFrame]) -> DataFrame:
 
 
 def train_baselines(
-    features: DataFrame, exclude: tuple[str, ...] = (), trees: int = 300, depth: int = 14, max_iter: int = 1000
+    features: DataFrame,
+    exclude: tuple[str, ...] = (),
+    trees: int = 300,
+    depth: int = 14,
+    max_iter: int = 1000,
+    fit_rows: int = learn.FIT_ROWS,
 ) -> Baselines:
-    """Logistic regression and random forest on zero-filled numbers; needs a ``split`` column."""
+    """Logistic regression and random forest on zero-filled numbers; needs a ``split`` column.
+
+    The forest is grown on at most ``fit_rows`` training rows.
+    """
     columns = [c for c in _numeric_features(features, "baseline") if c not in exclude]
     rows = prep.fill_zero(features.where("split is not null"), columns).select("split", prep.LABEL, *columns)
     ready = materialise(rows)
     train = ready.where("split = 'train'")
     logistic = learn.fit_logistic(train, columns, max_iter=max_iter)
-    forest = learn.fit_forest(train, columns, trees, depth)
+    forest = learn.fit_forest(train, columns, trees, depth, fit_rows=fit_rows)
     held_out = ready.where("split <> 'train'")
     scores = _stack(
         {n: evaluate.scores(learn.score(held_out, m), ("split",)) for n, m in (("logistic", logistic), ("forest", forest))}

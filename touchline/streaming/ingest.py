@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from touchline.sources.commits import CommitTable
 from touchline.sources.tables import DELIVERY, append_once
 
 
@@ -45,3 +46,16 @@ def ingest(stream: DataFrame, sink: str, done_path: str, checkpoint: str, keys:
         .trigger(availableNow=True)
         .start()
     )
+
+
+def ingest_commits(stream: DataFrame, table: CommitTable, checkpoint: str) -> StreamingQuery:
+    """Commit what has arrived to ``table`` and stop.
+
+    A batch is one commit of all its files. A batch that is run again, because the job died before or
+    after its commit, replaces what its files brought, and so does a file that is delivered again.
+    """
+
+    def write(batch: DataFrame, _: int) -> None:
+        table.append(batch)
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -214,6 +214,8 @@ ORACLE["lagged_features"] = f"""with {ROLL} select {_MATCH}, {rs(["HomeElo", "Aw
   {_history("home", "h")}, {_history("away", "a")}
 from b2 join ro h on h.match_no = b2.match_no and h.side = 'home'
 join ro a on a.match_no = b2.match_no and a.side = 'away'"""
+ORACLE["stream_history"] = f"""with {ROLL} select b2.match_no, {_history("home", "h")}, {_history("away", "a")}
+from b2 join ro h on h.match_no = b2.match_no and h.side = 'home' join ro a on a.match_no = b2.match_no and a.side = 'away'"""
 ORACLE["lagged_three_key"] = f"""with {ROLL} select {_MATCH}, {rs(["HomeElo", "AwayElo"], "b2.")},
   {_history("home", "h")}, {_history("away", "a")}
 from b2
@@ -532,6 +534,12 @@ ORACLE["name_norms_build"] = f"""with {SU} select distinct fb as team_name,
     '\\b(fc|cf|ac|sc|ssc|athletic|atletico|club)\\b', '', 'g'), '\\s+', ' ', 'g')) as norm from su"""
 ORACLE["name_review"] = f"""with {SU} select fb as fbref_team, 'united supplier' || {_DIGITS} as norm,
   (select count(distinct s_name) from supplier) as candidate_count from su where k % 7 = 0"""
+ORACLE["name_candidates"] = f"""with {SU},
+lo as (select distinct fb, 'united supplier' || {_DIGITS} as norm from su where k % 7 = 0),
+ca as (select distinct s_name, 'supplier' || {_DIGITS} as other from su),
+pa as (select *, levenshtein(norm, other) as edits from lo, ca),
+ok as (select *, row_number() over (partition by norm order by edits, s_name) as rank from pa where edits <= floor(length(norm) * 0.4))
+select fb as fbref_team, norm, cast(rank as integer) as rank, s_name as cfdm_team, cast(edits as integer) as edits from ok where rank <= 5"""
 FM = SU + """, fm as (
   select fb as fbref_team, case when (k % 7 = 0 or k % 21 = 3) and k % 5 = 0 then upper(s_name) || ' ' else s_name end
     as cfdm_team from su)"""
@@ -772,6 +780,12 @@ ORACLE["stream_scores"] = f"with {FB} select match_no, true as chances_ok from f
 
 ORACLE["csv_lenient"] = """select cast(c_custkey as varchar) as key, 'a "b", c' as name,
   case when c_custkey % 5 = 0 then null else c_mktsegment end as segment from customer where c_custkey % 7 <> 0"""
+ORACLE["ingest_commits"] = """
+select cast(s_nationkey as integer) as s_nationkey, 'complete' as status, count(*) as n_rows, count(*) as n_read,
+  cast(sum(s_suppkey) as bigint) as keys, cast(null as boolean) as asked_again from supplier where s_nationkey % 5 <> 0 group by s_nationkey
+union all select cast(n_nationkey as integer), case when n_nationkey % 10 = 0 then 'failed' else 'empty' end, 0, null, null, true
+from nation where n_nationkey % 5 = 0"""
+
 ORACLE["csv_quoted_breaks"] = """select cast(c_custkey as varchar) as c_custkey,
 case when c_custkey % 3 = 0 then 'of "' || c_name || '",' || chr(10) || chr(10) || 'line two' else c_name end as note, c_mktsegment from customer"""
 

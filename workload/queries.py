@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from touchline.functions.casts import to_date
 from touchline.functions.chance import LABELS
 from touchline.operators import (
     betting,
@@ -29,7 +30,8 @@ from touchline.operators import (
 )
 from touchline.plans import training
 from touchline.session import ensure_checkpoint_dir, materialise, tune
-from touchline.sources import pages, ragged, records, tables
+from touchline.sources import commits, pages, ragged, records, tables
+from touchline.streaming import history as arriving
 from touchline.streaming import ingest, scoring
 from workload import adapters as a
 
@@ -153,6 +155,22 @@ def rolling_hot_team(spark, sf_dir):
     return rounded(form.join(runs, ["match_id", "side"]).withColumnRenamed("match_id", "match_no"))
 
 
+@query
+def stream_history(spark, sf_dir):
+    """Matches that arrive year by year, each with the history of both teams from keyed state."""
+    place, rows = work(spark), written_matches(spark, sf_dir)
+    year = F.coalesce(F.year(to_date("MatchDate")), F.lit(9999))
+    years = sorted(r[0] for r in rows.select(year).distinct().collect())  # one for each year of the calendar
+    half = years[len(years) // 2]
+    for n, part in enumerate((year <= half, (year > half) & (year < 9999), year == 9999)):
+        tables.export_parquet(rows.where(part), f"{place}/in/{n}")
+        # Every run but the first is a restart.
+        stream = spark.readStream.schema(rows.schema).parquet(f"{place}/in/*")
+        arriving.history_stream(stream, f"{place}/out", f"{place}/marks", "match_no").awaitTermination()
+    out = spark.read.parquet(f"{place}/out")
+    return rounded(out.select("match_no", *[f"{s}_{c}" for s in ("home", "away") for c in history.LAGGED]))
+
+
 def streaks_documented(spark: SparkSession, sf_dir: str) -> DataFrame:
     return streaks.streaks(view(spark, sf_dir)).withColumnRenamed("match_id", "match_no")
 
@@ -394,6 +412,12 @@ def name_review(spark, sf_dir):
     return names.name_review(a.report_names(spark, sf_dir), a.match_names(spark, sf_dir))
 
 
+@query
+def name_candidates(spark, sf_dir):
+    """The five nearest match names of each report name without a partner."""
+    return names.name_candidates(a.report_names(spark, sf_dir), a.match_names(spark, sf_dir))
+
+
 def final_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     auto = names.name_auto_map(a.report_names(spark, sf_dir), a.match_names(spark, sf_dir))
     return names.compile_map(auto, a.manual_map(spark, sf_dir))
@@ -685,17 +709,22 @@ def chances_ok() -> Column:
     return F.coalesce(reduce(lambda x, y: x & y, [c.between(0.0, 1.0) for c in chances]) & whole, F.lit(False))
 
 
-def model_rows(name: str, scored: DataFrame, fitted: bool = True) -> DataFrame:
+def model_rows(name: str, scored: DataFrame, learned: str | None) -> DataFrame:
     """Rows of each split, whether all chances are sound, and whether training rows were learned.
 
-    Learned means: with classes balanced, the mean loss on training rows is below that of equal chances.
-    Not asked of a calibrated model (``fitted`` false): its maps are fitted on other rows.
+    ``learned``  "balanced": with classes balanced, the mean loss on training rows is below that of equal chances;
+                 "shares": the loss on training rows is below that of the shares of the classes;
+                 None: not asked of a calibrated model, whose maps are fitted on other rows.
     """
     labelled = scored.where(F.col(prep.LABEL).isNotNull())
     counts = labelled.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.bool_and(chances_ok()).alias("chances_ok"))
-    by_class = evaluate.log_loss(labelled.where("split = 'train'"), (prep.LABEL,))
-    fits = by_class.agg((F.avg("log_loss") < math.log(3)).alias("fits_training")).scalar()
-    fits = fits if fitted else F.lit(None).cast("boolean")
+    by_class = evaluate.log_loss(labelled.where("split = 'train'"), (prep.LABEL,)).select("log_loss", "n_rows")
+    rows = F.sum("n_rows")
+    plain = F.sum(F.col("log_loss") * F.col("n_rows")) / rows
+    # Entropy of the class shares, from the counts: ln(n) - sum(n_c ln(n_c)) / n.
+    shares = F.ln(rows) - F.sum(F.col("n_rows") * F.ln("n_rows")) / rows
+    claim = {"balanced": F.avg("log_loss") < math.log(3), "shares": plain < shares}
+    fits = by_class.agg(claim[learned].alias("fits_training")).scalar() if learned else F.lit(None).cast("boolean")
     return counts.select(F.lit(name).alias("model"), "split", "n_rows", "chances_ok", fits.alias("fits_training"))
 
 
@@ -703,7 +732,7 @@ def model_rows(name: str, scored: DataFrame, fitted: bool = True) -> DataFrame:
 def baseline_scores(spark, sf_dir):
     fitted = training.train_baselines(training_rows(spark, sf_dir), exclude=("match_no",))
     models = {"logistic": fitted.logistic, "forest": fitted.forest}
-    return reduce(DataFrame.unionByName, [model_rows(n, learn.score(fitted.rows, m)) for n, m in models.items()])
+    return reduce(DataFrame.unionByName, [model_rows(n, learn.score(fitted.rows, m), "balanced") for n, m in models.items()])
 
 
 @query
@@ -711,9 +740,9 @@ def boosted_scores(spark, sf_dir):
     """The boosted model, and both of its calibrations; isotonic maps must not fall."""
     boosted, isotonic = boosted_model(spark, sf_dir), isotonic_model(spark, sf_dir).calibrated
     out = [
-        model_rows("boosted", boosted.model.score(boosted.rows)).withColumn("rising", F.lit(None).cast("boolean")),
-        model_rows("sigmoid", boosted.calibrated.score(boosted.rows), False).withColumn("rising", F.lit(None).cast("boolean")),
-        model_rows("isotonic", isotonic.score(boosted.rows), False).withColumn("rising", F.lit(learn.rising(isotonic))),
+        model_rows("boosted", boosted.model.score(boosted.rows), "shares").withColumn("rising", F.lit(None).cast("boolean")),
+        model_rows("sigmoid", boosted.calibrated.score(boosted.rows), None).withColumn("rising", F.lit(None).cast("boolean")),
+        model_rows("isotonic", isotonic.score(boosted.rows), None).withColumn("rising", F.lit(learn.rising(isotonic))),
     ]
     return reduce(DataFrame.unionByName, out)
 
@@ -876,6 +905,27 @@ def ingest_files(spark, sf_dir):
     return spark.read.parquet(f"{place}/out").select("s_suppkey", F.col("s_nationkey").cast("int").alias("s_nationkey"))
 
 
+@query
+def ingest_commits(spark, sf_dir):
+    """Files of suppliers committed by nation, one delivered twice; nations that were asked for and their state."""
+    place = work(spark)
+    rows = a.table(spark, sf_dir, "supplier").select("s_nationkey", "s_suppkey")
+    table = commits.CommitTable(spark, f"{place}/table", ("s_nationkey",), rows.schema)
+    kept = rows.where("s_nationkey % 5 <> 0")
+    for part in range(2):
+        tables.export_csv(kept.where(F.col("s_suppkey") % 2 == part), f"{place}/in/{part}")
+        stream = ingest.read_stream(spark, f"{place}/in/*", rows.schema)
+        for marks in ("a", f"b{part}"):  # new marks: all files come again
+            ingest.ingest_commits(stream, table, f"{place}/{marks}").awaitTermination()
+    nations = a.table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast(rows.schema["s_nationkey"].dataType).alias("s_nationkey"))
+    table.fail(nations.where("s_nationkey % 10 = 0"), "no answer")
+    table.append(rows.limit(0), "late", asked=nations.where("s_nationkey % 10 = 5"))
+    read = table.read().groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("n_read"), F.sum("s_suppkey").alias("keys"))
+    asked = table.pending(nations).select("s_nationkey", F.lit(True).alias("asked_again"))
+    out = table.states().join(read, "s_nationkey", "left").join(asked, "s_nationkey", "left")
+    return out.select(F.col("s_nationkey").cast("int").alias("s_nationkey"), "status", "n_rows", "n_read", "keys", "asked_again")
+
+
 # ---- labels and column lists
 
 
