@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from touchline.functions.chance import LABELS
 from touchline.operators import betting, evaluate, learn, prep, split
-from touchline.session import materialise
+from touchline.session import materialise, spread
 
 
 @dataclass(frozen=True)
@@ -49,11 +49,13 @@ def train_baselines(
     train = ready.where("split = 'train'")
     logistic = learn.fit_logistic(train, columns, max_iter=max_iter)
     forest = learn.fit_forest(train, columns, trees, depth, fit_rows=fit_rows)
-    held_out = ready.where("split <> 'train'")
+    # A row goes through hundreds of deep trees, so small tables, too, are scored by all cores.
+    dealt = spread(ready, 1)
+    held_out = dealt.where("split <> 'train'")
     scores = _stack(
         {n: evaluate.scores(learn.score(held_out, m), ("split",)) for n, m in (("logistic", logistic), ("forest", forest))}
     )
-    return Baselines(logistic, forest, scores, ready)
+    return Baselines(logistic, forest, scores, dealt)
 
 
 @dataclass(frozen=True)
