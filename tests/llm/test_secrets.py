@@ -66,6 +66,21 @@ def test_odd_rows(spark):
     assert [s["live"] for s in scan[200]["secrets"]] == [True]
 
 
+def test_a_text_of_many_matches_costs_its_size(spark):
+    import time
+
+    line = "password=pw{:08d}xyz deadbeef" + "0" * 30
+    long = " ".join(line.format(i) for i in range(10_000))
+    docs = frame(spark, [(1, long, "en", "a"), (2, "password=hunter2hunter2", "en", "b")]).repartition(2)
+    docs.count()
+    began = time.perf_counter()
+    rows = found(secrets.digest(secrets.scan_secrets(docs)))
+    spent = time.perf_counter() - began
+    assert rows[0] == expected([(1, long, "a")])[0] and rows[0][1:4] == (10_000, 0, 10_000)
+    # Mostly the start of a few jobs; it was over 50 s for 1,500 matches when each match summed all gaps before it.
+    assert spent < 15
+
+
 def test_empty_table(none):
     assert secrets.digest(secrets.scan_secrets(none)).count() == 0
 

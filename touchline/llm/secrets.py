@@ -12,7 +12,7 @@ third of the corpus holds is a few rows a task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.session import materialise
@@ -34,39 +34,50 @@ EXAMPLE_OWNERS = 3
 LIVE_CHARACTERS = 8
 
 
-def _hits(text: Column, order: int) -> Column:
-    """Array of (start, kind order, end, value start, value) of one kind, failing matches dropped.
+def _found(text: Column, order: int) -> Column:
+    """What one kind finds in a text: lengths of the gaps before the matches, of the matches, and the values.
 
-    ``split`` gives what lies between the matches, so running lengths of both give the places.
+    ``split`` gives what lies between the matches. NULL where there is none.
     """
-    name, pattern, group, least = KINDS[order]
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    _, pattern, group, _ = KINDS[order]
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    gaps = F.transform(F.split(text, pattern, -1), F.length)
-
-    def total(lengths: Column, n: Column) -> Column:
-        return F.aggregate(F.slice(lengths, F.lit(1), n), F.lit(0), lambda a, x: a + x)
-
-    def place(match: Column, i: Column) -> Column:
-        start = total(gaps, i + 1) + total(F.transform(found, F.length), i)
-        end, value = start + F.length(match), F.element_at(values, i + 1)
-        # The value ends the match: nothing in the patterns follows the group.
-        return F.struct(
-            start.cast("long").alias("start"), F.lit(order).alias("kind"), end.cast("long").alias("end"),
-            (end - F.length(value)).cast("long").alias("value_start"), value.alias("value"),
-        )
-
-    none = F.array().cast("array<struct<start:bigint,kind:int,end:bigint,value_start:bigint,value:string>>")
-    placed = F.filter(F.transform(found, place), lambda h: F.length(h["value"]) >= least)
-    return F.when(text.rlike(pattern), placed).otherwise(none)
+    # In two of the kinds the match is the value.
+    whole = values if pattern.startswith("(") and not pattern.startswith("(?") else F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    found = F.struct(
+        F.lit(order).alias("kind"),
+        F.transform(F.split(text, pattern, -1), F.length).alias("gap"),
+        F.transform(whole, F.length).alias("size"),
+        values.alias("value"),
+    )
+    return F.when(text.rlike(pattern), found)
 
 
 def candidates(docs: DataFrame, doc_id: str, text: str, owner: str, repository: str) -> DataFrame:
-    """(doc_id, owner, repository, hits) of every row; null text is empty."""
+    """(row, doc_id, owner, repository, found) of every row, written once; null text is empty."""
     body = F.coalesce(col(text), F.lit(""))
-    hits = F.array_sort(F.concat(*(_hits(body, k) for k in range(len(KINDS)))))
+    found = F.array_compact(F.array(*(_found(body, k) for k in range(len(KINDS)))))
     names = ((doc_id, "doc_id"), (owner, "owner"), (repository, "repository"))
-    return docs.select(*(col(a).alias(b) for a, b in names), hits.alias("hits"))
+    return materialise(docs.select(F.monotonically_increasing_id().alias("row"), *(col(a).alias(b) for a, b in names), found.alias("found")))
+
+
+def placed(scanned: DataFrame) -> DataFrame:
+    """(row, owner, repository, kind, start, end, value_start, value, value_hash) of each match that is long enough.
+
+    Places are running sums over the matches of a text, so their cost grows with the number of matches.
+    """
+    kinds = scanned.select("row", "owner", "repository", F.explode("found").alias("of"))
+    each = kinds.select("row", "owner", "repository", "of.kind", F.posexplode(F.arrays_zip("of.gap", "of.size", "of.value")).alias("at", "m"))
+    # There is one gap more than matches.
+    each = each.select("row", "owner", "repository", "kind", "at", "m.*").where(F.col("size").isNotNull())
+    upto = Window.partitionBy("row", "kind").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    each = each.withColumn("end", F.sum(F.col("gap") + F.col("size")).over(upto))
+    least = F.element_at(F.array(*(F.lit(k[3]) for k in KINDS)), F.col("kind") + 1)
+    kept = each.where(F.length("value") >= least)
+    # The value ends the match: nothing in the patterns follows the group.
+    return kept.select(
+        "row", "owner", "repository", "kind", (F.col("end") - F.col("size")).alias("start"), "end",
+        (F.col("end") - F.length("value")).alias("value_start"), "value", F.sha2("value", 256).alias("value_hash"),
+    )
 
 
 def ownership(hits: DataFrame) -> DataFrame:
@@ -97,19 +108,18 @@ def scan_secrets(
     A value counts once for each owner however often it is repeated.
     """
     scanned = candidates(docs, doc_id, text, owner, repository)
-    scanned = materialise(scanned.withColumn("row", F.monotonically_increasing_id()))
-    hits = scanned.select("row", "owner", "repository", F.explode("hits").alias("hit"))
-    hits = hits.select("row", "owner", "repository", "hit.*", F.sha2("hit.value", 256).alias("value_hash"))
+    hits = materialise(placed(scanned))
     held = ownership(hits).withColumnRenamed("value_hash", "held_hash")
     judged = hits.join(held, F.col("value_hash") == F.col("held_hash"))
     judged = judged.withColumn("live", live_looking(F.col("value")) & (F.col("owners") < example_owners))
+    span = F.struct("start", "kind", "end")
     secret = F.struct(F.col("value_start").alias("start"), "end", "value", "owners", "repositories", "live")
-    of_row = judged.groupBy("row").agg(F.array_sort(F.array_distinct(F.collect_list(secret))).alias("secrets"))
+    # Sets, as two kinds may find one value at one place.
+    of_row = judged.groupBy("row").agg(F.array_sort(F.collect_list(span)).alias("base"), F.array_sort(F.collect_set(secret)).alias("secrets"))
     of_row = of_row.withColumnRenamed("row", "judged_row")
-    base = F.transform("hits", lambda h: F.struct(h["start"].alias("start"), h["kind"].alias("kind"), h["end"].alias("end")))
-    none = F.array().cast(of_row.schema["secrets"].dataType)
+    none = {c: F.array().cast(of_row.schema[c].dataType) for c in ("base", "secrets")}
     return scanned.join(of_row, F.col("row") == F.col("judged_row"), "left").select(
-        "doc_id", base.alias("base"), F.coalesce("secrets", none).alias("secrets")
+        "doc_id", *(F.coalesce(c, empty).alias(c) for c, empty in none.items())
     )
 
 
