@@ -95,7 +95,7 @@ def test_links_connect_what_all_pairs_connect(spark, seed, group_rows):
     place = {x: i for i, (x,) in enumerate(signed)}
     links = [(place[r["a"]], place[r["b"]]) for r in found.collect()]
     own = np.array(prints, dtype=np.uint64)
-    assert all(np.bitwise_count(own[a] ^ own[b]) <= 12 for a, b in links)
+    assert all(np.bitwise_count(own[a] ^ own[b]) <= simhash.RADIUS for a, b in links)
     parent = list(range(len(prints)))
 
     def root(x):

@@ -215,9 +215,11 @@ def _forest(prints: np.ndarray, starts: np.ndarray, ends: np.ndarray, radius: in
     """Links of a spanning forest of each group ``starts[g]:ends[g]`` of ``prints``, as two positions.
 
     Compares each fingerprint with the one k places on, for rising k, while groups are that large.
-    Each node points at a smaller one; roots of linked nodes are joined as links are found.
+    Each node points at a smaller one; roots of linked nodes are joined as links are found. Each link
+    is a pair within ``radius`` that joined two trees.
     """
     parent = np.arange(len(prints))
+    kept: list[tuple[np.ndarray, np.ndarray]] = []
     group_end = np.repeat(ends, ends - starts)
     at = np.arange(len(prints))
 
@@ -239,12 +241,16 @@ def _forest(prints: np.ndarray, starts: np.ndarray, ends: np.ndarray, radius: in
             while len(a):
                 x, y = roots(a), roots(b)
                 differ = x != y
-                a, b, x, y = a[differ], b[differ], x[differ], y[differ]
-                np.minimum.at(parent, np.maximum(x, y), np.minimum(x, y))
+                a, b, upper, lower = a[differ], b[differ], np.maximum(x, y)[differ], np.minimum(x, y)[differ]
+                np.minimum.at(parent, upper, lower)
+                # One pair of those by which a root got its new parent.
+                won = np.flatnonzero(parent[upper] == lower)
+                won = won[np.unique(upper[won], return_index=True)[1]]
+                kept.append((a[won], b[won]))
         k += 1
-    root = roots(np.arange(len(prints)))
-    child = np.flatnonzero(root != np.arange(len(prints)))
-    return child, root[child]
+    if not kept:
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+    return np.concatenate([a for a, _ in kept]), np.concatenate([b for _, b in kept])
 
 
 def links(prints: DataFrame, radius: int = RADIUS, group_rows: int = GROUP_ROWS) -> DataFrame:
@@ -272,8 +278,8 @@ def links(prints: DataFrame, radius: int = RADIUS, group_rows: int = GROUP_ROWS)
         def told(c, f):
             bounds = np.flatnonzero(np.diff(c)) + 1
             starts, ends = np.concatenate(([0], bounds)), np.concatenate((bounds, [len(c)]))
-            child, root = _forest(f.view(np.uint64), starts, ends, radius)
-            return pa.RecordBatch.from_arrays([pa.array(f[child]), pa.array(f[root])], ["a", "b"])
+            one, two = _forest(f.view(np.uint64), starts, ends, radius)
+            return pa.RecordBatch.from_arrays([pa.array(f[one]), pa.array(f[two])], ["a", "b"])
 
         for batch in batches:
             c = np.concatenate((rest_c, batch["cell"].to_numpy()))
