@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from touchline.operators import evaluate, features, learn, prep
 from touchline.plans import features as feature_plan
@@ -115,6 +116,26 @@ def test_search_is_repeatable(rows):
     assert first == learn.search(train, val, COLUMNS, trials=2, seed=3, space=space)
 
 
+def test_halving_finds_the_winner_of_all(rows):
+    ready = prep.fill_zero(rows, COLUMNS).cache()
+    train, val = ready.where("split = 'train'"), ready.where("split = 'val'")
+    # One draw in four learns fast; the others hardly move.
+    space = learn.SEARCH_SPACE | {"rounds": (4, 8), "depth": (2, 4), "step": (0.005, 0.4)}
+    whole = learn.search_trials(train, val, COLUMNS, trials=4, seed=5, space=space, halvings=0)
+    halved = learn.search_trials(train, val, COLUMNS, trials=4, seed=5, space=space, halvings=1)
+    assert len(whole) == 4 and len(halved) == 2 and [t.loss for t in whole] == sorted(t.loss for t in whole)
+    assert halved[0] == whole[0] and halved[0].rounds == halved[0].params.rounds
+
+
+def test_prefix_losses_are_those_of_shorter_models(rows):
+    ready = prep.fill_zero(rows, COLUMNS).cache()
+    train, val = ready.where("split = 'train'"), ready.where("split = 'val'")
+    fit = lambda n: learn.fit_boosted(train, COLUMNS, learn.BoostedParams(rounds=n, depth=2))
+    long, short = learn.prefix_losses(fit(3), val), learn.prefix_losses(fit(2), val)
+    n = min(len(long), len(short))  # either may have stopped early
+    assert n and len(long) <= 3 and long[:n] == pytest.approx(short[:n])
+
+
 def test_draws_cover_the_whole_space():
     rng = random.Random(42)
     drawn = [learn.draw(rng, learn.BoostedParams(rounds=100, depth=4)) for _ in range(300)]
@@ -132,6 +153,29 @@ def test_unknown_category_gets_a_slot(spark):
     assert len(out["features"]) >= 3
 
 
+def test_categories_through_training_storing_and_serving(spark, rows, tmp_path):
+    text = rows.withColumn("league", F.concat(F.lit("L"), (F.col("id").cast("int") % 3).cast("string")))
+    params = learn.BoostedParams(rounds=5, depth=2)
+    result = training.train_boosted(text, exclude=("id",), params=params, categorical=("league",))
+    assert result.model.categories == {"league": ["L0", "L1", "L2"]}
+    schema = prep.FeatureSchema(tuple(COLUMNS), ("league",), ("league", *COLUMNS))
+    learn.save(result.calibrated, schema, spark, str(tmp_path / "model"))
+    loaded, again = learn.load(spark, str(tmp_path / "model"))
+    assert learn.categories_of(loaded) == {"league": ["L0", "L1", "L2"]} and again == schema
+    table = text.where("split = 'test'").select("id", "league", *COLUMNS).limit(20)
+    score = lambda df: {r["id"]: r["proba_home"] for r in training.score_fixtures(df, loaded, again).collect()}
+    assert score(table) == {r["id"]: pytest.approx(r["proba_home"]) for r in training.score_fixtures(table, result.calibrated, schema).collect()}
+    unseen, missing, absent = table.withColumn("league", F.lit("new")), table.withColumn("league", F.lit(None).cast("string")), table.drop("league")
+    assert score(unseen) == score(missing) == score(absent)
+
+
+def test_a_dictionary_keeps_the_most_frequent(spark):
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 3 == 1, F.concat(F.lit("k"), (F.col("id") % 5).cast("string"))).otherwise(F.concat(F.lit("rare"), F.col("id").cast("string"))).alias("c"))
+    assert learn.category_dictionary(df, ["c"], most=4, tracked=4096)["c"][0] == "hot"
+    assert learn.category_dictionary(df.withColumn("c", F.lit(None).cast("string")), ["c"]) == {"c": []}
+    assert learn.category_dictionary(df, []) == {}
+
+
 def test_stream_scores_like_the_table(spark, rows, boosted, tmp_path):
     schema = prep.FeatureSchema(tuple(COLUMNS), ("match_date",), ("match_date", *COLUMNS))
     table = rows.select("id", "match_date", *COLUMNS)

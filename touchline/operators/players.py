@@ -20,32 +20,26 @@ NUMBER_STATS = (
 DECIMAL_STATS = {"xg", "npxg", "xag", "pass_cmp_pct"}
 
 # Which field of a row holds which stat (field 2 is not used).
-_SHARED = {
-    **{"player": 1, "nation": 3, "pos": 4, "age": 5, "min": 6, "gls": 7, "ast": 8, "pk": 9, "pkatt": 10},
-    **{"sh": 11, "sot": 12, "crdy": 13, "crdr": 14},
-}
 OLD_LAYOUT = {
-    **_SHARED,
-    **{"fls": 15, "fld": 16, "off": 17, "crs": 18, "tklw": 19, "intr": 20, "og": 21, "pkwon": 22, "pkcon": 23},
-}
+    "player": 1, "nation": 3, "pos": 4, "age": 5, "min": 6, "gls": 7, "ast": 8, "pk": 9, "pkatt": 10, "sh": 11,
+    "sot": 12, "crdy": 13, "crdr": 14, "fls": 15, "fld": 16, "off": 17, "crs": 18, "tklw": 19, "intr": 20, "og": 21,
+    "pkwon": 22, "pkcon": 23,
+}
 NEW_LAYOUT = {
-    **_SHARED,
-    **{"touches": 15, "tkl": 16, "intr": 17, "blocks": 18, "xg": 19, "npxg": 20, "xag": 21, "sca": 22, "gca": 23},
-    **{"pass_cmp": 24, "pass_att": 25, "pass_cmp_pct": 26, "pass_prg": 27, "carries": 28, "carries_prg": 29},
-    **{"take_ons_att": 30, "take_ons_succ": 31},
-}
+    "player": 1, "nation": 3, "pos": 4, "age": 5, "min": 6, "gls": 7, "ast": 8, "pk": 9, "pkatt": 10, "sh": 11,
+    "sot": 12, "crdy": 13, "crdr": 14, "touches": 15, "tkl": 16, "intr": 17, "blocks": 18, "xg": 19, "npxg": 20, "xag": 21,
+    "sca": 22, "gca": 23, "pass_cmp": 24, "pass_att": 25, "pass_cmp_pct": 26, "pass_prg": 27, "carries": 28, "carries_prg": 29, "take_ons_att": 30, "take_ons_succ": 31,
+}
 
 TEAM_KEYS = ("match_url", "league_slug", "season_end", "team_hint")
 # Stat -> name of its team sum.
 TEAM_SUMS = {
-    **{s: f"{s}_sum" for s in ("min", "gls", "ast", "pk", "pkatt", "sh", "sot")},
-    **{"crdy": "yel_sum", "crdr": "red_sum"},
-    **{s: f"{s}_sum" for s in ("fls", "fld", "off", "crs", "tklw", "tkl")},
-    **{"intr": "int_sum", "blocks": "blk_sum"},
-    **{s: f"{s}_sum" for s in ("xg", "npxg", "xag", "sca", "gca", "pass_cmp", "pass_att", "pass_prg")},
-    **{s: f"{s}_sum" for s in ("carries", "carries_prg")},
-    **{"take_ons_att": "take_att_sum", "take_ons_succ": "take_succ_sum"},
-}
+    "min": "min_sum", "gls": "gls_sum", "ast": "ast_sum", "pk": "pk_sum", "pkatt": "pkatt_sum", "sh": "sh_sum",
+    "sot": "sot_sum", "crdy": "yel_sum", "crdr": "red_sum", "fls": "fls_sum", "fld": "fld_sum", "off": "off_sum",
+    "crs": "crs_sum", "tklw": "tklw_sum", "tkl": "tkl_sum", "intr": "int_sum", "blocks": "blk_sum", "xg": "xg_sum",
+    "npxg": "npxg_sum", "xag": "xag_sum", "sca": "sca_sum", "gca": "gca_sum", "pass_cmp": "pass_cmp_sum", "pass_att": "pass_att_sum",
+    "pass_prg": "pass_prg_sum", "carries": "carries_sum", "carries_prg": "carries_prg_sum", "take_ons_att": "take_att_sum", "take_ons_succ": "take_succ_sum",
+}
 # Sums that are also given per 90 minutes.
 PER_90 = ("gls", "ast", "sh", "sot", "xg", "sca", "pass_prg")
 

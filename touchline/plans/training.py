@@ -79,9 +79,12 @@ def train_boosted(
     mode: str = "boosted",
     weights: dict[str, float] | None = None,
     trials: int = 0,
+    categorical: tuple[str, ...] = (),
 ) -> Boosted:
     """Boosted trees with missing flags and median fill, calibrated on the validation rows.
 
+    ``categorical`` columns are taken as text, whatever the list of leaking columns says.
+
     ``trials`` above 0 searches the parameters first. ``scored`` holds the
     uncalibrated chances on validation and the calibrated ones on test rows.
     """
@@ -89,15 +92,17 @@ def train_boosted(
     odds = [c for c in (*evaluate.SHARE_COLUMNS.values(), *evaluate.RAW_COLUMNS.values()) if c in features.columns]
     market = evaluate.odds_probabilities(features.where("split is not null"), "row") if odds else features
     keep = [f"o_{c}" for c in LABELS] if odds else []
-    flagged = prep.missing_flags(market.select("split", prep.LABEL, *keep, *columns))
-    inputs = [c for c in flagged.columns if c not in ("split", prep.LABEL, *keep)]
+    columns = [c for c in columns if c not in categorical]
+    text = [F.col(c).cast("string").alias(c) for c in categorical]
+    flagged = prep.missing_flags(market.select("split", prep.LABEL, *keep, *text, *columns))
+    inputs = [c for c in flagged.columns if c not in ("split", prep.LABEL, *keep, *categorical)]
     kept_medians = prep.training_medians(flagged, columns)
     own = medians == "own"
     ready = materialise(prep.median_impute(flagged, columns, "own") if own else prep.fill_values(flagged, kept_medians))
     train, val, test = (ready.where(F.col("split") == s) for s in ("train", "val", "test"))
     if trials:
-        params, _ = learn.search(train, val, inputs, trials, params.seed, base=params)
-    model = learn.fit_boosted(train, inputs, params, weights)
+        params, _ = learn.search(train, val, inputs, trials, params.seed, base=params, categorical=categorical)
+    model = learn.fit_boosted(train, inputs, params, weights, categorical=categorical)
     model.medians = kept_medians
     calibrated = learn.calibrate(model, val, calibration)
     scored = materialise(model.score(val).unionByName(calibrated.score(test)))
@@ -146,6 +151,7 @@ def score_fixtures(
 
     ``missing``  "median" fills empty cells and absent columns as training did; "zero" puts 0,
                  "keep" leaves them. Columns that training saw no value of are 0.
+                 A category that training did not see, or that is absent, has the slot for all others.
     ``edges``    "raw" against 1 / price; "normalised" against the market without its margin,
                  with the best pick and whether to bet.
 
@@ -163,6 +169,8 @@ def score_fixtures(
         aligned = prep.fill_values(aligned, {c: medians.get(c, 0.0) for c in wanted})
     if missing == "zero":
         aligned = prep.fill_zero(aligned, wanted)
+    text = {c: F.col(inputs[c]) if c in inputs else F.lit(None) for c in learn.categories_of(model)}
+    aligned = aligned.withColumns({c: value.cast("string") for c, value in text.items()})
     scored = model.score(aligned)
     chances = [f"p_{c}" for c in LABELS]
     back = scored.select(*[F.col(kept).alias(c) for c, kept in inputs.items()], *chances)

@@ -768,6 +768,10 @@ ORACLE["baseline_scores"] = _model(["logistic", "forest"])
 ORACLE["boosted_scores"] = _model(
     ["boosted", "sigmoid", "isotonic"], "(case model when 'boosted' then true end)", ", case model when 'isotonic' then true end as rising"
 )
+ORACLE["search_scores"] = "select cast(2 as bigint) as trials, true as in_range, true as best_ok, true as loss_ok"
+ORACLE["categorical_scores"] = f"""with {FB},
+d as (select case when match_no % 5 = 0 then 'ATLANTIS' when match_no % 5 <> 1 then Division end as Division from fb)
+select Division, Division is not null and Division <> 'ATLANTIS' as known, count(*) as n_rows, true as chances_ok from d group by all"""
 ORACLE["blended_scores"] = "select cast(21 as bigint) as weights, true as alpha_ok, true as best_ok, true as loss_ok"
 ORACLE["fixture_scores"] = f"""with {FB} select match_no, {rs(["OddHome", "OddDraw", "OddAway"])},
   true as chances_ok, true as stakes_ok from fb"""

@@ -747,6 +747,37 @@ def boosted_scores(spark, sf_dir):
     return reduce(DataFrame.unionByName, out)
 
 
+@query
+def search_scores(spark, sf_dir):
+    """A search by halving: how many trials ended, that all lie in their ranges, and that none was better than the first."""
+    space = {"step": (0.05, 0.15), "depth": (2, 3), "min_leaf": (18, 80), "rounds": (4, 8), "sample": (0.5, 1.0)}
+    train, val = (training_rows(spark, sf_dir).where(F.col("split") == s) for s in ("train", "val"))
+    train, val = (materialise(prep.fill_zero(rows, list(NUMERIC)).select(prep.LABEL, *NUMERIC)) for rows in (train, val))
+    done = learn.search_trials(train, val, list(NUMERIC), trials=4, space=space, halvings=1)
+    told = spark.createDataFrame([(*(float(getattr(t.params, k)) for k in space), t.loss) for t in done], [*space, "loss"])
+    inside = reduce(lambda x, y: x & y, [F.col(k).between(*map(float, bounds)) for k, bounds in space.items()])
+    return told.agg(
+        F.count(F.lit(1)).alias("trials"), F.bool_and(inside).alias("in_range"),
+        (F.min("loss") == F.lit(done[0].loss)).alias("best_ok"), F.bool_and(F.col("loss") > 0).alias("loss_ok"),
+    )
+
+
+@query
+def categorical_scores(spark, sf_dir):
+    """A model with the division as category, stored and loaded; fixtures of a division it has not seen, or of none."""
+    params = learn.BoostedParams(rounds=10, depth=3)
+    rows, place = training_rows(spark, sf_dir), work(spark)
+    result = training.train_boosted(rows, exclude=("match_no",), params=params, categorical=("Division",))
+    learn.save(result.model, prep.FIXTURE_SCHEMA, spark, f"{place}/model")
+    model, schema = learn.load(spark, f"{place}/model")
+    no = F.col("match_no")
+    division = F.when(no % 5 == 0, "ATLANTIS").when(no % 5 == 1, F.lit(None)).otherwise(F.col("Division"))
+    fixtures = base(spark, sf_dir).select("match_no", division.alias("Division"), *prep.FIXTURE_COLUMNS)
+    out = training.score_fixtures(fixtures, model, schema)
+    known = F.coalesce(F.col("Division").isin(model.categories["Division"]), F.lit(False)).alias("known")
+    return out.groupBy("Division", known).agg(F.count(F.lit(1)).alias("n_rows"), F.bool_and(chances_ok()).alias("chances_ok"))
+
+
 @query
 def blended_scores(spark, sf_dir):
     """The blend chosen on validation rows: its weight, and that no other weight was better there."""
