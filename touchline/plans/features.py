@@ -13,8 +13,8 @@ def match_features(
 ) -> DataFrame:
     """Filter, keep, build, and attach history.
 
-    The base features are written once between the two steps: history first
-    counts rows per team, then reads the rows.
+    The base features are written once between the two steps: history reads them
+    for the rows, for the summaries of spans, and to join both.
     """
     chosen = resolve.filter_divisions(matches, divisions) if divisions else matches
     carry = () if match_id == "cfmd_match_id" else (match_id,)

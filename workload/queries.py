@@ -88,7 +88,7 @@ def label_summary(spark, sf_dir):
 
 
 def written_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What history reads of the text matches, written once: history counts teams first, then reads the rows."""
+    """What history reads of the text matches, written once: history reads them for the rows and for the summaries of spans."""
     columns = "match_no MatchDate MatchTime Division HomeTeam AwayTeam FTHome FTAway HomeElo AwayElo".split()
     return materialise(a.matches_text(spark, sf_dir).select(*columns))
 
