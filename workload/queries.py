@@ -716,7 +716,8 @@ def model_rows(name: str, scored: DataFrame, learned: str | None) -> DataFrame:
                  "shares": the loss on training rows is below that of the shares of the classes;
                  None: not asked of a calibrated model, whose maps are fitted on other rows.
     """
-    labelled = scored.where(F.col(prep.LABEL).isNotNull())
+    # Written once: hundreds of trees a row are not walked again for the second figure.
+    labelled = materialise(scored.where(F.col(prep.LABEL).isNotNull()).select("split", prep.LABEL, *evaluate.PROBABILITIES))
     counts = labelled.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"), F.bool_and(chances_ok()).alias("chances_ok"))
     by_class = evaluate.log_loss(labelled.where("split = 'train'"), (prep.LABEL,)).select("log_loss", "n_rows")
     rows = F.sum("n_rows")
