@@ -73,7 +73,13 @@ def write_table(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
-    df.write.partitionBy(*partition_by).parquet(path)
+    # The shuffles of this write are of no use once it is done; by default they lie on disk until the driver's next collection of garbage.
+    before = spark.conf.get(_FREE_SHUFFLES, None)
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        df.write.partitionBy(*partition_by).parquet(path)
+    finally:
+        spark.conf.set(_FREE_SHUFFLES, before) if before is not None else spark.conf.unset(_FREE_SHUFFLES)
     _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -90,6 +96,18 @@ def materialise(df: DataFrame) -> DataFrame:
 
 # Tables written by ``materialise`` in this driver and not dropped yet.
 _written: list[str] = []
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def drop_tables(*tables: DataFrame) -> None:
+    """Delete tables that ``materialise`` has written; frames that read them are dead afterwards."""
+    for table in tables:
+        folders = {f.rsplit("/", 1)[0] for f in table.inputFiles()}
+        for path in [p for p in _written if any(f.endswith(p.split(":", 1)[-1]) for f in folders)]:
+            context = table.sparkSession.sparkContext
+            place = context._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+            _written.remove(path)
 
 
 def drop_materialised(spark: SparkSession) -> int:
