@@ -4,6 +4,7 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from touchline.llm import xent
@@ -21,8 +22,7 @@ def expected(rows):
     """(tokens, target loss, background loss) of (text, target) rows."""
     texts = [(toks(t), good) for t, good in rows]
     seen = Counter(w for t, _ in texts for w in t)
-    total = sum(seen.values())
-    vocab = {w for w, n in seen.items() if n >= max(2, xent.WORD_SHARE * total)}
+    vocab = {w for w, n in seen.items() if n >= 2}
     size = len(vocab) + 2
     models = []
     mapped = [(["^"] + [w if w in vocab else "?" for w in t], good) for t, good in texts]
@@ -31,7 +31,7 @@ def expected(rows):
         for pair in zip(t, t[1:]):
             counts[1][pair] += 1
             counts[0][pair] += good
-    keep = {p for p in counts[1] if any(c[p] >= max(2, xent.PAIR_SHARE * sum(c.values())) for c in counts)}
+    keep = {p for p in counts[1] if any(c[p] >= 2 for c in counts)}
     for c in counts:
         first, second = Counter(), Counter()
         for (a, b), n in c.items():
@@ -72,19 +72,33 @@ def test_odd_rows(odd, none):
     assert xent.score(none, model).count() == 0 and xent.score(odd, empty).count() == len(ODD)
 
 
+def shown(model):
+    """Losses of the bigrams and of the words in a model's table, by key."""
+    pairs, words = {}, dict(model.fixed)
+    for r in model.table.collect():
+        for name, width, into in (("pair", xent.PAIR_VALUES, pairs), ("word", xent.WORD_VALUES, words)):
+            values = np.frombuffer(r[f"{name}_values"], np.float32).reshape(-1, width)
+            into |= dict(zip(np.frombuffer(r[f"{name}s"], np.int64).tolist(), values.tolist(), strict=True))
+    return pairs, words
+
+
+def key(*hashes):
+    signed = np.array(hashes, np.uint64).view(np.int64)
+    return int(xent.pair_key(signed[:1], signed[1:])[0]) if len(signed) > 1 else int(signed[0])
+
+
 def test_chances_add_up_to_one(spark):
     """Over all words after any word, both models spend at most one, and all of it if every word was seen."""
     docs = frame(spark, [(i, "a b a c a b b c d d a b " * 3, "en", "s") for i in range(4)]).selectExpr("*", "doc_id = 1 as good")
-    m = xent.train(docs, "text", "good")
-    import numpy as np
-
-    size = len(m.vocab) + 2
+    pairs, words = shown(xent.train(docs, "text", "good"))
+    hashes = [token_hash(w) for w in "abcd"]
+    assert set(words) == {xent.UNKNOWN, xent.START, *map(key, hashes)}
     for k in range(2):
-        for a in range(len(m.vocab)):
-            chance = np.exp(-(m.back[k][a] + m.single[k].astype(float)))
-            own = m.pairs // size == a
-            chance[m.pairs[own] % size] = np.exp(-m.pair_loss[k][own].astype(float))
-            assert chance.sum() == pytest.approx(1.0, abs=1e-3)
+        for a in hashes:
+            back = words[key(a)][k]
+            own = [pairs.get(key(a, b), [back + words[key(b)][2 + k]] * 2)[k] for b in hashes]
+            own += [back + words[x][2 + k] for x in (xent.UNKNOWN, xent.START)]
+            assert sum(math.exp(-x) for x in own) == pytest.approx(1.0, abs=1e-3)
 
 
 def test_target_like_texts_score_lower(spark):
@@ -107,7 +121,37 @@ def test_entries_grow_with_the_corpus(spark):
     """A word and a bigram seen twice have entries, however many tokens there are."""
     common = " ".join(f"c{i}" for i in range(50)) + " "
     rows = [(i, common * 150, "en", "s") for i in range(40)] + [(100 + i, "rare pair", "en", "s") for i in range(2)]
-    m = xent.train(frame(spark, rows).selectExpr("*", "doc_id < 5 as good"), "text", "good")
-    words = [int(w) for w in m.vocab]
-    assert token_hash("rare") in words and token_hash("pair") in words
-    assert words.index(token_hash("rare")) * (len(words) + 2) + words.index(token_hash("pair")) in m.pairs.tolist()
+    pairs, words = shown(xent.train(frame(spark, rows).selectExpr("*", "doc_id < 5 as good"), "text", "good"))
+    rare, pair = token_hash("rare"), token_hash("pair")
+    assert {key(rare), key(pair)} <= set(words) and key(rare, pair) in pairs
+
+
+def test_small_sections_and_folds(spark, small, monkeypatch):
+    """Many sections, tasks that let go often, many slices and copies give what one of each gives."""
+    docs = spark.read.parquet(f"{small}/documents.parquet").selectExpr("doc_id", "text", "doc_id % 3 = 0 as good")
+    want = {r["doc_id"]: r for r in xent.score(docs, xent.train(docs, "text", "good")).collect()}
+    for name, value in (("SECTION_TOKENS", 5000), ("TASK_ENTRIES", 3000), ("ASK_KEYS", 2000), ("SCORE_BYTES", 20_000), ("COUNT_SLICE", 30_000)):
+        monkeypatch.setattr(xent, name, value)
+    model = xent.train(docs, "text", "good")
+    assert model.sections > 3
+    # Twice the documents of the corpus, so that sections are copied.
+    got = xent.score(docs.unionByName(docs), model).collect()
+    assert len(got) == 2 * len(want)
+    for r in got:
+        assert (r["n_tokens"], r["target_loss"], r["background_loss"]) == pytest.approx((want[r["doc_id"]]["n_tokens"], want[r["doc_id"]]["target_loss"], want[r["doc_id"]]["background_loss"]), abs=1e-5)
+
+
+def test_words_seen_once_and_their_neighbours(spark):
+    """Bigrams of the unknown word: rare after rare, after the start, at the end, and beside known words."""
+    rows = [(i, t, "en", "s") for i, t in enumerate(["q1 q2 a", "q3 a b q4", "a q5 b", "q6", "b a q7 q8", "a q9 b a q10"])]
+    docs = frame(spark, rows).selectExpr("*", "doc_id % 2 = 0 as good")
+    got = xent.score(docs, xent.train(docs, "text", "good")).orderBy("doc_id").collect()
+    agree([(r["n_tokens"], r["target_loss"], r["background_loss"]) for r in got], expected([(t, i % 2 == 0) for i, t, *_ in rows]))
+
+
+def test_equal_rows_are_dealt_to_slices(spark, monkeypatch):
+    monkeypatch.setattr(xent, "SCORE_BYTES", 4000)
+    rows = [(None, "one text that many rows hold", "en", "s")] * 3000 + [(1, "another text", "en", "s")]
+    docs = frame(spark, rows).selectExpr("*", "doc_id = 1 as good")
+    got = xent.score(docs, xent.train(docs, "text", "good")).groupBy("doc_id", "n_tokens").count().collect()
+    assert sorted((r["n_tokens"], r["count"]) for r in got) == [(2, 1), (6, 3000)]

@@ -6,83 +6,66 @@ bigrams that fall back on their unigrams; bigrams seen as often have an entry of
 document's score is the mean over its tokens of the target's loss less the background's: below 0 it
 is more like the target.
 
-The least count is fixed, so vocabulary and entries grow with the corpus. Both stay tables: raw
-bigrams are folded in tasks and counted by shuffle, then words that are too rare are replaced by
-joins. To score, documents are dealt into slices of bounded size by a hash; each slice asks once for each of
-its words and bigrams, the asked keys are joined to the model, and the answers meet the slice's texts.
+The least count is fixed, so vocabulary and entries grow with the corpus, and both stay tables. A bigram
+seen twice has two words seen twice, so bigrams are counted as they stand: tasks hand over packed arrays
+by section of the bigram's hash, and only what is seen twice becomes a row. Words seen once stand in
+one place, so a pass over words that keeps their neighbours gives the bigrams of the unknown word.
+
+To score, documents are dealt into slices of bounded size by a hash; each slice asks once for each of
+its words and bigrams (packed by section of the model, which is packed alike), and the answers meet the
+slice's texts. Slices are taken in ``ROUNDS`` parts, each written before the next, which bounds the disk
+that questions and answers take to a share of the input.
 """
 
 from __future__ import annotations
 
-import functools
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .batches import slices, sums
+from touchline.session import drop_tables, materialise
+
+from .batches import sectioned, slices, sums
 from .decontam import tokens
 from .tables import col
 
-#: The least count holds at every size; there is no share of all tokens below which entries go.
-WORD_SHARE, PAIR_SHARE, LEAST_COUNT = 0.0, 0.0, 2
+#: Holds at every size; that a word below it stands in one place is used.
+LEAST_COUNT = 2
 DISCOUNT = 0.5
 COUNT_SLICE, TASK_ENTRIES = 8 << 20, 1_500_000
-#: Text of a slice of documents that is scored together.
-SCORE_BYTES = 8 << 20
+#: Tokens of the corpus for each section of bigrams, and keys that a task asks at once.
+SECTION_TOKENS, ASK_KEYS = 2_000_000, 3_000_000
+#: Text of a slice of documents that is scored together, and the parts of the slices.
+SCORE_BYTES, ROUNDS = 8 << 20, 3
 #: Keys of the unknown word and the start of a text. Those of words are odd, those of bigrams even.
 UNKNOWN, START = 2, 4
+#: Losses of a bigram and of a word.
+PAIR_VALUES, WORD_VALUES = 2, 8
 
 
 @dataclass(frozen=True)
 class Model:
-    """``table``: written (key, values) of words and bigrams, with the losses under target and background.
-
-    A bigram has its two losses. A word has those of falling back after it and of it as a unigram, then
-    those of the bigrams (word, unknown) and (unknown, word), not a number without an entry.
-    ``words`` and ``entries`` are the tables that these come from.
+    """``table``: written rows (section, pairs, pair_values, words, word_values), packed arrays sorted by key.
 
-    ``vocab``, ``pairs`` (first * size + second), ``pair_loss``, ``back`` and ``single`` show a small model
-    as arrays; the last two places are the unknown word and the start. Scoring does not use them.
+    A bigram has its losses under target and background. A word has those of falling back after it and of
+    it as a unigram, then those of the bigrams (word, unknown) and (unknown, word), not a number
+    without an entry. ``fixed`` has the values of the unknown word and of the start; ``tokens`` is the size
+    of the corpus.
     """
 
     table: DataFrame
-    words: DataFrame
-    entries: DataFrame
-
-    @functools.cached_property
-    def _places(self) -> tuple:
-        rows = sorted(self.words.collect(), key=lambda r: (r["key"] in (UNKNOWN, START), r["key"] == START, r["key"] % 2**64))
-        return {r["key"]: i for i, r in enumerate(rows)}, rows
-
-    @property
-    def vocab(self) -> np.ndarray:
-        return np.array([r["key"] for r in self._places[1][:-2]], np.int64).view(np.uint64)
-
-    @property
-    def back(self) -> np.ndarray:
-        return -np.log(np.array([[r["left_target"], r["left_all"]] for r in self._places[1]]).T)
+    sections: int
+    tokens: int
+    fixed: dict[int, list[float]]
 
-    @property
-    def single(self) -> np.ndarray:
-        return -np.log(np.array([[r["chance_target"], r["chance_all"]] for r in self._places[1]]).T)
 
-    @functools.cached_property
-    def _entries(self) -> list:
-        place, rows = self._places
-        return sorted((place[r["a"]] * len(rows) + place[r["b"]], r["target_loss"], r["all_loss"]) for r in self.entries.collect())
-
-    @property
-    def pairs(self) -> np.ndarray:
-        return np.array([r[0] for r in self._entries], np.int64)
-
-    @property
-    def pair_loss(self) -> np.ndarray:
-        return np.array([r[1:] for r in self._entries]).reshape(-1, 2).T
+def section_of(keys: np.ndarray, sections: int) -> np.ndarray:
+    return ((keys.view(np.uint64) >> np.uint64(1)) % np.uint64(sections)).astype(np.int64)
 
 
 class Fold:
@@ -104,22 +87,6 @@ class Fold:
         return out
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word, n): hash and count of every word of column ``text``."""
-
-    def run(batches):
-        fold = Fold(0, 1)
-        for batch in batches:
-            for part in slices(batch, "text", COUNT_SLICE):
-                word, n = np.unique(tokens(part["text"])[0].view(np.int64), return_counts=True)
-                fold.add(word, np.zeros((0, len(word)), np.int64), n[None])
-                if len(fold.keys) > TASK_ENTRIES:
-                    yield fold.take(["word", "n"])
-        yield fold.take(["word", "n"])
-
-    return docs.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
-
-
 def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Even key of each bigram of word keys."""
     x = a.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ b.view(np.uint64)
@@ -135,24 +102,36 @@ def text_pairs(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.where(np.diff(row, prepend=-1) != 0, START, a), b, row
 
 
-def pair_counts(docs: DataFrame) -> DataFrame:
-    """(a, b, all, target): bigram counts over all rows and over those whose column ``target`` is true."""
-    names = ["a", "b", "all", "target"]
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, prev, next, all, target, end_all, end_target) of every word of column ``text``.
+
+    Counts are over all rows and over those whose column ``target`` is true, ``end_`` those at the end of a
+    text. ``prev`` and ``next`` are the neighbours of a word seen once (START, and 0 at the end).
+    """
+    facts, counts = ["word", "prev", "next"], ["all", "target", "end_all", "end_target"]
+
+    def told(fold: Fold) -> pa.RecordBatch:
+        fold.facts[1:, fold.counts[0] > 1] = 0
+        return fold.take(facts + counts)
 
     def run(batches):
-        fold = Fold(2, 2)
+        fold = Fold(3, 4)
         for batch in batches:
             for part in slices(batch, "text", COUNT_SLICE):
                 a, b, row = text_pairs(part["text"])
-                wanted = part["target"].to_numpy(zero_copy_only=False).astype(np.int64)
-                key, first, at = np.unique(pair_key(a, b), return_index=True, return_inverse=True)
-                fold.add(key, np.stack([a[first], b[first]]), np.stack([np.bincount(at, minlength=len(key)), np.bincount(at, wanted[row], len(key)).astype(np.int64)]))
+                wanted = part["target"].to_numpy(zero_copy_only=False).astype(np.int64)[row]
+                last = (np.diff(row, append=-1) != 0).astype(np.int64)
+                after = np.where(last, 0, np.append(b[1:], 0)[: len(b)])
+                word, first, at = np.unique(b, return_index=True, return_inverse=True)
+                own = [np.bincount(at, x, len(word)).astype(np.int64) for x in (np.ones_like(last), wanted, last, last * wanted)]
+                fold.add(word, np.stack([word, a[first], after[first]]), np.stack(own))
                 if len(fold.keys) > TASK_ENTRIES:
-                    yield fold.take(names)
-        yield fold.take(names)
+                    yield told(fold)
+        yield told(fold)
 
-    counted = docs.select("text", "target").mapInArrow(run, "a long, b long, all long, target long")
-    return counted.groupBy("a", "b").agg(F.sum("all").alias("all"), F.sum("target").alias("target"))
+    schema = ", ".join(f"{c} long" for c in facts + counts)
+    added = [F.max(c).alias(c) for c in facts[1:]] + [F.sum(c).alias(c) for c in counts]
+    return docs.select("text", "target").mapInArrow(run, schema).groupBy("word").agg(*added)
 
 
 def _joined(left: DataFrame, right: DataFrame, on: str, key: str, how: str = "left") -> DataFrame:
@@ -161,36 +140,132 @@ def _joined(left: DataFrame, right: DataFrame, on: str, key: str, how: str = "le
     return left.join(right.hint("shuffle_merge"), F.col(on) == F.col("joined_key"), how).drop("joined_key")
 
 
+def pair_counts(docs: DataFrame, sections: int) -> DataFrame:
+    """(a, b, all, target): bigrams seen ``LEAST_COUNT`` times in all rows; ``target`` counts the target's.
+
+    Tasks hand over each section's bigrams as first words with the number of their followers, the followers
+    and the counts. A section is counted in one task; it holds a bigram once for each time a task lets go.
+    """
+
+    def told(fold: Fold) -> Iterator[pa.RecordBatch]:
+        section, (a, b) = section_of(fold.keys, sections), fold.facts
+        order = np.lexsort((a, section))
+        section, a, b, counts = section[order], a[order], b[order], fold.counts[:, order].T.astype(np.int64)
+        bounds = np.append(np.flatnonzero(np.diff(section, prepend=-1)), len(section))
+        rows = []
+        for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            own = np.flatnonzero(np.diff(a[start:end], prepend=a[start] ^ 1))
+            runs = np.diff(np.append(own, end - start)).astype(np.int32)
+            rows.append((int(section[start]), a[start:end][own].tobytes(), runs.tobytes(), b[start:end].tobytes(), np.ascontiguousarray(counts[start:end].T).tobytes()))
+        fold.__init__(2, 2)
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)], names)
+
+    names = ["section", "firsts", "runs", "seconds", "counts"]
+
+    def run(batches):
+        fold = Fold(2, 2)
+        for batch in batches:
+            for part in slices(batch, "text", COUNT_SLICE):
+                a, b, row = text_pairs(part["text"])
+                wanted = part["target"].to_numpy(zero_copy_only=False).astype(np.int64)
+                key, first, at = np.unique(pair_key(a, b), return_index=True, return_inverse=True)
+                fold.add(key, np.stack([a[first], b[first]]), np.stack([np.bincount(at, minlength=len(key)), np.bincount(at, wanted[row], len(key)).astype(np.int64)]))
+                if len(fold.keys) > TASK_ENTRIES:
+                    yield from told(fold)
+        yield from told(fold)
+
+    def count(packed: pa.Table) -> pa.Table:
+        read = lambda c, t: [np.frombuffer(x, t) for x in packed[c].to_pylist()]
+        a = np.concatenate([np.repeat(x, n) for x, n in zip(read("firsts", np.int64), read("runs", np.int32), strict=True)])
+        b = np.concatenate(read("seconds", np.int64))
+        counts = np.concatenate([x.reshape(2, -1) for x in read("counts", np.int64)], axis=1)
+        key, first, at = np.unique(pair_key(a, b), return_index=True, return_inverse=True)
+        both = [np.bincount(at, c, len(key)).astype(np.int64) for c in counts]
+        keep = both[0] >= LEAST_COUNT
+        return pa.table([a[first][keep], b[first][keep], both[0][keep], both[1][keep]], ["a", "b", "all", "target"])
+
+    packed = docs.select("text", "target").mapInArrow(run, "section int, firsts binary, runs binary, seconds binary, counts binary")
+    return packed.groupBy("section").applyInArrow(count, "a long, b long, all long, target long")
+
+
+def unknown_pairs(seen: DataFrame) -> DataFrame:
+    """The same of bigrams with the unknown word, from the neighbours of the words that are seen once."""
+    rare = seen.where(F.col("all") < LEAST_COUNT)
+    once = rare.select("word", F.lit(True).alias("once"))
+
+    def beside(side: str) -> DataFrame:
+        # Added up by neighbour before the join, so that a neighbour of very many rare words is one row.
+        by = rare.where(F.col(side) != 0).groupBy(F.col(side).alias("other")).agg(F.sum("all").alias("all"), F.sum("target").alias("target"))
+        return _joined(by, once, "other", "word")
+
+    unknown = F.lit(UNKNOWN).cast("long")
+    before = beside("prev").select(F.when(F.col("once"), unknown).otherwise(F.col("other")).alias("a"), unknown.alias("b"), "all", "target")
+    after = beside("next").where(F.col("once").isNull()).select(unknown.alias("a"), F.col("other").alias("b"), "all", "target")
+    found = before.unionByName(after).groupBy("a", "b").agg(F.sum("all").alias("all"), F.sum("target").alias("target"))
+    return found.where(F.col("all") >= LEAST_COUNT)
+
+
+def _packed(words: DataFrame, entries: DataFrame, sections: int) -> DataFrame:
+    """The model's table from (key, values) of words and (a, b, losses) of bigrams."""
+
+    def keyed(batches):
+        for batch in batches:
+            key = pair_key(batch["a"].to_numpy(), batch["b"].to_numpy())
+            both = np.stack([batch["target_loss"].to_numpy(), batch["all_loss"].to_numpy()], axis=1)
+            values = pa.ListArray.from_arrays(pa.array(np.arange(len(key) + 1, dtype=np.int32) * PAIR_VALUES), pa.array(both.ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(key), values], ["key", "values"])
+
+    def pack(rows: pa.Table) -> pa.Table:
+        key, lists = rows["key"].to_numpy(), rows["values"].combine_chunks()
+        flat, starts = lists.flatten().to_numpy(), lists.offsets.to_numpy()[:-1] - lists.offsets[0].as_py()
+        out = [rows["section"][:1].cast(pa.int32())]
+        for odd, width in ((0, PAIR_VALUES), (1, WORD_VALUES)):
+            at = np.flatnonzero((key & 1) == odd)
+            at = at[np.argsort(key[at].view(np.uint64))]
+            out += [pa.array([key[at].tobytes()], pa.binary()), pa.array([flat[starts[at, None] + np.arange(width)].tobytes()], pa.binary())]
+        return pa.table(out, ["section", "pairs", "pair_values", "words", "word_values"])
+
+    plain = entries.where((F.col("a") != UNKNOWN) & (F.col("b") != UNKNOWN)).mapInArrow(keyed, "key long, values array<float>")
+    both = words.where(~F.col("key").isin(UNKNOWN, START)).unionByName(plain)
+    section = F.pmod(F.shiftrightunsigned("key", 1), F.lit(sections)).cast("int")
+    schema = "section int, pairs binary, pair_values binary, words binary, word_values binary"
+    return both.select(section.alias("section"), "key", "values").groupBy("section").applyInArrow(pack, schema)
+
+
 def train(docs: DataFrame, text: str, target: str) -> Model:
     """Both models from ``docs``; rows whose ``target`` is not true are background only."""
-    from touchline.session import materialise
-
     own = docs.select(col(text).alias("text"), F.coalesce(col(target).cast("boolean"), F.lit(False)).alias("target"))
-    common = materialise(word_counts(own).where(F.col("n") >= LEAST_COUNT).select("word"))
-    size = common.count() + 2
-    counts = pair_counts(own)
-    for side in ("a", "b"):
-        known = common.select("word", F.lit(True).alias("known"))
-        counts = _joined(counts, known, side, "word")
-        counts = counts.withColumn(side, F.when(F.col("known") | (F.col(side) == START), F.col(side)).otherwise(F.lit(UNKNOWN).cast("long"))).drop("known")
-    counts = materialise(counts.groupBy("a", "b").agg(F.sum("all").alias("all"), F.sum("target").alias("target")))
     sides = ("target", "all")
-    n = counts.agg(*(F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in sides)).first()
-    firsts = counts.groupBy("a").agg(*(F.greatest(F.sum(m), F.lit(1)).alias(f"first_{m}") for m in sides))
-    seconds = counts.groupBy("b").agg(*(F.sum(m).alias(f"second_{m}") for m in sides))
-    entries = _joined(counts.where((F.col("all") >= LEAST_COUNT) | (F.col("target") >= LEAST_COUNT)), firsts, "a", "a", "inner")
+    seen = materialise(word_counts(own))
+    n = seen.agg(*(F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in sides), F.count_if(F.col("all") >= LEAST_COUNT).alias("known")).first()
+    size, sections = n["known"] + 2, max(1, math.ceil(n["all"] / SECTION_TOKENS))
+    known = materialise(pair_counts(own, sections))
+    counts = known.unionByName(unknown_pairs(seen))
+
+    def stated(rows: DataFrame, key: int, first: str, second: str) -> DataFrame:
+        """One row, of a symbol that is no word: sums over ``rows``."""
+        told = [F.coalesce(F.sum(F.expr(e.replace("?", m))), F.lit(0)).alias(f"{c}_{m}") for c, e in (("first", first), ("second", second)) for m in sides]
+        return rows.agg(*told).select(F.lit(key).cast("long").alias("key"), *(f"{c}_{m}" for c in ("first", "second") for m in sides))
+
+    words = seen.where(F.col("all") >= LEAST_COUNT).select(
+        F.col("word").alias("key"), *((F.col(m) - F.col(f"end_{m}")).alias(f"first_{m}") for m in sides), *(F.col(m).alias(f"second_{m}") for m in sides)
+    )
+    words = words.unionByName(stated(seen.where(F.col("all") < LEAST_COUNT), UNKNOWN, "`?` - `end_?`", "`?`"))
+    words = words.unionByName(stated(seen, START, "`end_?`", "0"))
+    mass = counts.groupBy("a").agg(*(F.sum(F.greatest(F.col(m) - DISCOUNT, F.lit(0.0))).alias(f"mass_{m}") for m in sides))
+    first = {m: F.greatest(f"first_{m}", F.lit(1)) for m in sides}
+    left = [F.greatest(1 - F.coalesce(f"mass_{m}", F.lit(0.0)) / first[m], F.lit(1e-9)).alias(f"left_{m}") for m in sides]
+    chance = [((F.col(f"second_{m}") + 1) / float(n[m] + size)).alias(f"chance_{m}") for m in sides]
+    words = materialise(_joined(words, mass, "key", "a").select("key", *(first[m].alias(f"first_{m}") for m in sides), *left, *chance))
+
+    told = _joined(counts, words.select("key", *(f"{c}_{m}" for c in ("first", "left") for m in sides)), "a", "key", "inner")
     direct = [(F.greatest(F.col(m) - DISCOUNT, F.lit(0.0)) / F.col(f"first_{m}")).alias(f"direct_{m}") for m in sides]
-    entries = materialise(entries.select("a", "b", *direct))
-    lefts = entries.groupBy("a").agg(*(F.greatest(1 - F.sum(f"direct_{m}"), F.lit(1e-9)).alias(f"left_{m}") for m in sides))
-    words = common.select(F.col("word").alias("key")).unionByName(docs.sparkSession.createDataFrame([(UNKNOWN,), (START,)], "key long"))
-    words = _joined(_joined(words, lefts, "key", "a"), seconds, "key", "b")
-    left = [F.coalesce(f"left_{m}", F.lit(1.0)).alias(f"left_{m}") for m in sides]
-    chance = [((F.coalesce(f"second_{m}", F.lit(0)) + 1) / float(n[m] + size)).alias(f"chance_{m}") for m in sides]
-    words = materialise(words.select("key", *left, *chance))
-    told = _joined(entries, words.select("key", *(f"left_{m}" for m in sides)), "a", "key", "inner")
+    told = told.select("a", "b", *direct, *(f"left_{m}" for m in sides))
     told = _joined(told, words.select("key", *(f"chance_{m}" for m in sides)), "b", "key", "inner")
     loss = [(-F.log(F.col(f"direct_{m}") + F.col(f"left_{m}") * F.col(f"chance_{m}"))).cast("float").alias(f"{m}_loss") for m in sides]
     entries = materialise(told.select("a", "b", *loss))
+    drop_tables(seen, known)
 
     after = entries.where(F.col("b") == UNKNOWN).select("a", *(F.col(f"{m}_loss").alias(f"after_{m}") for m in sides))
     before = entries.where(F.col("a") == UNKNOWN).select("b", *(F.col(f"{m}_loss").alias(f"before_{m}") for m in sides))
@@ -198,16 +273,10 @@ def train(docs: DataFrame, text: str, target: str) -> Model:
     values = [-F.log(f"{c}_{m}") for c in ("left", "chance") for m in sides]
     values += [F.coalesce(f"{c}_{m}", F.lit(float("nan"))) for c in ("after", "before") for m in sides]
     full = full.select("key", F.array(*(v.cast("float") for v in values)).alias("values"))
-
-    def keyed(batches):
-        for batch in batches:
-            key = pair_key(batch["a"].to_numpy(), batch["b"].to_numpy())
-            both = np.stack([batch["target_loss"].to_numpy(), batch["all_loss"].to_numpy()], axis=1)
-            values = pa.ListArray.from_arrays(pa.array(np.arange(len(key) + 1, dtype=np.int32) * 2), pa.array(both.ravel()))
-            yield pa.RecordBatch.from_arrays([pa.array(key), values], ["key", "values"])
-
-    plain = entries.where((F.col("a") != UNKNOWN) & (F.col("b") != UNKNOWN)).mapInArrow(keyed, "key long, values array<float>")
-    return Model(materialise(full.unionByName(plain)), words, entries)
+    fixed = {r["key"]: r["values"] for r in full.where(F.col("key").isin(UNKNOWN, START)).collect()}
+    table = materialise(_packed(full, entries, sections))
+    drop_tables(words, entries)
+    return Model(table, sections, n["all"], fixed)
 
 
 def losses(texts: pa.Array, keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -238,47 +307,90 @@ def score(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "te
     """(doc_id, n_tokens, target_loss, background_loss, score) of every row; ``score`` is the difference.
 
     Null texts and texts without a word have no tokens and score 0; ids may be null or repeat; other
-    columns are not read. Without target rows the target model knows only the vocabulary.
+    columns are not read. Without target rows the target model knows only the vocabulary. Equal rows
+    are dealt to slices by their place in the table. The rows are written when this is called.
     """
-    id_type = docs.schema[doc_id].dataType.simpleString()
-    schema = f"doc_id {id_type}, n_tokens long, target_loss double, background_loss double, score double"
     own = docs.select(col(doc_id).alias("doc_id"), col(text).alias("text"))
-    n = max(1, math.ceil((own.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / SCORE_BYTES))
-    dealt = own.withColumn("slice", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int")).repartition(n, "slice")
+    size = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    out = [materialise(_score_part(own, model, part, size)) for part in range(ROUNDS)]
+    for one in out[1:]:
+        out[0] = out[0].unionByName(one)
+    return out[0]
+
+
+def _score_part(own: DataFrame, model: Model, part: int, size: int) -> DataFrame:
+    """Scores of the rows of one part; ``size`` is the text of all in bytes."""
+    id_type = own.schema["doc_id"].dataType.simpleString()
+    schema = f"doc_id {id_type}, n_tokens long, target_loss double, background_loss double, score double"
+    n = max(1, math.ceil(size / ROUNDS / SCORE_BYTES))
+    # Questions of so many slices meet one copy of a section: copies grow with the documents over the corpus of the model.
+    copies = max(1, math.ceil(size / 4 / max(model.tokens, SECTION_TOKENS)))
+    sections, fixed = model.sections, model.fixed
+    mine = own.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(ROUNDS)) == part)
+    row = F.monotonically_increasing_id()
+    dealt = mine.withColumn("slice", F.pmod(F.xxhash64("doc_id", "text", row), F.lit(n)).cast("int")).repartition("slice")
 
     def ask(batches):
         asked: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for part in slices(batch, "text"):
-                a, b, row = text_pairs(part["text"])
-                to = part["slice"].to_numpy()[row]
-                for s in np.unique(to).tolist():
-                    x, y = a[to == s], b[to == s]
-                    asked[s] = np.unique(np.concatenate((asked.get(s, y[:0]), y, pair_key(x, y))))
-        for s, keys in asked.items():
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), s, np.int32)), pa.array(keys)], ["slice", "asked"])
 
-    asked = dealt.select("slice", "text").mapInArrow(ask, "slice int, asked long")
-    answers = asked.join(model.table.hint("shuffle_merge"), F.col("asked") == F.col("key")).select("slice", "key", "values")
-    fixed = {r["key"]: r["values"] for r in model.table.where(F.col("key").isin(UNKNOWN, START)).collect()}
+        def told():
+            for s, keys in asked.items():
+                rows = list(sectioned(section_of(keys, sections), keys))
+                columns = [pa.array([x for x, _ in rows], pa.int32()), pa.array([s % copies] * len(rows), pa.int32()), pa.array([s] * len(rows), pa.int32())]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array([x for _, x in rows], pa.binary())], ["section", "copy", "slice", "asked"])
+            asked.clear()
+
+        for batch in batches:
+            for piece in slices(batch, "text"):
+                a, b, row = text_pairs(piece["text"])
+                pair, to = pair_key(a, b), piece["slice"].to_numpy()[row]
+                order = np.argsort(to, kind="stable")
+                bounds = np.append(np.flatnonzero(np.diff(to[order], prepend=-1)), len(order))
+                for start, end in zip(bounds[:-1], bounds[1:], strict=True):
+                    at = order[start:end]
+                    s = int(to[at[0]])
+                    asked[s] = np.unique(np.concatenate((asked.get(s, b[:0]), b[at], pair[at])))
+            if sum(map(len, asked.values())) > ASK_KEYS:
+                yield from told()
+        yield from told()
+
+    def answer(questions: pa.Table, held: pa.Table) -> pa.Table:
+        parts = {c: np.frombuffer(b"".join(held[c].to_pylist()), t) for c, t in (("pairs", np.uint64), ("pair_values", np.float32), ("words", np.uint64), ("word_values", np.float32))}
+        rows = []
+        for s, packed in zip(questions["slice"].to_pylist(), questions["asked"].to_pylist(), strict=True):
+            keys, found = np.frombuffer(packed, np.uint64), [s]
+            for odd, name, width in ((0, "pair", PAIR_VALUES), (1, "word", WORD_VALUES)):
+                wanted, there = keys[(keys & np.uint64(1)) == odd], parts[f"{name}s"]
+                at = np.searchsorted(there, wanted)
+                hit = at < len(there)
+                hit[hit] = there[at[hit]] == wanted[hit]
+                found += [wanted[hit].tobytes(), parts[f"{name}_values"].reshape(-1, width)[at[hit]].tobytes()]
+            rows.append(found)
+        columns = zip(*rows, strict=True) if rows else [[]] * 5
+        return pa.table([pa.array(x, t) for x, t in zip(columns, (pa.int32(), *[pa.binary()] * 4), strict=True)], ["slice", "pairs", "pair_values", "words", "word_values"])
 
     def told(texts: pa.Table, found: pa.Table) -> pa.Table:
-        keys = np.concatenate((found["key"].to_numpy(), list(fixed))).astype(np.int64)
-        lists = found["values"].combine_chunks()
-        many = np.concatenate((pc.list_value_length(lists).to_numpy(zero_copy_only=False), [8] * len(fixed))).astype(np.int64)
-        flat = np.concatenate((lists.flatten().to_numpy(zero_copy_only=False), *fixed.values())).astype(np.float32)
-        values = np.full((len(keys), 8), np.nan, np.float32)
-        values[np.arange(8) < many[:, None]] = flat
-        order = np.argsort(keys)
-        keys, values, out = keys[order], values[order], []
+        read = lambda c, t: np.frombuffer(b"".join(found[c].to_pylist()), t)
+        keys = np.concatenate((read("pairs", np.int64), read("words", np.int64), np.array(list(fixed), np.int64)))
+        values, pairs = np.full((len(keys), WORD_VALUES), np.nan, np.float32), len(read("pairs", np.int64))
+        values[:pairs, :PAIR_VALUES] = read("pair_values", np.float32).reshape(-1, PAIR_VALUES)
+        values[pairs:] = np.concatenate((read("word_values", np.float32), np.ravel(list(fixed.values())))).reshape(-1, WORD_VALUES)
+        # A task may ask for a slice more than once.
+        keys, first = np.unique(keys, return_index=True)
+        values, out = values[first], []
         for batch in texts.to_batches():
-            for part in slices(batch, "text"):
-                (target, background), n = losses(part["text"], keys, values)
+            for piece in slices(batch, "text"):
+                (target, background), tokens_in = losses(piece["text"], keys, values)
                 out.append(pa.RecordBatch.from_arrays(
-                    [part["doc_id"], *map(pa.array, (n.astype(np.int64), target, background, target - background))],
+                    [piece["doc_id"], *map(pa.array, (tokens_in.astype(np.int64), target, background, target - background))],
                     ["doc_id", "n_tokens", "target_loss", "background_loss", "score"],
                 ))
         none = pa.schema([("doc_id", texts.schema.field("doc_id").type), ("n_tokens", pa.int64()), *((c, pa.float64()) for c in ("target_loss", "background_loss", "score"))])
         return pa.Table.from_batches(out, out[0].schema if out else none)
 
+    # All columns go to both sides, so that the texts are dealt once.
+    asked = dealt.mapInArrow(ask, "section int, copy int, slice int, asked binary")
+    held = model.table.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    answers = asked.groupBy("section", "copy").cogroup(held.groupBy("section", "copy"))
+    answers = answers.applyInArrow(answer, "slice int, pairs binary, pair_values binary, words binary, word_values binary")
     return dealt.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(told, schema)
