@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from touchline.llm import xent
@@ -155,3 +156,10 @@ def test_equal_rows_are_dealt_to_slices(spark, monkeypatch):
     docs = frame(spark, rows).selectExpr("*", "doc_id = 1 as good")
     got = xent.score(docs, xent.train(docs, "text", "good")).groupBy("doc_id", "n_tokens").count().collect()
     assert sorted((r["n_tokens"], r["count"]) for r in got) == [(2, 1), (6, 3000)]
+
+
+def test_tokens_of_columns_are_those_of_words():
+    texts = ["_a_ \x01b\x02 ÀB c- (d) ' '' E.F \x1c\x1c x\x00 İ ﬁ A1_ a__b __ é. .É", "", None, *[r[1] for r in ODD]]
+    hashes, row = xent.tokens(pa.array(texts, pa.string()))
+    assert hashes.tolist() == [h for t in texts for h in toks(t)]
+    assert row.tolist() == [i for i, t in enumerate(texts) for _ in toks(t)]

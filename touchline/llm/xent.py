@@ -25,19 +25,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from touchline.session import drop_tables, materialise
 
-from .batches import sectioned, slices, sums
-from .decontam import tokens
+from .batches import sectioned, slices, sums, words
+from .decontam import token_hash
 from .tables import col
 
 #: Holds at every size; that a word below it stands in one place is used.
 LEAST_COUNT = 2
 DISCOUNT = 0.5
-COUNT_SLICE, TASK_ENTRIES = 8 << 20, 1_500_000
+COUNT_SLICE, TASK_ENTRIES = 4 << 20, 2_000_000
 #: Tokens of the corpus for each section of bigrams, and keys that a task asks at once.
 SECTION_TOKENS, ASK_KEYS = 2_000_000, 3_000_000
 #: Text of a slice of documents that is scored together, and the parts of the slices.
@@ -71,20 +73,49 @@ def section_of(keys: np.ndarray, sections: int) -> np.ndarray:
 class Fold:
     """Sums by key, in bounded memory; ``about`` holds numbers that go with a key."""
 
-    def __init__(self, about: int, width: int):
-        self.about, self.width, self.keys = about, width, np.zeros(0, np.int64)
-        self.facts, self.counts = np.zeros((about, 0), np.int64), np.zeros((width, 0), np.int64)
+    def __init__(self):
+        self.size, self.parts = 0, []
 
-    def add(self, keys: np.ndarray, facts: np.ndarray, counts: np.ndarray) -> None:
-        facts, counts = np.concatenate((self.facts, facts), axis=1), np.concatenate((self.counts, counts), axis=1)
-        self.keys, first, at = np.unique(np.concatenate((self.keys, keys)), return_index=True, return_inverse=True)
-        self.facts = facts[:, first]
-        self.counts = np.stack([np.bincount(at, c, len(self.keys)).astype(np.int64) for c in counts])
+    def add(self, keys: np.ndarray, facts: list[np.ndarray], counts: list[np.ndarray]) -> None:
+        self.size += len(keys)
+        if len(keys):
+            self.parts.append((keys, *facts, *counts))
 
-    def take(self, names: list[str]) -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays([*map(pa.array, self.facts if self.about else [self.keys]), *map(pa.array, self.counts)], names)
-        self.__init__(self.about, self.width)
-        return out
+    def take(self, about: int) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
+        """Different keys in order, their first facts and the sums of their counts."""
+        keys, *rest = map(np.concatenate, zip(*self.parts, strict=True))
+        self.__init__()
+        order = np.argsort(keys)
+        keys = keys[order]
+        first = np.flatnonzero(differs(keys))
+        sums_of = [np.add.reduceat(c[order], first, dtype=np.int64) for c in rest[about:]]
+        return keys[first], [f[order[first]] for f in rest[:about]], sums_of
+
+
+def differs(values: np.ndarray) -> np.ndarray:
+    """Whether each value is not the one before it; the first is not."""
+    return np.concatenate((np.ones(min(1, len(values)), bool), values[1:] != values[:-1]))
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[differs(values)]
+
+
+_SIGNS = "".join(map(chr, [c for c in range(128) if not chr(c).isalnum()]))
+
+
+def tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Token hashes of all texts in a row, and the text of each; ``token_hash`` over columns where words are ASCII."""
+    codes, vocab, offsets = words(texts)
+    plain = pc.if_else(pc.string_is_ascii(vocab), pc.ascii_lower(pc.ascii_trim(vocab, _SIGNS)), pa.scalar("", pa.string())).dictionary_encode()
+    own = np.fromiter((xxhash.xxh64_intdigest(w) | 1 if w else 0 for w in plain.dictionary.cast(pa.binary()).to_pylist()), np.uint64, len(plain.dictionary))
+    own = own[plain.indices.to_numpy()] if len(vocab) else np.zeros(0, np.uint64)
+    other = np.flatnonzero(~pc.string_is_ascii(vocab).to_numpy(zero_copy_only=False))
+    own[other] = np.fromiter(map(token_hash, vocab.take(pa.array(other)).to_pylist()), np.uint64, len(other))
+    hashes = own[codes] if len(own) else own
+    row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    return hashes[hashes != 0], row[hashes != 0]
 
 
 def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -111,23 +142,27 @@ def word_counts(docs: DataFrame) -> DataFrame:
     facts, counts = ["word", "prev", "next"], ["all", "target", "end_all", "end_target"]
 
     def told(fold: Fold) -> pa.RecordBatch:
-        fold.facts[1:, fold.counts[0] > 1] = 0
-        return fold.take(facts + counts)
+        word, beside, sums_of = fold.take(2)
+        alone = sums_of[0] == 1
+        return pa.RecordBatch.from_arrays([*map(pa.array, (word, *(x * alone for x in beside), *sums_of))], facts + counts)
 
     def run(batches):
-        fold = Fold(3, 4)
+        fold = Fold()
         for batch in batches:
             for part in slices(batch, "text", COUNT_SLICE):
                 a, b, row = text_pairs(part["text"])
-                wanted = part["target"].to_numpy(zero_copy_only=False).astype(np.int64)[row]
-                last = (np.diff(row, append=-1) != 0).astype(np.int64)
+                wanted = part["target"].to_numpy(zero_copy_only=False)[row]
+                last = np.diff(row, append=-1) != 0
                 after = np.where(last, 0, np.append(b[1:], 0)[: len(b)])
-                word, first, at = np.unique(b, return_index=True, return_inverse=True)
-                own = [np.bincount(at, x, len(word)).astype(np.int64) for x in (np.ones_like(last), wanted, last, last * wanted)]
-                fold.add(word, np.stack([word, a[first], after[first]]), np.stack(own))
-                if len(fold.keys) > TASK_ENTRIES:
+                if not len(b):
+                    continue
+                one = Fold()
+                one.add(b, [a, after], [np.ones(len(b), np.int32), wanted, last, last & wanted])
+                fold.add(*one.take(2))
+                if fold.size > TASK_ENTRIES:
                     yield told(fold)
-        yield told(fold)
+        if fold.size:
+            yield told(fold)
 
     schema = ", ".join(f"{c} long" for c in facts + counts)
     added = [F.max(c).alias(c) for c in facts[1:]] + [F.sum(c).alias(c) for c in counts]
@@ -148,42 +183,42 @@ def pair_counts(docs: DataFrame, sections: int) -> DataFrame:
     """
 
     def told(fold: Fold) -> Iterator[pa.RecordBatch]:
-        section, (a, b) = section_of(fold.keys, sections), fold.facts
-        order = np.lexsort((a, section))
-        section, a, b, counts = section[order], a[order], b[order], fold.counts[:, order].T.astype(np.int64)
+        key, (a, b), counts = fold.take(2)
+        section = section_of(key, sections)
+        # By section, then by the upper half of the first word: runs of one first word are long enough.
+        order = np.argsort(section.view(np.uint64) << np.uint64(32) | a.view(np.uint64) >> np.uint64(32))
+        section, a, b, counts = section[order], a[order], b[order], np.stack(counts)[:, order]
         bounds = np.append(np.flatnonzero(np.diff(section, prepend=-1)), len(section))
         rows = []
         for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-            own = np.flatnonzero(np.diff(a[start:end], prepend=a[start] ^ 1))
+            own = np.flatnonzero(differs(a[start:end]))
             runs = np.diff(np.append(own, end - start)).astype(np.int32)
-            rows.append((int(section[start]), a[start:end][own].tobytes(), runs.tobytes(), b[start:end].tobytes(), np.ascontiguousarray(counts[start:end].T).tobytes()))
-        fold.__init__(2, 2)
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)], names)
+            rows.append((int(section[start]), a[start:end][own].tobytes(), runs.tobytes(), b[start:end].tobytes(), np.ascontiguousarray(counts[:, start:end]).tobytes()))
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)], names)
 
     names = ["section", "firsts", "runs", "seconds", "counts"]
 
     def run(batches):
-        fold = Fold(2, 2)
+        fold = Fold()
         for batch in batches:
             for part in slices(batch, "text", COUNT_SLICE):
                 a, b, row = text_pairs(part["text"])
-                wanted = part["target"].to_numpy(zero_copy_only=False).astype(np.int64)
-                key, first, at = np.unique(pair_key(a, b), return_index=True, return_inverse=True)
-                fold.add(key, np.stack([a[first], b[first]]), np.stack([np.bincount(at, minlength=len(key)), np.bincount(at, wanted[row], len(key)).astype(np.int64)]))
-                if len(fold.keys) > TASK_ENTRIES:
+                fold.add(pair_key(a, b), [a, b], [np.ones(len(b), np.int32), part["target"].to_numpy(zero_copy_only=False)[row]])
+                if fold.size > TASK_ENTRIES:
                     yield from told(fold)
-        yield from told(fold)
+        if fold.size:
+            yield from told(fold)
 
     def count(packed: pa.Table) -> pa.Table:
         read = lambda c, t: [np.frombuffer(x, t) for x in packed[c].to_pylist()]
         a = np.concatenate([np.repeat(x, n) for x, n in zip(read("firsts", np.int64), read("runs", np.int32), strict=True)])
         b = np.concatenate(read("seconds", np.int64))
         counts = np.concatenate([x.reshape(2, -1) for x in read("counts", np.int64)], axis=1)
-        key, first, at = np.unique(pair_key(a, b), return_index=True, return_inverse=True)
-        both = [np.bincount(at, c, len(key)).astype(np.int64) for c in counts]
-        keep = both[0] >= LEAST_COUNT
-        return pa.table([a[first][keep], b[first][keep], both[0][keep], both[1][keep]], ["a", "b", "all", "target"])
+        fold = Fold()
+        fold.add(pair_key(a, b), [a, b], list(counts))
+        _, (a, b), (every, target) = fold.take(2)
+        keep = every >= LEAST_COUNT
+        return pa.table([a[keep], b[keep], every[keep], target[keep]], ["a", "b", "all", "target"])
 
     packed = docs.select("text", "target").mapInArrow(run, "section int, firsts binary, runs binary, seconds binary, counts binary")
     return packed.groupBy("section").applyInArrow(count, "a long, b long, all long, target long")
@@ -288,11 +323,16 @@ def losses(texts: pa.Array, keys: np.ndarray, values: np.ndarray) -> tuple[np.nd
     a, b, row = text_pairs(texts)
 
     def place(wanted, default):
-        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        # In order, so that the search stays where it was.
+        order = np.argsort(wanted)
+        at = np.empty(len(wanted), np.int64)
+        at[order] = np.minimum(np.searchsorted(keys, wanted[order]), len(keys) - 1)
         return np.where(keys[at] == wanted, at, default)
 
-    unknown = int(np.searchsorted(keys, UNKNOWN))
-    pair, a, b = place(pair_key(a, b), -1), place(a, unknown), place(b, unknown)
+    unknown, start = (int(np.searchsorted(keys, k)) for k in (UNKNOWN, START))
+    pair, begins = place(pair_key(a, b), -1), a == START
+    b = place(b, unknown)
+    a = np.where(begins, start, np.concatenate(([start], b[:-1]))[: len(b)])
     offsets = np.searchsorted(row, np.arange(len(texts) + 1))
     n = np.diff(offsets)
     out = np.zeros((2, len(n)))
@@ -349,7 +389,7 @@ def _score_part(own: DataFrame, model: Model, part: int, size: int) -> DataFrame
                 for start, end in zip(bounds[:-1], bounds[1:], strict=True):
                     at = order[start:end]
                     s = int(to[at[0]])
-                    asked[s] = np.unique(np.concatenate((asked.get(s, b[:0]), b[at], pair[at])))
+                    asked[s] = distinct(np.concatenate((asked.get(s, b[:0]), distinct(b[at]), pair[at])))
             if sum(map(len, asked.values())) > ASK_KEYS:
                 yield from told()
         yield from told()
@@ -376,8 +416,9 @@ def _score_part(own: DataFrame, model: Model, part: int, size: int) -> DataFrame
         values[:pairs, :PAIR_VALUES] = read("pair_values", np.float32).reshape(-1, PAIR_VALUES)
         values[pairs:] = np.concatenate((read("word_values", np.float32), np.ravel(list(fixed.values())))).reshape(-1, WORD_VALUES)
         # A task may ask for a slice more than once.
-        keys, first = np.unique(keys, return_index=True)
-        values, out = values[first], []
+        order = np.argsort(keys)
+        order = order[differs(keys[order])]
+        keys, values, out = keys[order], values[order], []
         for batch in texts.to_batches():
             for piece in slices(batch, "text"):
                 (target, background), tokens_in = losses(piece["text"], keys, values)
