@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -182,3 +183,29 @@ def test_records(spark):
     assert out[0] == {"match_date": "2025-09-01", "HomeElo": 1500.0, "OddHome": None}
     nan = records.to_payload(spark.createDataFrame([(float("nan"),)], "x double")).first()[0]
     assert json.loads(nan) == {"x": None}
+
+
+PIECES = (
+    "<table id='stats_a_summary'>|<TABLE ID=stats_b_keeper class=x>|</table>|<tr>|</tr>|<td>|<td>t &amp;</td>|<td rowspan=2>u</td >|<td colspan=2>|</td>|"
+    "<th COLSPAN=2/>|<thead>|</thead>|a|&nope|&#x27;|x < y|>|<br/>|<b>|</b>|<p class='a>b'>|<div|<!DOCTYPE html>|<!-- x -->|<script>v='<td>' < 3;</script>|"
+    "<script/>|<style>|<title>t<td></title>|</>|<td a=b/>|<td a='1'b='2'>|<td id=1 colspan=1 colspan=3>|</table|&|<td colspan='&#50;'>"
+).split("|")
+
+
+def test_pages_read_by_tags_equal_pages_read_by_the_parser(monkeypatch):
+    rng, fed = random.Random(5), []
+    told = lambda tables: [(t.id, t.number, t.header, t.rows) for t in tables]
+    for _ in range(2000):
+        html = "<table id='stats_q_summary'>" + "".join(rng.choice(PIECES) for _ in range(rng.randrange(1, 30)))
+        whole = pages._TableReader()
+        whole.feed(html)
+        whole.close()
+        while whole.open:
+            whole.handle_endtag("table")
+        assert told(pages._read_tables(html)) == told(sorted(whole.done, key=lambda t: t.number)), html
+    # A page of plain tags costs the parser nothing; it reads the odd ones alone.
+    monkeypatch.setattr(pages._TableReader, "feed", lambda self, text: fed.append(text))
+    page = "<p>x</p><table id='stats_a_summary'><tr><td class=\"x\">1 <b>2</b></td><td>&lt;</td></tr></table>"
+    assert pages._read_tables(page)[0].rows == [["1 2", "<"]] and not fed
+    pages._read_tables("<!DOCTYPE html>" + page)
+    assert fed == ["<!DOCTYPE html>"]
