@@ -257,6 +257,26 @@ def test_candidates_equal_all_pairs(spark, share):
     assert found == sorted(wanted)
 
 
+def test_candidates_in_sections_and_blocks(spark, monkeypatch):
+    """Names that share all but a few letters: prefixes out of reach are left, and no row stands for a pair of names."""
+    right = [f"Supplier{i:04d}" for i in range(0, 3000, 7)] + ["Süpplier0001", "s"]
+    left = [f"United Supplier{i:04d}" for i in range(0, 3000, 211)] + ["Sup lier0014", "ss", "Supplier0014"]
+    frames = [spark.createDataFrame([(x,) for x in xs], "team_name string") for xs in (left, right)]
+    once = sorted(tuple(r) for r in names.name_candidates(*frames).collect())
+    monkeypatch.setattr(names, "SECTION_NAMES", 100)
+    monkeypatch.setattr(names, "BLOCK_NAMES", 4)
+    cut = names.name_candidates(*frames)
+    assert sorted(tuple(r) for r in cut.collect()) == once
+    norm = lambda s: s.lower().replace("ü", "u")
+    for a in left[:-1]:
+        near = sorted((_edits(norm(a), norm(r)), r) for r in right)
+        near = [p for p in near if p[0] <= int(len(a) * 0.4)][:5]
+        assert [(r, d) for x, _, _, r, d in once if x == a] == [(r, d) for d, r in near]
+    levels, _, _ = names._prefixes(sorted(map(norm, right)))
+    grown = names._edits_within("united supplier0014", 8, levels)
+    assert sum(int((t <= 8).sum()) for t in grown) < sum(len(letters) for letters, _ in levels) / 2
+
+
 def test_names_without_a_key_pair_with_none(spark):
     both = spark.createDataFrame([("FC",), ("AC",), ("Ajax FC",)], "team_name string")
     assert [r[0] for r in names.name_auto_map(both, both).collect()] == ["Ajax FC"]
