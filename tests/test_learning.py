@@ -238,3 +238,8 @@ def test_reliability_bins(spark):
     df = spark.createDataFrame(rows, "split string, y_outcome string, p_A double, p_D double, p_H double")
     bins = evaluate.reliability(df).orderBy("bin").collect()
     assert len(bins) == 10 and sum(b["n_rows"] for b in bins) == 100
+
+
+def test_the_counts_of_a_pass_fit_beside_the_other_tasks():
+    """Four tasks of an executor of 10 GB hold them outside the managed 60 %, and once more for their shuffle."""
+    assert 2 * 4 * learn.NODE_MEMORY <= 0.4 * 10_240
