@@ -1,5 +1,7 @@
 """Every registered query: same rows and types as its SQL, and a plan without all-pairs joins."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -48,6 +50,12 @@ def test_lines_are_numbered_and_paired_in_one_shuffle(spark, tiny):
     assert plan.count("hashpartitioning(l_orderkey") == 1
 
 
+@pytest.mark.parametrize("name", ["match_map", "match_review", "review_rows"])
+def test_candidates_are_dealt_by_report_once(spark, tiny, name):
+    plan = plan_of(spark, tiny, name)
+    assert len(re.findall(r"Exchange hashpartitioning\(match_url", plan)) == (2 if name == "review_rows" else 1)  # its join has two sides
+
+
 def test_every_line_is_accounted_for(spark, tiny):
     used = {r["use"]: r["n_lines"] for r in REGISTRY["line_usage"](spark, tiny).collect()}
     assert sum(used.values()) == spark.read.parquet(f"{tiny}/lineitem.parquet").count()

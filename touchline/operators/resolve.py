@@ -89,12 +89,13 @@ def match_candidates(mapped: DataFrame, matches: DataFrame, days: int = 1) -> Da
 def best_candidates(candidates: DataFrame) -> DataFrame:
     """One row per report and match: best priority, then smallest distance.
 
-    A plain minimum over a struct, so repeats are folded before the shuffle.
+    A plain minimum over a struct. Rows are dealt by report, once: what follows by report and match,
+    or by report, needs no other shuffle of these wide rows.
     """
     keys = ["match_url", "cfmd_match_id"]
     ranked = ["priority_flag", "days_diff"]
     rest = [c for c in candidates.columns if c not in (*keys, *ranked)]
-    best = candidates.groupBy(*keys).agg(F.min(F.struct(*ranked, *rest)).alias("best"))
+    best = candidates.repartition("match_url").groupBy(*keys).agg(F.min(F.struct(*ranked, *rest)).alias("best"))
     return best.select(*keys, "best.*").select(*candidates.columns)
 
 
