@@ -179,6 +179,15 @@ def test_leakage_rules():
     assert "shot_acc_home" not in prep.leakage_columns(columns, "tuned", keep_shot_accuracy=True)
 
 
+def test_aligned_numbers_are_not_read_from_text(spark):
+    df = spark.createDataFrame([(1.5, 3, "2.5", float("nan"))], "HomeElo double, Form3Home bigint, AwayElo string, OddHome double")
+    out = prep.align_coerce(df.select("HomeElo", "Form3Home", "OddHome"), prep.FIXTURE_SCHEMA)
+    assert "as string" not in out._jdf.queryExecution().optimizedPlan().toString()
+    row = prep.align_coerce(df, prep.FIXTURE_SCHEMA).first()
+    assert (row["HomeElo"], row["Form3Home"], row["AwayElo"]) == (1.5, 3.0, 2.5) and row["OddHome"] != row["OddHome"]
+
+
+
 def test_alignment(spark):
     df = spark.createDataFrame([("20250901", "1500", "x")], "match_date string, HomeElo string, OddHome string")
     zero = prep.align_zero(df, prep.FIXTURE_SCHEMA).first()
