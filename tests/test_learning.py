@@ -243,3 +243,22 @@ def test_reliability_bins(spark):
 def test_the_counts_of_a_pass_fit_beside_the_other_tasks():
     """Four tasks of an executor of 10 GB hold them outside the managed 60 %, and once more for their shuffle."""
     assert 2 * 4 * learn.NODE_MEMORY <= 0.4 * 10_240
+
+
+def test_report_scores_rows_once(spark):
+    """Rows of a report come from a model, so however many figures are taken of them, they are scored once."""
+    scored = spark.sparkContext.accumulator(0)
+
+    def model(batches):
+        for batch in batches:
+            scored.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(60, numPartitions=2).selectExpr(
+        "'test' as split", "element_at(array('H', 'D', 'A'), cast(id % 3 as int) + 1) as y_outcome",
+        "0.2 + id / 200.0D as p_H", "0.3D as p_D", "0.5 - id / 200.0D as p_A", "id as match_no",
+    )
+    rows = rows.mapInArrow(model, rows.schema)
+    told = {name: figures.collect() for name, figures in training.report(rows).items()}
+    assert scored.value == 60
+    assert sum(r["n_rows"] for r in told["scores"]) == 60 and len(told["confusion"]) == 3
