@@ -36,6 +36,8 @@ SHARE, LEAST_COUNT = 0.1, 2
 #: Below this share of known n-grams a text is rejected by ``keep_identified``.
 LEAST_KNOWN = 0.1
 TASK_GRAMS, PENDING = 2_000_000, 8
+#: Bytes of text that are read as words at a time; a worker's peak grows with it, its time does not fall.
+TEXT_SLICE = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -112,7 +114,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
             held.clear()
 
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TEXT_SLICE):
                 codes, vocab, offsets = words(part["text"])
                 gram, owner = grams(letters_only(vocab))
                 lang = part["lang"].dictionary_encode()
@@ -203,7 +205,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", doc_id: str = "d
     def run(batches):
         model, fill = shared.value
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TEXT_SLICE):
                 if model.languages:
                     names, score, known = decide(part["text"], model, fill)
                 else:
@@ -222,7 +224,7 @@ def keep_identified(docs: DataFrame, model: Model, text: str = "text", least_kno
     def run(batches):
         model, fill = shared.value
         for batch in batches:
-            for part in slices(batch, body):
+            for part in slices(batch, body, TEXT_SLICE):
                 if model.languages:
                     told, _, known = decide(part[body], model, fill)
                     yield part.filter(pa.array((np.array(told, dtype=object) != UNKNOWN) & (known >= least_known)))
