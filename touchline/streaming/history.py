@@ -7,9 +7,9 @@ time. A row older than the state knows is told ``late``: its history ends at wha
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,37 +27,53 @@ PLACE = "slot long, division_key string, opponent_key string, match_id long, sid
 HELD = f"{PLACE}, goals_for int, goals_against int, points int, elo double, day int"
 FIGURES = "gf_last3 long, ga_last3 long, pts_last3 long, elo_trend3 double, gf_last5 long, ga_last5 long, pts_last5 long, elo_trend5 double, rest_days int, form_momentum long"
 _NAMES = [c.split()[0] for c in HELD.split(", ")]
+_KINDS = [{"string": str, "double": float}.get(c.split()[1], int) for c in HELD.split(", ")]
 _GF, _GA, _POINTS, _ELO, _DAY = range(len(ORDER), len(_NAMES))
 
 
-def _total(values: list) -> int | None:
-    there = [v for v in values if v is not None]
-    return sum(there) if there else None
+def histories(goals_for: list, goals_against: list, points: list, elo: list, day: list) -> list[np.ndarray]:
+    """``LAGGED`` of each of a team's matches, which come in order; not a number where there is nothing to tell."""
+    goals_for, goals_against, points, elo, day = (np.array(x, np.float64) for x in (goals_for, goals_against, points, elo, day))
+
+    def back(values: np.ndarray, k: int) -> np.ndarray:
+        return np.concatenate((np.full(min(k, len(values)), np.nan), values[: max(0, len(values) - k)]))
+
+    def added(there: list[np.ndarray], values: list[np.ndarray]) -> np.ndarray:
+        # Oldest first, as a row's own sum would be.
+        total = np.zeros(len(day))
+        for has, value in zip(there, values, strict=True):
+            total[has] += value[has]
+        return total
+
+    def total(values: np.ndarray, first: int, upto: int) -> np.ndarray:
+        before = [back(values, k) for k in range(upto, first - 1, -1)]
+        there = [~np.isnan(x) for x in before]
+        return np.where(np.any(there, axis=0), added(there, before), np.nan)
+
+    def trend(upto: int) -> np.ndarray:
+        steps = [(back(elo, k), back(elo, k + 1)) for k in range(upto, 0, -1)]
+        there = [~np.isnan(new) & ~np.isnan(old) for new, old in steps]
+        n = np.sum(there, axis=0)
+        with np.errstate(invalid="ignore"):
+            return np.where(n > 0, added(there, [new - old for new, old in steps]) / np.maximum(n, 1), np.nan)
+
+    three, five = ([total(x, 1, upto) for x in (goals_for, goals_against, points)] for upto in (3, 5))
+    return [*three, trend(3), *five, trend(5), day - back(day, 1), three[2] - total(points, 4, DEPTH)]
 
 
 def figures(past: list[tuple], now: tuple) -> tuple:
     """``LAGGED`` of a match, from the team's matches before it, oldest first (the last six count)."""
-    past = past[-DEPTH:]
-
-    def last(field: int, n: int) -> list:
-        return [m[field] for m in past[-n:]]
+    rows = [*past[-DEPTH:], now]
+    told = histories(*([m[f] for m in rows] for f in (_GF, _GA, _POINTS, _ELO, _DAY)))
+    kinds = (float if c.startswith("elo") else int for c in LAGGED)
+    return tuple(None if np.isnan(x[-1]) else kind(x[-1]) for x, kind in zip(told, kinds, strict=True))
 
-    def trend(n: int) -> float | None:
-        steps = list(zip(past, past[1:], strict=False))[-n:]
-        changes = [b[_ELO] - a[_ELO] for a, b in steps if a[_ELO] is not None and b[_ELO] is not None]
-        return sum(changes, 0.0) / len(changes) if changes else None
 
-    three_before = [m[_POINTS] for m in past[:-3]]
-    momentum = _total(last(_POINTS, 3)) - sum(three_before) if three_before else None
-    rest = now[_DAY] - past[-1][_DAY] if past and now[_DAY] is not None and past[-1][_DAY] is not None else None
-    return (
-        *(_total(last(f, 3)) for f in (_GF, _GA, _POINTS)),
-        trend(3),
-        *(_total(last(f, 5)) for f in (_GF, _GA, _POINTS)),
-        trend(5),
-        rest,
-        momentum,
-    )
+def _plain(values: list, kind: type) -> list:
+    """Values as they are kept; pandas gives whole numbers with gaps as floats, and gaps as what is no number."""
+    if kind is str:
+        return [v if isinstance(v, str) else None for v in values]
+    return [None if v is None or v != v else kind(v) for v in values]
 
 
 class TeamHistory(StatefulProcessor):
@@ -67,26 +83,32 @@ class TeamHistory(StatefulProcessor):
         self.last = handle.getListState("last", HELD)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        known = [tuple(x) for x in self.last.get()] if self.last.exists() else []
-        held, payload = known[:], {}
+        known = [tuple(x) for x in self.last.get()]
+        columns = [list(c) for c in zip(*known, strict=True)] or [[] for _ in _NAMES]
+        arrived = []
         for frame in rows:
-            # Whole numbers with gaps come as floats from pandas; back to int or None.
-            for row in frame.astype(object).where(frame.notna(), None).itertuples(index=False):
-                match = tuple(getattr(row, c) for c in _NAMES)
-                match = tuple(v if v is None or isinstance(v, str) or i == _ELO else int(v) for i, v in enumerate(match))
-                held.append(match)
-                payload[match[: len(ORDER)]] = row.match
-        held.sort(key=lambda m: m[: len(ORDER)])
-        places = [m[: len(ORDER)] for m in held]
-        newest = known[-1][: len(ORDER)] if known else None
-        out = []
-        for place, match in payload.items():
-            at = bisect_left(places, place)
-            late = newest is not None and place < newest
-            out.append((place[3], place[4], *figures(held[max(0, at - DEPTH) : at], held[at]), late, match))
-        self.last.put(held[-DEPTH:])
-        told = pd.DataFrame(out, columns=["match_id", "side", *LAGGED, "late", "match"], dtype=object)
-        yield told
+            for c, kind, values in zip(_NAMES, _KINDS, columns, strict=True):
+                values += _plain(frame[c].tolist(), kind)
+            arrived += _plain(frame["match"].tolist(), str)
+        places = list(zip(*columns[: len(ORDER)], strict=True))
+        order = sorted(range(len(places)), key=places.__getitem__)
+        first: dict[tuple, int] = {}
+        for at, i in enumerate(order):
+            first.setdefault(places[i], at)
+        payload = dict(zip(places[len(known) :], arrived, strict=True))
+        newest = places[len(known) - 1] if known else None
+        told = histories(*([columns[f][i] for i in order] for f in (_GF, _GA, _POINTS, _ELO, _DAY)))
+        at = np.array([first[p] for p in payload], np.int64)
+        self.last.put([tuple(c[i] for c in columns) for i in order[-DEPTH:]])
+        yield pd.DataFrame(
+            {
+                "match_id": [p[3] for p in payload],
+                "side": [p[4] for p in payload],
+                **{c: values[at] for c, values in zip(LAGGED, told, strict=True)},
+                "late": [newest is not None and p < newest for p in payload],
+                "match": list(payload.values()),
+            }
+        )
 
     def close(self) -> None:
         pass
