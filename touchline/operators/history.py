@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,7 +34,12 @@ LAGGED = [
 
 def base_rows(matches: DataFrame, match_id: str, carry: Sequence[str] = ()) -> DataFrame:
     """The columns history needs, cast from text or already typed, and those to ``carry``."""
-    has = set(matches.columns)
+    has = dict(matches.dtypes)
+
+    def number(c: str, kind: str, cast: Callable[[str], Column]) -> Column:
+        # A number of the wanted type is not written out and read again.
+        return F.col(c) if has.get(c) == kind else cast(c)
+
     return matches.select(
         *carry,
         F.col(match_id).alias("match_id"),
@@ -43,10 +48,10 @@ def base_rows(matches: DataFrame, match_id: str, carry: Sequence[str] = ()) -> D
         "Division",
         "HomeTeam",
         "AwayTeam",
-        to_int("FTHome").alias("FTHome"),
-        to_int("FTAway").alias("FTAway"),
-        (to_double("HomeElo") if "HomeElo" in has else F.lit(None).cast("double")).alias("HomeElo"),
-        (to_double("AwayElo") if "AwayElo" in has else F.lit(None).cast("double")).alias("AwayElo"),
+        number("FTHome", "int", to_int).alias("FTHome"),
+        number("FTAway", "int", to_int).alias("FTAway"),
+        (number("HomeElo", "double", to_double) if "HomeElo" in has else F.lit(None).cast("double")).alias("HomeElo"),
+        (number("AwayElo", "double", to_double) if "AwayElo" in has else F.lit(None).cast("double")).alias("AwayElo"),
     )
 
 

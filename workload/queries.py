@@ -87,17 +87,18 @@ def label_summary(spark, sf_dir):
     return features.label_summary(features.build_features(a.matches_text(spark, sf_dir), unplayed="null"))
 
 
-def written_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What history reads of the text matches, written once: history reads them for the rows and for the summaries of spans."""
+def history_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What history reads of the text matches."""
     columns = "match_no MatchDate MatchTime Division HomeTeam AwayTeam FTHome FTAway HomeElo AwayElo".split()
-    return materialise(a.matches_text(spark, sf_dir).select(*columns))
+    return a.matches_text(spark, sf_dir).select(*columns)
 
 
 VIEW = "match_no side match_date match_time_sort Division team opponent goals_for goals_against".split()
 
 
 def view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.team_view(written_matches(spark, sf_dir), "match_no")
+    """Team rows, written once with their text cast: history and streaks read them for the rows and for the summaries of spans."""
+    return materialise(history.team_view(history_matches(spark, sf_dir), "match_no"))
 
 
 def rolling(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,7 +150,7 @@ def lagged_three_key(spark, sf_dir):
 def rolling_hot_team(spark, sf_dir):
     """Form and streaks where one team is at home in a third of all matches."""
     home = F.when(F.col("match_no") % 3 == 0, "HOT").otherwise(F.col("HomeTeam"))
-    rows = history.team_view(written_matches(spark, sf_dir).withColumn("HomeTeam", home), "match_no")
+    rows = materialise(history.team_view(history_matches(spark, sf_dir).withColumn("HomeTeam", home), "match_no"))
     form = history.rolling(rows).select("match_id", "side", "team", "gf_last5", "pts_last5", "elo_trend5", "rest_days", "form_momentum")
     runs = streaks.streaks(rows).select("match_id", "side", "win_streak_in", "noloss_streak_in")
     return rounded(form.join(runs, ["match_id", "side"]).withColumnRenamed("match_id", "match_no"))
@@ -158,7 +159,7 @@ def rolling_hot_team(spark, sf_dir):
 @query
 def stream_history(spark, sf_dir):
     """Matches that arrive year by year, each with the history of both teams from keyed state."""
-    place, rows = work(spark), written_matches(spark, sf_dir)
+    place, rows = work(spark), materialise(history_matches(spark, sf_dir))
     year = F.coalesce(F.year(to_date("MatchDate")), F.lit(9999))
     years = sorted(r[0] for r in rows.select(year).distinct().collect())  # one for each year of the calendar
     half = years[len(years) // 2]
