@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from touchline.functions.casts import to_date, to_long_date
@@ -132,15 +132,20 @@ def in_review_order(review: DataFrame) -> DataFrame:
 
 
 def review_rows(candidates: DataFrame) -> DataFrame:
-    """One row per candidate of the reports that have several."""
-    best = best_candidates(candidates)
-    several = best.groupBy("match_url").agg(F.count(F.lit(1)).alias("candidate_count"))
-    return best.join(several.where(F.col("candidate_count") > 1), "match_url")
+    """One row per candidate of the reports that have several; rows without a report are left out.
+
+    Counted over the rows as they were dealt by report, so that candidates are made once.
+    """
+    best = best_candidates(candidates).where(F.col("match_url").isNotNull())
+    rest = [c for c in best.columns if c != "match_url"]
+    counted = best.withColumn("candidate_count", F.count(F.lit(1)).over(Window.partitionBy("match_url")))
+    return counted.where(F.col("candidate_count") > 1).select("match_url", *rest, "candidate_count")
 
 
 def resolution_counts(feed: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Reports in all, and with no, one or several candidates."""
-    best = best_candidates(candidates).groupBy("match_url").agg(F.count(F.lit(1)).alias("k"))
+    """Reports in all, and with no, one or several candidates; only what tells candidates apart is shuffled."""
+    told = candidates.select("match_url", "cfmd_match_id", "priority_flag", "days_diff")
+    best = best_candidates(told).groupBy("match_url").agg(F.count(F.lit(1)).alias("k"))
     urls = feed.select("match_url").distinct().join(best, "match_url", "left")
     return urls.agg(
         F.count(F.lit(1)).alias("reports"),

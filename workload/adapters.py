@@ -160,6 +160,11 @@ def feed_date() -> Column:
 
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """match_url and title of a report per match."""
+    return titled(matches(spark, sf_dir))
+
+
+def titled(matches: DataFrame) -> DataFrame:
+    """match_url and title of a report for each of ``matches``."""
     title = F.concat(
         report_name(F.col("home_key"), F.col("HomeTeam")),
         F.lit(" vs. "),
@@ -167,7 +172,7 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(" Match Report – "),
         F.date_format(feed_date(), "EEEE MMMM d, yyyy"),
     )
-    return matches(spark, sf_dir).select(
+    return matches.select(
         F.concat(F.lit("/en/matches/"), F.col("match_no").cast("string")).alias("match_url"),
         title.alias("match_title"),
     )

@@ -434,18 +434,29 @@ def parse_titles(spark, sf_dir):
     return players.parse_titles(a.reports(spark, sf_dir))
 
 
-def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolve.report_feed(players.parse_titles(a.reports(spark, sf_dir)))
+def feed(reports: DataFrame) -> DataFrame:
+    return resolve.report_feed(players.parse_titles(reports))
 
 
 @query
 def map_names(spark, sf_dir):
-    return resolve.map_names(feed(spark, sf_dir), final_map(spark, sf_dir))
+    return resolve.map_names(feed(a.reports(spark, sf_dir)), final_map(spark, sf_dir))
 
 
-def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    named = resolve.map_names(feed(spark, sf_dir), final_map(spark, sf_dir))
-    return resolve.match_candidates(named, resolve.with_match_id(a.matches(spark, sf_dir)))
+def both_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Matches and the reports of them, each written once, as two sources would be.
+
+    Titles are read several times (both teams, the date, and the test that there are two teams).
+    """
+    columns = "match_no Division MatchDate home_key away_key HomeTeam AwayTeam FTHome FTAway".split()
+    matches = materialise(a.matches(spark, sf_dir).select(*columns))
+    return matches, materialise(a.titled(matches))
+
+
+def candidates(spark: SparkSession, sf_dir: str, sources: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    matches, reports = sources or both_sources(spark, sf_dir)
+    named = resolve.map_names(feed(reports), final_map(spark, sf_dir))
+    return resolve.match_candidates(named, resolve.with_match_id(matches))
 
 
 @query
@@ -460,7 +471,8 @@ def match_map(spark, sf_dir):
 
 @query
 def match_review(spark, sf_dir):
-    review = resolve.in_review_order(resolve.match_review(candidates(spark, sf_dir)))
+    # Written first, as a sort by ranges reads its rows twice.
+    review = resolve.in_review_order(materialise(resolve.match_review(candidates(spark, sf_dir))))
     return review.withColumn("cfmd_candidates", F.array_join("cfmd_candidates", ";"))
 
 
@@ -473,7 +485,8 @@ def review_rows(spark, sf_dir):
 
 @query
 def resolution_counts(spark, sf_dir):
-    return resolve.resolution_counts(feed(spark, sf_dir), candidates(spark, sf_dir))
+    sources = both_sources(spark, sf_dir)
+    return resolve.resolution_counts(feed(sources[1]), candidates(spark, sf_dir, sources))
 
 
 # ---- counts and summaries
