@@ -70,3 +70,23 @@ def test_query_on_held_out_documents(spark):
     assert len(rows) == len(docs) and all(0 <= r["score"] <= 1 for r in rows)
     out = [r for r in rows if r["held_out"]]
     assert len(out) > 200 and np.mean([r["lang_pred"] == docs[r["doc_id"]]["lang"] for r in out]) > 0.98
+
+
+def test_texts_are_read_in_small_pieces(monkeypatch):
+    """No more than ``TEXT_SLICE`` bytes are split into words at a time, and counts do not hang on it."""
+    class Docs:
+        def mapInArrow(self, run, schema):
+            return run
+
+    batch = pa.RecordBatch.from_pydict({"text": ["the cat sat on the mat " * 20_000, "le chat " * 60_000] * 4, "lang": ["en", "fr"] * 4})
+    seen, split = [], langid.words
+    monkeypatch.setattr(langid, "words", lambda texts: seen.append(texts.nbytes) or split(texts))
+
+    def told():
+        out = pa.Table.from_batches(list(langid.count_grams(Docs())(iter([batch])))).group_by(["lang", "gram"]).aggregate([("n", "sum")])
+        return {(r["lang"], r["gram"]): r["n_sum"] for r in out.to_pylist()}
+
+    small = told()
+    assert len(seen) > 2
+    monkeypatch.setattr(langid, "TEXT_SLICE", 1 << 30)
+    assert told() == small

@@ -184,3 +184,21 @@ def test_latest_matches(spark):
     assert {r["n"] for r in each.groupBy("team").agg(F.count("*").alias("n")).collect()} == {5}
     assert {r["match_id"] for r in each.where("team = 'HOT'").collect()} == {r["match_id"] for r in rows}
     assert "WindowGroupLimit" in each._jdf.queryExecution().sparkPlan().toString()
+
+
+def test_typed_numbers_are_not_read_from_text(spark):
+    """Numbers of the wanted type go as they are; text is cast."""
+    cells = "1 match_id, '2020-01-01' MatchDate, 'E0' Division, 'A' HomeTeam, 'B' AwayTeam"
+    typed = spark.sql(f"select {cells}, 2 FTHome, 1 FTAway, cast('NaN' as double) HomeElo, 1500.5D AwayElo")
+    text = spark.sql(f"select {cells}, '2.0' FTHome, ' 1' FTAway, 'NaN' HomeElo, '1500.5' AwayElo")
+    rows = [str(history.base_rows(x, "match_id").drop("match_date").collect()) for x in (typed, text)]
+    assert rows[0] == rows[1]
+    plans = [history.base_rows(x, "match_id")._jdf.queryExecution().analyzed().toString() for x in (typed, text)]
+    assert ["cast(FTHome#" in p for p in plans] == ["cast(AwayElo#" in p for p in plans] == [False, True]
+
+
+def test_team_rows_of_the_queries_are_cast_once(spark, tiny):
+    from workload.queries import view
+
+    plan = view(spark, tiny)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Relation" in plan and "RLIKE" not in plan and "Generate" not in plan

@@ -387,3 +387,24 @@ def test_raw_edges_thresholds(spark):
     assert (row["edge_home"], row["kelly_home"]) == (0.0, 0.0)  # at the threshold, not above it
     assert (row["edge_draw"], row["kelly_draw"]) == (0.25, 0.0)  # no usable price
     assert betting.edges_raw(df.drop("OddHome")).first()["edge_home"] == 0.5
+
+
+def test_review_makes_candidates_once(spark):
+    """``review_rows`` counts over the rows that were dealt; ``resolution_counts`` shuffles only what it needs."""
+    day = dt.date(2020, 1, 1)
+    rows = [("u1", day, "A", "B", "m1", day, "A", "B", "E0", "1", "0", 0, 1), ("u1", day, "A", "B", "m1", day, "A", "B", "E0", "1", "0", 1, 2),
+            ("u1", day, "A", "B", "m2", day, "A", "B", "E1", "1", "0", 1, 2), ("u2", day, "C", "D", "m3", day, "C", "D", "E0", "1", "0", 0, 1),
+            (None, day, "C", "D", "m3", day, "C", "D", "E0", "1", "0", 0, 1), (None, day, "C", "D", "m4", day, "C", "D", "E0", "1", "0", 0, 1)]
+    schema = ("match_url string, match_date_fb date, home_team_cf string, away_team_cf string, cfmd_match_id string, match_date_cf date, "
+              "HomeTeam string, AwayTeam string, Division string, FTHome string, FTAway string, days_diff int, priority_flag int")
+    candidates = spark.createDataFrame(rows, schema)
+    review = resolve.review_rows(candidates)
+    assert review.columns == [*candidates.columns, "candidate_count"]
+    told = {(r["match_url"], r["cfmd_match_id"], r["candidate_count"], r["days_diff"]) for r in review.collect()}
+    assert told == {("u1", "m1", 2, 0), ("u1", "m2", 2, 1)} and review.count() == 2
+    assert " Join " not in review._jdf.queryExecution().optimizedPlan().toString()
+    feed = spark.createDataFrame([("u1",), ("u2",), ("u3",)], "match_url string")
+    counts = resolve.resolution_counts(feed, candidates)
+    assert tuple(counts.first()) == (3, 1, 1, 1)
+    dealt = [x for x in counts._jdf.queryExecution().optimizedPlan().toString().split("\n") if "RepartitionByExpression" in x]
+    assert dealt and "HomeTeam" not in counts._jdf.queryExecution().optimizedPlan().toString().split("RepartitionByExpression")[0]

@@ -56,3 +56,19 @@ def test_figures_of_short_histories(n):
     steps = [(i + 1) ** 2 - i**2 for i in range(n - 1)][-min(n, 6) + 1 :] if n > 1 else []
     assert out["elo_trend5"] == (pytest.approx(sum(steps[-5:]) / len(steps[-5:])) if steps else None)
     assert out["form_momentum"] == ({1: 6, 2: 3}.get(n - 3, 0) if n > 3 else None)
+
+
+def test_a_teams_rows_are_told_as_each_alone():
+    """All rows of a team at once give what each gives with its own past; gaps included."""
+    import numpy as np
+    from touchline.streaming.history import figures, histories
+
+    rng = np.random.default_rng(7)
+    gap = lambda v: None if rng.random() < 0.25 else v
+    rows = [(i, "", "", i, "home", gap(int(rng.integers(5))), gap(int(rng.integers(5))), int(rng.choice([0, 1, 3])), gap(1500.0 + i * i), gap(3 * i)) for i in range(40)]
+    told = histories(*([r[f] for r in rows] for f in range(5, 10)))
+    for i, row in enumerate(rows):
+        alone = figures(rows[:i], row)
+        assert [None if np.isnan(c[i]) else c[i] for c in told] == [None if x is None else pytest.approx(x) for x in alone]
+        assert all(x is None or type(x) is (float if c.startswith("elo") else int) for c, x in zip(history.LAGGED, alone, strict=True))
+    assert [len(c) for c in histories([], [], [], [], [])] == [0] * len(history.LAGGED)
