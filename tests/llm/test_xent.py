@@ -2,11 +2,13 @@
 
 import math
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 
 from touchline.llm import xent
 from touchline.llm.decontam import token_hash
@@ -163,3 +165,46 @@ def test_tokens_of_columns_are_those_of_words():
     hashes, row = xent.tokens(pa.array(texts, pa.string()))
     assert hashes.tolist() == [h for t in texts for h in toks(t)]
     assert row.tolist() == [i for i, t in enumerate(texts) for _ in toks(t)]
+
+
+def test_word_hashes_are_those_of_one_word():
+    made = [bytes((i * 7 + j * 31) % 256 for j in range(n)) for n in range(70) for i in range(5)]
+    column = pa.array(made, pa.binary())
+    assert xent.word_hashes(column).tolist() == [xxhash.xxh64_intdigest(w) for w in made]
+    assert xent.word_hashes(column.slice(40, 99)).tolist() == [xxhash.xxh64_intdigest(w) for w in made[40:139]]
+    letters = [f"{x}{chr(c)}b{y}" for c in range(0x21, 0x500) for x, y in (("", ""), (chr(c), chr(c)), ("_É", "!"))]
+    text = " ".join(letters)
+    assert xent.tokens(pa.array([text]))[0].tolist() == toks(text)
+
+
+class Handed:
+    """In place of a table: takes down the functions that its tasks would run."""
+
+    def __getattr__(self, name):
+        return lambda *made: setattr(self, f"{name}_of", made[0]) or self
+
+
+def test_tasks_that_count_bigrams_hold_little():
+    """What a task holds at once, in bytes of arrays a bigram, and that its sections add up to all bigrams."""
+    words = [f"w{i * i % 49_999}" for i in range(600_000)]
+    texts = [" ".join(words[i : i + 3000]) for i in range(0, len(words), 3000)]
+    table = Handed()
+    xent.pair_counts(table, 50)
+    batch = pa.RecordBatch.from_arrays([pa.array(texts), pa.array([i % 3 == 0 for i in range(len(texts))])], ["text", "target"])
+    tracemalloc.start()
+    handed = list(table.mapInArrow_of(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 66 * len(words)
+    sections = {}
+    for r in (r for b in handed for r in b.to_pylist()):
+        sections.setdefault(r["section"], []).append(r)
+    schema = pa.schema([("section", pa.int32()), *((c, pa.binary()) for c in ("firsts", "runs", "seconds", "counts"))])
+    got = [r for s in sections.values() for r in table.applyInArrow_of(pa.Table.from_pylist(s, schema)).to_pylist()]
+    want = [Counter(), Counter()]
+    for i, t in enumerate(texts):
+        for pair in zip([xent.START, *toks(t)], toks(t)):
+            want[0][pair] += 1
+            want[1][pair] += i % 3 == 0
+    signed = lambda x: int(np.array([x], np.uint64).view(np.int64)[0])
+    assert {(r["a"], r["b"]): (r["all"], r["target"]) for r in got} == {(signed(a), signed(b)): (n, want[1][a, b]) for (a, b), n in want[0].items() if n >= 2}
