@@ -127,6 +127,19 @@ def test_halving_finds_the_winner_of_all(rows):
     assert halved[0] == whole[0] and halved[0].rounds == halved[0].params.rounds
 
 
+def test_rows_of_a_search_are_made_ready_once(rows, monkeypatch):
+    """One preparation for all trials, and the losses of models that are fitted one by one."""
+    ready = prep.fill_zero(rows, COLUMNS).cache()
+    train, val = ready.where("split = 'train'"), ready.where("split = 'val'")
+    calls, plain = [], learn.preprocess
+    monkeypatch.setattr(learn, "preprocess", lambda *made: calls.append(made) or plain(*made))
+    space = learn.SEARCH_SPACE | {"rounds": (2, 3), "depth": (2, 3)}
+    done = learn.search_trials(train, val, COLUMNS, trials=2, seed=3, space=space, halvings=1)
+    assert len(calls) == 1
+    alone = learn.fit_boosted(train, COLUMNS, done[0].params)
+    assert done[0].loss == pytest.approx(learn.evaluate.log_loss(alone.score(val)).first()["log_loss"], abs=1e-9)
+
+
 def test_prefix_losses_are_those_of_shorter_models(rows):
     ready = prep.fill_zero(rows, COLUMNS).cache()
     train, val = ready.where("split = 'train'"), ready.where("split = 'val'")
