@@ -6,7 +6,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from touchline import session
 from touchline.operators import history, streaks, timeline
+from workload import adapters
 
 SCHEMA = (
     "match_id long, MatchDate string, MatchTime string, Division string, HomeTeam string, AwayTeam string, "
@@ -202,3 +204,14 @@ def test_team_rows_of_the_queries_are_cast_once(spark, tiny):
 
     plan = view(spark, tiny)._jdf.queryExecution().optimizedPlan().toString()
     assert "Relation" in plan and "RLIKE" not in plan and "Generate" not in plan
+
+
+def test_slices_give_the_same_history(spark, tiny):
+    """Steps that each shuffle a part of the teams and of the matches give the rows of one step, and leave one table."""
+    matches = adapters.matches(spark, tiny).where("match_no % 7 = 0").withColumn("HomeTeam", F.when(F.col("match_no") % 5 != 0, F.col("HomeTeam")))
+    matches = matches.withColumn("_slice", history.slice_of(F.col("match_no"), 3))
+    before = len(session._written)
+    got = history.sliced_lagged_features(session.write_table(matches, ["_slice"]), 3, "match_no")
+    want = history.lagged_features(matches.drop("_slice"), "match_no")
+    assert got.columns == want.columns and got.count() == want.count()
+    assert got.exceptAll(want).count() == 0 and len(session._written) == before + 2
